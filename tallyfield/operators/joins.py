@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfield.operators.quality import QualityError, duplicate_rows
@@ -27,13 +27,14 @@ def star_join(fact: DataFrame, satellites: Sequence[tuple[str, DataFrame, str]],
     return out
 
 
-def with_own_base(df: DataFrame, key: str, period: str, measure: str, base: str) -> DataFrame:
+def with_own_base(small: DataFrame, key: str, period: str, measure: str, base: str) -> DataFrame:
     """The measure of period 0 of the same key on every row; NULL when there is none.
 
-    The frame is joined to its own period-0 rows, at most one per key.
+    ``small`` has one row per (key, period), so a window replaces a self-join that would
+    compute the frame twice.
     """
-    origin = df.where(F.col(period) == 0).select(key, F.col(measure).alias(base))
-    return df.join(origin, key, "left")
+    origin = F.max(F.when(F.col(period) == 0, F.col(measure))).over(Window.partitionBy(key))
+    return small.withColumn(base, origin)
 
 
 def latest_before(readings: DataFrame, markers: DataFrame, key: str, ts: str, tie: str, at: str,

@@ -69,5 +69,5 @@ def kaplan_meier(durations: DataFrame, time: str = "survival_time", event: str =
         rounded(s, 6).alias("survival"),
         rounded(s * s * F.col("_g"), 8).alias("variance"),
         rounded(s * F.exp(-reach), 6).alias("lower"),
-        rounded(F.least(s * F.exp(reach), F.lit(1.0)), 6).alias("upper"),
+        rounded(F.when(reach.isNotNull(), F.least(s * F.exp(reach), F.lit(1.0))), 6).alias("upper"),
     )

@@ -236,7 +236,7 @@ def survival_data(t: Tables) -> DataFrame:
     SELECT time, n_risk, n_event, leaving - n_event AS n_censor, round_even(s, 6) AS survival,
       round_even(CASE WHEN ended = 0 THEN s * s * v END, 8) AS variance,
       round_even(CASE WHEN ended = 0 THEN s * exp(-1.959963984540054 * sqrt(v)) END, 6) AS lower,
-      round_even(CASE WHEN ended = 0 THEN least(s * exp(1.959963984540054 * sqrt(v)), 1) ELSE 1 END, 6) AS upper FROM p""",
+      round_even(CASE WHEN ended = 0 THEN least(s * exp(1.959963984540054 * sqrt(v)), 1) END, 6) AS upper FROM p""",
 )
 def kaplan_meier(t: Tables) -> DataFrame:
     return S.kaplan_meier(S.survival_data(completed(t), AS_OF))
