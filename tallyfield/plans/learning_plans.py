@@ -231,8 +231,8 @@ def churn_model(t: Tables) -> DataFrame:
 @query("item_recommendations")
 def item_recommendations(t: Tables) -> DataFrame:
     bought = (
-        t.lineitem.select("l_orderkey", F.col("l_partkey").cast("int").alias("part"), "l_quantity")
-        .join(t.orders.select("o_orderkey", F.col("o_custkey").cast("int").alias("customer")), F.col("l_orderkey") == F.col("o_orderkey"))
+        t.lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), "l_quantity")
+        .join(t.orders.select("o_orderkey", F.col("o_custkey").alias("customer")), F.col("l_orderkey") == F.col("o_orderkey"))
     )
     return L.recommend_items(bought, "customer", "part", "l_quantity")
 
