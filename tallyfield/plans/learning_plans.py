@@ -20,7 +20,7 @@ from tallyfield.operators.survival import survival_data
 from tallyfield.plans.bindings import AS_OF, LINES_SQL, lines, orders, per_order, readings
 from tallyfield.plans.cohort_plans import TABLE_SQL, table
 from tallyfield.plans.customer_plans import completed
-from tallyfield.plans.history_plans import labelled_stays
+from tallyfield.plans.history_plans import NEXT_SQL, labelled_stays
 from tallyfield.plans.registry import Tables, query
 from tallyfield.session import durable, work_folder
 from tallyfield.sources import lake
@@ -64,7 +64,11 @@ def choose_k(t: Tables) -> DataFrame:
     return L.choose_k(t.spark, rfm_features(t), "customer_id", largest=6, restarts=1)
 
 
-@query("smote_balance")
+@query(
+    "smote_balance",
+    f"""WITH {NEXT_SQL}, c AS (SELECT readmitted_30d AS label, COUNT(*) AS n FROM labelled GROUP BY 1)
+    SELECT label, 0 AS is_synthetic, n FROM c UNION ALL SELECT label, 1, (SELECT MAX(n) FROM c) - n FROM c WHERE n < (SELECT MAX(n) FROM c)""",
+)
 def smote(t: Tables) -> DataFrame:
     """Class sizes before and after; both classes end equal."""
     data = stay_vectors(t).select("admission_id", "label", vector_to_array("features").alias("features"))
@@ -123,7 +127,11 @@ def model_comparison(t: Tables) -> DataFrame:
     return L.model_comparison(t.spark, results)
 
 
-@query("model_store")
+@query(
+    "model_store",
+    f"""WITH {NEXT_SQL}, c AS (SELECT readmitted_30d, COUNT(*) - (COUNT(*) * 8 + 5) // 10 AS held FROM labelled GROUP BY 1)
+    SELECT CAST(SUM(held) AS BIGINT) AS rows, CAST(SUM(held) AS BIGINT) AS equal_scores FROM c""",
+)
 def model_store(t: Tables) -> DataFrame:
     """A model is saved, loaded and used; both give the same scores."""
     fit_on, test = split(stay_vectors(t))

@@ -121,7 +121,7 @@ STAGED_SQL = ORDERS_SQL + ", " + PEOPLE_SQL + """, staged AS (
 def ctas_replace(t: Tables) -> DataFrame:
     """The staging table is built twice; the second build replaces the first."""
     w = warehouse(t)
-    w.replace("staging", "stg_customers", people(t).limit(0))
+    w.replace("staging", "stg_customers", people(t))
     w.replace("staging", "stg_customers", stage_customers(people(t), AS_OF))
     return w.table("staging", "stg_customers")
 

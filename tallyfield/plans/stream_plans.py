@@ -65,6 +65,14 @@ def stream_enrich(t: Tables) -> DataFrame:
     )
 
 
+@query("stream_source", "SELECT event_type, COUNT(*) AS n, MAX(ts) AS last_ts FROM events GROUP BY 1")
+def stream_source(t: Tables) -> DataFrame:
+    """The file source; topics use ``kafka_stream`` with the same flows behind it."""
+    return drain(t, live(t).events.select("event_id", "event_type", "ts")).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.max("ts").alias("last_ts")
+    )
+
+
 def window_sql(size: int, slide: int) -> str:
     shifts = " UNION ALL ".join(
         f"SELECT *, time_bucket(INTERVAL {slide} MINUTE, ts) - INTERVAL {k * slide} MINUTE AS window_start FROM readings"
