@@ -85,9 +85,7 @@ def kpis(stays: DataFrame, keys: Sequence[str], readmitted: str, died: str, cost
 def rate_ratio(rows: DataFrame, group: str, outcome: str, reference: str) -> DataFrame:
     """Outcome rate per group and its ratio to the reference group."""
     rates = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(outcome).cast("bigint")).alias("events"))
-    base = rates.where(F.col(group) == reference).agg(
-        F.max(ratio("events", "n")).alias("base")
-    ).scalar()
+    base = F.max(F.when(F.col(group) == reference, ratio("events", "n"))).over(Window.partitionBy())  # one row per group
     return rates.select(
         group, "n", "events", share("events", "n").alias("rate"),
         rounded(ratio(ratio("events", "n"), base), 6).alias("rate_ratio"),

@@ -186,7 +186,11 @@ def monthly_revenue(table: DataFrame) -> DataFrame:
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
-    """Counts in equal-width bins; the largest value falls into the last bin."""
+    """Counts in equal-width bins; the largest value falls into the last bin.
+
+    The bounds need a pass of their own, so the column is written once first.
+    """
+    df = durable(df.select(value))
     bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("b")).scalar()
     low, high = bounds.getField("low"), bounds.getField("high")
     spot = F.floor((F.col(value) - low) * bins / F.nullif(high - low, F.lit(0.0)))

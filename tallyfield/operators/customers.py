@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyfield.functions.dates import days_between, month_start, whole_day
-from tallyfield.functions.numbers import cents, money_mean, money_sum, rounded
+from tallyfield.functions.numbers import cents, money_mean, money_sum, rounded, share
 from tallyfield.operators.ordering import quantile_scores
 from tallyfield.session import durable
 
@@ -171,8 +171,11 @@ def segment_insights(rfm: DataFrame) -> DataFrame:
 
 
 def add_share(small: DataFrame, measure: str, name: str, scale: float = 1.0, digits: int = 4) -> DataFrame:
-    """Share of the grand total, for a frame that is already one row per category."""
-    total = small.agg(F.sum(measure).alias("total")).scalar()
+    """Share of the grand total, for a frame with one row per segment or class.
+
+    The window runs over those few rows; a second aggregate would compute them twice.
+    """
+    total = F.sum(measure).over(Window.partitionBy())
     return small.withColumn(name, rounded(F.try_divide(F.col(measure) * F.lit(scale), total), digits))
 
 
@@ -235,9 +238,14 @@ def rfm_crosstab(rfm: DataFrame) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Count and share of each value, most frequent first."""
+    """Count and share of each value, most frequent first.
+
+    There may be many values, so the total is a row count of the input: a scan without
+    columns instead of a window over all values.
+    """
+    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
     counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    return add_share(counts, "n", "share", digits=6).orderBy(F.desc("n"), "value")
+    return counts.withColumn("share", share("n", total)).orderBy(F.desc("n"), "value")
 
 
 def hierarchy_rollup(df: DataFrame, levels: Sequence[str], measure: str) -> DataFrame:

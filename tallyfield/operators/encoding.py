@@ -103,6 +103,6 @@ def fold_of(row_id: str, folds: int, seed: int = 42) -> Column:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """weight = rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.struct(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes")).alias("t")).scalar()
-    weight = totals.getField("rows") / (totals.getField("classes") * F.col("n"))
+    classes = Window.partitionBy()  # one row per class
+    weight = F.sum("n").over(classes) / (F.count(F.lit(1)).over(classes) * F.col("n"))
     return counts.select(label, "n", rounded(weight, 6).alias("weight"))

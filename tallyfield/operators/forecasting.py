@@ -9,9 +9,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfield.session import durable
+
 
 def gap_filled(monthly: DataFrame, keys: Sequence[str], month: str, value: str) -> DataFrame:
-    """One row per key and month between its first and last month; gaps are 0."""
+    """One row per key and month between its first and last month; gaps are 0.
+
+    The monthly totals are read twice, so they are written once.
+    """
+    monthly = durable(monthly)
     spans = monthly.groupBy(*keys).agg(F.min(month).alias("_lo"), F.max(month).alias("_hi"))
     months = spans.select(
         *keys, F.explode(F.sequence(F.col("_lo"), F.col("_hi"), F.expr("INTERVAL 1 MONTH"))).alias(month)

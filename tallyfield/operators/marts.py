@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions.numbers import cents, ratio, rounded, share
 from tallyfield.operators.cohorts import growth
 from tallyfield.operators.timeline import sessions
+from tallyfield.session import durable
 
 
 def product_performance(lines: DataFrame, stock: DataFrame) -> DataFrame:
@@ -145,14 +146,8 @@ def basket_affinity(lines: DataFrame, basket: str, item: str) -> DataFrame:
     categories and equal sets to one row with a count; pairs are formed from those sets
     only, so neither a huge basket nor a popular set multiplies rows.
     """
-    shapes = (
-        lines.select(basket, item)
-        .distinct()
-        .groupBy(basket)
-        .agg(F.array_sort(F.collect_set(item)).alias("items"))
-        .groupBy("items")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    baskets = lines.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    shapes = durable(baskets.groupBy("items").agg(F.count(F.lit(1)).alias("n")))
     total = shapes.agg(F.sum("n").alias("n")).scalar()
     singles = shapes.select(F.explode("items").alias("item"), "n").groupBy("item").agg(F.sum("n").alias("n"))
     pairs = (

@@ -182,7 +182,10 @@ def grouped_percentiles(
 def running_sums(
     df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, Column], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Add running totals in ``order`` within ``keys`` over range pieces."""
+    """Add running totals in ``order`` within ``keys`` over range pieces.
+
+    ``all_<name>`` is the total of the key; it comes with the offsets at no further cost.
+    """
     placed = place(df, keys, order)
     totals = placed.groupBy(
         *[F.col(k).alias(f"_key_{k}") for k in keys], F.col(PIECE).alias("_at")
@@ -193,6 +196,7 @@ def running_sums(
         *key_names,
         "_at",
         *[F.coalesce(F.sum(f"_total_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums],
+        *[F.sum(f"_total_{n}").over(Window.partitionBy(*key_names)).alias(f"all_{n}") for n in sums],
     )
     local = Window.partitionBy(*keys, PIECE).orderBy(SPOT).rowsBetween(Window.unboundedPreceding, 0)
     inside = placed.select("*", *[F.sum(c).over(local).alias(f"_in_{n}") for n, c in sums.items()])
@@ -202,5 +206,5 @@ def running_sums(
     if not keys:
         offsets = F.broadcast(offsets)  # one row per piece: at most shuffle.partitions rows
     return inside.join(offsets, match).select(
-        *df.columns, *[(F.col(f"_off_{n}") + F.col(f"_in_{n}")).alias(n) for n in sums]
+        *df.columns, *[(F.col(f"_off_{n}") + F.col(f"_in_{n}")).alias(n) for n in sums], *[f"all_{n}" for n in sums]
     )

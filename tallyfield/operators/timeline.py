@@ -120,15 +120,32 @@ def sessions(
     """Add the start time of the session each event belongs to.
 
     A session ends after ``gap_seconds`` without an event. Batch twin of
-    ``session_window`` whose work per task is bounded by an hour of one key.
+    ``session_window`` whose work per task is bounded by an hour of one key: breaks are
+    found inside the hour, and one summary row per hour tells whether its first events go
+    on with a session of an earlier hour.
     """
-    hour = F.date_trunc("hour", F.col(ts))
-    before = neighbour(df, keys, [ts, tie], hour, {"_previous": ts}, forward=False)
-    silence = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("_previous").cast("timestamp"))
-    opens = F.col("_previous").isNull() | (silence >= gap_seconds * 1_000_000)
-    marked = before.withColumn("_start", F.when(opens, F.col(ts))).drop("_previous")
-    started = carry(marked, keys, [ts, tie], hour, {session: F.col("_start")})
-    return started.drop("_start")
+
+    def silent(before: Column, now: Column) -> Column:
+        return F.unix_micros(now.cast("timestamp")) - F.unix_micros(before.cast("timestamp")) >= gap_seconds * 1_000_000
+
+    inside = Window.partitionBy(*keys, BUCKET).orderBy(ts, tie)
+    rows = df.withColumn(BUCKET, F.date_trunc("hour", F.col(ts)))
+    local = rows.withColumn("_break", F.when(silent(F.lag(ts).over(inside), F.col(ts)), F.col(ts))).withColumn(
+        "_local", F.last("_break", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    across = Window.partitionBy(*[f"_key_{k}" for k in keys]).orderBy("_at")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    hours = local.groupBy(*_edge_keys(keys)).agg(
+        F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_break").alias("_break")
+    )
+    before = F.lag("_last").over(across)
+    hours = hours.withColumn("_fresh", F.when(before.isNull() | silent(before, F.col("_first")), F.col("_first")))
+    hours = hours.withColumn("_tail", F.coalesce("_break", "_fresh"))
+    hours = hours.select(
+        *[f"_key_{k}" for k in keys], "_at",
+        F.coalesce("_fresh", F.last("_tail", ignorenulls=True).over(earlier)).alias("_head"),
+    )
+    return _attach(local, hours, keys).select(*df.columns, F.coalesce("_local", "_head").alias(session))
 
 
 def interval_totals(
@@ -147,19 +164,18 @@ def interval_totals(
     Running totals are read off at both ends of the interval, so the work is linear in
     readings plus intervals, however many readings an interval covers.
     """
-    zero = {n: F.lit(0).cast("bigint").alias(f"_v_{n}") for n in sums}
     points = readings.select(
         key, F.col(ts).alias("_t"), F.lit(1).alias("_kind"),
         F.lit(None).cast(intervals.schema[interval_id].dataType).alias(interval_id),
         *[c.cast("bigint").alias(f"_v_{n}") for n, c in sums.items()],
     )
-    opened = intervals.select(
-        key, F.col(start).alias("_t"), F.lit(0).alias("_kind"), interval_id, *zero.values()
+    ends = F.array(
+        F.struct(F.col(start).alias("_t"), F.lit(0).alias("_kind")), F.struct(F.col(end).alias("_t"), F.lit(2).alias("_kind"))
     )
-    closed = intervals.select(
-        key, F.col(end).alias("_t"), F.lit(2).alias("_kind"), interval_id, *zero.values()
+    marks = intervals.select(key, interval_id, F.explode(ends).alias("_e")).select(
+        key, "_e._t", "_e._kind", interval_id, *[F.lit(0).cast("bigint").alias(f"_v_{n}") for n in sums]
     )
-    line = points.unionByName(opened).unionByName(closed)
+    line = points.unionByName(marks)
     summed = running(
         line, [key], ["_t", "_kind"], F.date_trunc(grain, F.col("_t")),
         {n: F.col(f"_v_{n}") for n in sums},

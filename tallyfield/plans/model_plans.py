@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions import clinical as K
 from tallyfield.functions.numbers import rounded
+from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
 from tallyfield.operators import evaluation as V
 from tallyfield.plans.customer_plans import EXTRACT_SQL, completed
 from tallyfield.plans.bindings import AS_OF
 from tallyfield.plans.history_plans import NEXT_SQL, labelled_stays
 from tallyfield.plans.registry import Tables, query
-from tallyfield.operators import customers as C
+from tallyfield.session import durable
 
 SEVERITY_SQL = "CASE severity_of_illness WHEN 'Minor' THEN 1 WHEN 'Moderate' THEN 2 WHEN 'Major' THEN 3 WHEN 'Extreme' THEN 4 ELSE 1 END"
 SCORE_SQL = NEXT_SQL + f""", scored AS (SELECT admission_id, readmitted_30d AS label,
@@ -38,7 +39,7 @@ def scored_stays(t: Tables) -> DataFrame:
     SELECT customer_id, round_even((total_orders - mo) / so, 6) AS total_orders_z, round_even((active_months - ma) / sa, 6) AS active_months_z FROM extract, m""",
 )
 def standardise(t: Tables) -> DataFrame:
-    out = N.standardise(C.segmentation_extract(completed(t), AS_OF), ["total_orders", "active_months"])
+    out = N.standardise(durable(C.segmentation_extract(completed(t), AS_OF)), ["total_orders", "active_months"])
     return out.select(
         "customer_id", *[rounded(c, 6).alias(c) for c in ("total_orders_z", "active_months_z")]
     )
