@@ -28,9 +28,9 @@ def next_event_gap(admissions: DataFrame, key: str = "patient_id", day: str = "a
                    event_id: str = "admission_id") -> DataFrame:
     """Next admission date of the same patient and the days until it.
 
-    Months are the time buckets, so one patient's history is spread over many tasks.
+    Rows are spread over even pieces, so one patient's history does not meet in one task.
     """
-    out = neighbour(admissions, [key], [day, event_id], F.trunc(day, "month"), {"readmission_date": day})
+    out = neighbour(admissions, [key], [day, event_id], {"readmission_date": day})
     return out.withColumn("days_to_readmission", F.datediff("readmission_date", day))
 
 

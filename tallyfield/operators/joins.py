@@ -38,11 +38,11 @@ def with_own_base(small: DataFrame, key: str, period: str, measure: str, base: s
 
 
 def latest_before(readings: DataFrame, markers: DataFrame, key: str, ts: str, tie: str, at: str,
-                  marker_id: str, values: Mapping[str, str], grain: str = "day") -> DataFrame:
+                  marker_id: str, values: Mapping[str, str]) -> DataFrame:
     """For each marker the last reading of the same key at or before it.
 
     Readings and markers are merged into one time line and the reading is carried forward,
-    so no pairs are formed and a hot key is split by time.
+    so no pairs are formed and a hot key is split over many tasks.
     """
     shape = readings.schema
     line = readings.select(
@@ -55,14 +55,13 @@ def latest_before(readings: DataFrame, markers: DataFrame, key: str, ts: str, ti
             F.lit(None).cast("struct<" + ",".join(f"{n}:{shape[c].dataType.simpleString()}" for n, c in values.items()) + ">").alias("_v"),
         )
     )
-    seen = carry(line, [key], ["_t", "_kind", "_tie"], F.date_trunc(grain, F.col("_t")), {"_seen": F.col("_v")})
+    seen = carry(line, [key], ["_t", "_kind", "_tie"], {"_seen": F.col("_v")})
     return seen.where(F.col("_kind") == 1).select(
         key, marker_id, F.col("_t").alias(at), *[F.col("_seen").getField(n).alias(n) for n in values]
     )
 
 
-def next_after(events: DataFrame, responses: DataFrame, key: str, ts: str, event_id: str, out: str,
-               grain: str = "hour") -> DataFrame:
+def next_after(events: DataFrame, responses: DataFrame, key: str, ts: str, event_id: str, out: str) -> DataFrame:
     """Time of the first response of the same key strictly after each event."""
     line = responses.select(
         key, F.col(ts).alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast("bigint").alias(event_id),
@@ -73,7 +72,7 @@ def next_after(events: DataFrame, responses: DataFrame, key: str, ts: str, event
             F.lit(None).cast(responses.schema[ts].dataType).alias("_v"),
         )
     )
-    seen = carry(line, [key], ["_t", "_kind"], F.date_trunc(grain, F.col("_t")), {out: F.col("_v")}, forward=False)
+    seen = carry(line, [key], ["_t", "_kind"], {out: F.col("_v")}, forward=False)
     return seen.where(F.col("_kind") == 1).select(key, event_id, F.col("_t").alias(ts), out)
 
 

@@ -92,7 +92,7 @@ def support_sla(tickets: DataFrame) -> DataFrame:
 def session_table(events: DataFrame, user: str, ts: str, tie: str, gap_seconds: int = 1800,
                   converted: str = "purchase", kind: str = "event_type") -> DataFrame:
     """One row per web session: start, end, pages, duration and conversion."""
-    marked = sessions(events, [user], ts, tie, gap_seconds)
+    marked = sessions(events.select(user, ts, tie, kind), [user], ts, tie, gap_seconds)
     return marked.groupBy(user, "session_start").agg(
         F.max(ts).alias("session_end"),
         F.count(F.lit(1)).alias("pages_viewed"),

@@ -1,11 +1,14 @@
 """Per-key time windows that survive a hot key.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sorts all rows of a key in one task. These
-operators window inside ``(key, bucket)`` - a bucket is a stretch of time, such as a day or
-an hour - and carry one summary row per bucket across the buckets of the key. The carry is
-bounded by the number of buckets, not by the number of rows.
-
-``bucket`` must not decrease along the first order column.
+operators window inside ``(key, bucket)`` and carry one summary row per bucket across the
+buckets of the key.
+
+Without ``bucket`` the rows are range-partitioned on (key, order) and a bucket is one of
+the even pieces: a key with a third of all rows, even at one hour, is spread over a third
+of the tasks, and a usual key lies in one piece. The placement is written once, so the
+input is computed once. With ``bucket`` - a stretch of time that must not decrease along
+the first order column - nothing is written; it suits keys that are spread over time.
 """
 
 from __future__ import annotations
@@ -15,9 +18,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyfield.operators.ordering import PIECE, SPOT, place
+
 BUCKET = "_bucket"
 
 
+def _bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | None) -> DataFrame:
+    if bucket is None:
+        return place(df, keys, order).withColumnRenamed(PIECE, BUCKET).drop(SPOT)
+    return df.withColumn(BUCKET, bucket)
+
+
 def _attach(df: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
     match = F.col(BUCKET) == F.col("_at")
     for key in keys:
@@ -33,12 +44,12 @@ def neighbour(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     take: Mapping[str, str],
     forward: bool = True,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Columns of the next (or previous) row of the same key: lead and lag."""
-    rows = df.withColumn(BUCKET, bucket)
+    rows = _bucketed(df, keys, order, bucket)
     record = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
                       *[F.col(c).alias(n) for n, c in take.items()])
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
@@ -55,11 +66,11 @@ def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     sums: Mapping[str, Column],
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Running totals per key, the current row included."""
-    rows = df.withColumn(BUCKET, bucket)
+    rows = _bucketed(df, keys, order, bucket)
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     across = (
         Window.partitionBy(*[f"_key_{k}" for k in keys])
@@ -82,15 +93,15 @@ def carry(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     take: Mapping[str, Column],
     forward: bool = True,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Last non-NULL value at or before each row (or, backward, first at or after it).
 
     With readings and markers in one frame this is an as-of join without pairing rows.
     """
-    rows = df.withColumn(BUCKET, bucket)
+    rows = _bucketed(df, keys, order, bucket)
     spread = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     keep = Window.partitionBy(*[f"_key_{k}" for k in keys]).orderBy("_at")
     when = F.struct(*[F.col(c) for c in order])
@@ -115,37 +126,37 @@ def carry(
 
 
 def sessions(
-    df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_seconds: int, session: str = "session_start"
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_seconds: int, session: str = "session_start",
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add the start time of the session each event belongs to.
 
     A session ends after ``gap_seconds`` without an event. Batch twin of
-    ``session_window`` whose work per task is bounded by an hour of one key: breaks are
-    found inside the hour, and one summary row per hour tells whether its first events go
-    on with a session of an earlier hour.
+    ``session_window``: breaks are found inside a bucket, and one summary row per bucket
+    tells whether its first events go on with a session of an earlier one.
     """
 
     def silent(before: Column, now: Column) -> Column:
         return F.unix_micros(now.cast("timestamp")) - F.unix_micros(before.cast("timestamp")) >= gap_seconds * 1_000_000
 
     inside = Window.partitionBy(*keys, BUCKET).orderBy(ts, tie)
-    rows = df.withColumn(BUCKET, F.date_trunc("hour", F.col(ts)))
+    rows = _bucketed(df, keys, [ts, tie], bucket)
     local = rows.withColumn("_break", F.when(silent(F.lag(ts).over(inside), F.col(ts)), F.col(ts))).withColumn(
         "_local", F.last("_break", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     )
     across = Window.partitionBy(*[f"_key_{k}" for k in keys]).orderBy("_at")
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    hours = local.groupBy(*_edge_keys(keys)).agg(
+    edges = local.groupBy(*_edge_keys(keys)).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.max("_break").alias("_break")
     )
     before = F.lag("_last").over(across)
-    hours = hours.withColumn("_fresh", F.when(before.isNull() | silent(before, F.col("_first")), F.col("_first")))
-    hours = hours.withColumn("_tail", F.coalesce("_break", "_fresh"))
-    hours = hours.select(
+    edges = edges.withColumn("_fresh", F.when(before.isNull() | silent(before, F.col("_first")), F.col("_first")))
+    edges = edges.withColumn("_tail", F.coalesce("_break", "_fresh"))
+    edges = edges.select(
         *[f"_key_{k}" for k in keys], "_at",
         F.coalesce("_fresh", F.last("_tail", ignorenulls=True).over(earlier)).alias("_head"),
     )
-    return _attach(local, hours, keys).select(*df.columns, F.coalesce("_local", "_head").alias(session))
+    return _attach(local, edges, keys).select(*df.columns, F.coalesce("_local", "_head").alias(session))
 
 
 def interval_totals(
@@ -157,7 +168,7 @@ def interval_totals(
     end: str,
     interval_id: str,
     sums: Mapping[str, Column],
-    grain: str = "hour",
+    grain: str | None = None,
 ) -> DataFrame:
     """Totals over the readings of the same key within each closed interval.
 
@@ -177,8 +188,8 @@ def interval_totals(
     )
     line = points.unionByName(marks)
     summed = running(
-        line, [key], ["_t", "_kind"], F.date_trunc(grain, F.col("_t")),
-        {n: F.col(f"_v_{n}") for n in sums},
+        line, [key], ["_t", "_kind"], {n: F.col(f"_v_{n}") for n in sums},
+        F.date_trunc(grain, F.col("_t")) if grain else None,
     )
     sign = F.when(F.col("_kind") == 2, 1).otherwise(-1)
     return (

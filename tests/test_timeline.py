@@ -28,10 +28,18 @@ def ordered(data, key):
     return sorted((d for d in data if d[1] == key), key=lambda d: (d[2], d[0]))
 
 
+def bucket(kind):
+    return None if kind == "pieces" else F.date_trunc(kind, F.col("t"))
+
+
+by_bucket = pytest.mark.parametrize("kind", ["pieces", "hour", "day"])
+
+
+@by_bucket
 @pytest.mark.parametrize("forward", [True, False])
-def test_neighbour_is_lead_and_lag(line, forward):
+def test_neighbour_is_lead_and_lag(line, forward, kind):
     df, data = line
-    out = TL.neighbour(df, ["k"], ["t", "id"], F.date_trunc("hour", "t"), {"other": "id"}, forward)
+    out = TL.neighbour(df, ["k"], ["t", "id"], {"other": "id"}, forward, bucket(kind))
     got = {r["id"]: r["other"] for r in out.collect()}
     for key in ("hot", "a", "b"):
         ids = [d[0] for d in ordered(data, key)]
@@ -39,18 +47,21 @@ def test_neighbour_is_lead_and_lag(line, forward):
         assert [got[i] for i in ids] == shifted
 
 
-def test_running_total(line):
+@by_bucket
+def test_running_total(line, kind):
     df, data = line
-    out = TL.running(df, ["k"], ["t", "id"], F.date_trunc("hour", "t"), {"n": F.lit(1)})
+    out = TL.running(df, ["k"], ["t", "id"], {"n": F.lit(1)}, bucket(kind))
     got = {r["id"]: r["n"] for r in out.collect()}
     for key in ("hot", "a", "b"):
         assert [got[d[0]] for d in ordered(data, key)] == list(range(1, len(ordered(data, key)) + 1))
 
 
+@by_bucket
 @pytest.mark.parametrize("forward", [True, False])
-def test_carry_skips_null(line, forward):
+def test_carry_skips_null(line, forward, kind):
     df, data = line
-    got = {r["id"]: r["seen"] for r in TL.carry(df, ["k"], ["t", "id"], F.date_trunc("hour", "t"), {"seen": F.col("v")}, forward).collect()}
+    out = TL.carry(df, ["k"], ["t", "id"], {"seen": F.col("v")}, forward, bucket(kind))
+    got = {r["id"]: r["seen"] for r in out.collect()}
     for key in ("hot", "a", "b"):
         held = None
         for d in ordered(data, key)[:: 1 if forward else -1]:
@@ -58,14 +69,28 @@ def test_carry_skips_null(line, forward):
             assert got[d[0]] == held
 
 
-def test_sessions_split_at_the_gap(spark):
+@by_bucket
+def test_sessions_split_at_the_gap(spark, kind):
     at = lambda s: START + dt.timedelta(seconds=s)
     data = [(1, "u", at(0)), (2, "u", at(1799)), (3, "u", at(1799 + 1800)), (4, "u", at(90000)), (5, "w", at(10))]
     df = spark.createDataFrame(data, "id long, u string, t timestamp_ntz")
-    got = {r["id"]: r["session_start"] for r in TL.sessions(df, ["u"], "t", "id", 1800).collect()}
+    got = {r["id"]: r["session_start"] for r in TL.sessions(df, ["u"], "t", "id", 1800, bucket=bucket(kind)).collect()}
     assert got == {1: at(0), 2: at(0), 3: at(3599), 4: at(90000), 5: at(10)}
 
 
+@by_bucket
+def test_sessions_go_on_over_quiet_buckets(line, kind):
+    df, data = line
+    got = {r["id"]: r["session_start"] for r in TL.sessions(df, ["k"], "t", "id", 7200, bucket=bucket(kind)).collect()}
+    for key in ("hot", "a", "b"):
+        opened, before = None, None
+        for row_id, _, at, _ in ordered(data, key):
+            if before is None or (at - before).total_seconds() >= 7200:
+                opened = at
+            assert got[row_id] == opened
+            before = at
+
+
 def test_interval_totals_take_both_ends(spark):
     at = lambda h: START + dt.timedelta(hours=h)
     readings = spark.createDataFrame([("r", at(0), 1), ("r", at(5), 2), ("r", at(30), 4), ("q", at(5), 8)], "k string, t timestamp_ntz, v int")
