@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.functions.numbers import rounded
 from tallyfield.operators.encoding import fold_of, standardise
+from tallyfield.operators.evaluation import confusion
 from tallyfield.operators.ordering import exact_rank
 from tallyfield.session import durable
 
@@ -130,16 +131,25 @@ def feature_importance(spark: SparkSession, model: Model, columns: Sequence[str]
     )
 
 
-def model_comparison(spark: SparkSession, results: Mapping[str, tuple[Sequence[float], float]]) -> DataFrame:
-    """Mean and deviation of the fold AUC and the test AUC per model; the best is marked."""
+def clinical_rates(scored: DataFrame, label: str) -> dict[str, float | None]:
+    """Sensitivity, specificity, precision and F1 at one half, as one driver row."""
+    r = confusion(scored, 0.5, label).first()
+    return {"sensitivity": r["recall_1"], "specificity": r["recall_0"], "precision": r["precision_1"], "f1_score": r["f1_1"]}
+
+
+def model_comparison(spark: SparkSession, results: Mapping[str, tuple[Sequence[float], float, Mapping[str, float | None]]]) -> DataFrame:
+    """Per model the mean and deviation of the fold AUC, the test AUC and the clinical
+    rates; the model with the best test AUC is marked."""
     rows = []
     best = max(results, key=lambda name: results[name][1])
-    for name, (folds, test) in results.items():
+    for name, (folds, test, rates) in results.items():
         mean = sum(folds) / len(folds)
         spread = (sum((x - mean) ** 2 for x in folds) / len(folds)) ** 0.5
-        rows.append((name, mean, spread, float(test), name == best))
+        rows.append((name, mean, spread, float(test), *rates.values(), name == best))
     return spark.createDataFrame(
-        rows, "model string, cv_auc_mean double, cv_auc_std double, test_auc double, is_best boolean"
+        rows,
+        "model string, cv_auc_mean double, cv_auc_std double, test_auc double, sensitivity double, specificity double,"
+        " precision double, f1_score double, is_best boolean",
     )
 
 

@@ -121,6 +121,7 @@ def model_comparison(t: Tables) -> DataFrame:
         name: (
             L.cross_validate(fit_on, estimators[name], "label", "admission_id", folds=2),
             L.auc(model.transform(test), "label"),
+            L.clinical_rates(L.probabilities(model, test, ["admission_id", "label"]), "label"),
         )
         for name, model in models.items()
     }

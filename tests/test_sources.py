@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions.traffic import TRAFFIC_SCHEMA
 from tallyfield.operators.quality import QualityError
 from tallyfield.plans.daily import run_daily
-from tallyfield.sources import lake, messages
+from tallyfield.sources import lake, messages, schemas
 from tallyfield.sources.warehouse import Warehouse
 from tests.conftest import rows
 
@@ -89,3 +89,17 @@ def test_bundle_and_csv(spark, folder):
     assert {n: d.count() for n, d in lake.read_bundle(spark, paths).items()} == {"a": 2, "b": 3}
     lake.write_csv(spark.range(2), f"{folder}/csv")
     assert spark.read.option("header", True).csv(f"{folder}/csv").count() == 2
+
+
+def test_declared_tables_and_keys(spark, folder):
+    w = Warehouse(spark, f"{folder}/wh", "declaretest_")
+    schemas.declare(w)
+    schemas.declare(w)
+    assert w.table("mart", "dm_executive_kpis").columns[0] == "report_date"
+    assert dict(w.table("raw", "orders").dtypes)["total_amount"] == "decimal(12,2)"
+    customers = spark.createDataFrame([("a",), ("a",), ("b",)], "customer_id string")
+    orders = spark.createDataFrame([("1", "a"), ("2", "z")], "order_id string, customer_id string")
+    lines = schemas.key_report({"customers": customers, "orders": orders})
+    assert rows(lines, "check_name", "failed") == [
+        ("customers.customer_id unique", 2), ("orders.customer_id in customers", 1), ("orders.order_id unique", 0),
+    ]
