@@ -182,3 +182,30 @@ class Words:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+_PLACE = np.uint64((1 << 26) - 1)
+
+
+def window_minima(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` hashes the place of its least one, leftmost among equals.
+
+    Windows are compared by the upper 38 bits of the hashes, so equal windows choose the same place.
+    """
+    if len(hashes) < width or not len(hashes):
+        return np.zeros(0, np.int64)
+    if len(hashes) > int(_PLACE):
+        raise ValueError("a text of more than 67 million words")
+    low = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
+    span = 1
+    while 2 * span <= width:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    n = len(hashes) - width + 1
+    return (np.minimum(low[:n], low[width - span : width - span + n]) & _PLACE).astype(np.int64)
+
+
+def windows_in_rows(words: Words, length: int) -> np.ndarray:
+    """Places of the words at which a stretch of ``length`` words of one text begins."""
+    start = np.arange(len(words))
+    return start[start + length <= words.first[words.row + 1]]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import packing, secretscan, sharding
+from tallyfield.llm import packing, secretscan, sharding, winnowing
 from tallyfield.session import configure, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,17 @@ def op9_packing(spark: SparkSession, base: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
     path = public_tokenizers.path
     return packing.pack_documents(load(spark, base, "documents"), path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    """Words of every document that occur in windows of benchmark items."""
+    out = winnowing.decontaminate(load(spark, base, "documents"), load(spark, base, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
