@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import packing, secretscan, sharding, winnowing
+from tallyfield.llm import fmindex, packing, secretscan, sharding, sparsesuffix, winnowing
 from tallyfield.session import configure, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,16 @@ def op7_decontamination(spark: SparkSession, base: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Words of every document left after removing windows that an earlier document holds."""
+    out = fmindex.dedup_substrings(load(spark, base, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Passages of 50 words and more that other documents repeat."""
+    return sparsesuffix.repeated_passages(load(spark, base, "documents"))
