@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import fmindex, packing, secretscan, sharding, sparsesuffix, winnowing
+from tallyfield.llm import fmindex, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
 from tallyfield.session import configure, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def op6_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 def op4_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Passages of 50 words and more that other documents repeat."""
     return sparsesuffix.repeated_passages(load(spark, base, "documents"))
+
+
+@query
+def op10_fingerprints(spark: SparkSession, base: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, with their likeness."""
+    return weightedsampling.fingerprints(load(spark, base, "documents"))
