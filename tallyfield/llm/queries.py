@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import fmindex, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
+from tallyfield.llm import bagminhash, fmindex, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
 from tallyfield.session import configure, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def op4_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, base: str) -> DataFrame:
     """Fingerprints of every text and its edited text, with their likeness."""
     return weightedsampling.fingerprints(load(spark, base, "documents"))
+
+
+@query
+def op2_minhash_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return bagminhash.near_duplicates(load(spark, base, "documents"))
