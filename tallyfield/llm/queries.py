@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import bagminhash, fmindex, linededup, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
+from tallyfield.llm import bagminhash, bigru, fmindex, linededup, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
 from tallyfield.session import configure, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,9 @@ def op3_line_dedup(spark: SparkSession, base: str) -> DataFrame:
     """Lines of every document left after removing repeats of earlier lines."""
     out = linededup.line_report(load(spark, base, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", "removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_language_id(spark: SparkSession, base: str) -> DataFrame:
+    """The language of every text, learned from the documents outside the held-out fold."""
+    return bigru.language_report(load(spark, base, "documents"))
