@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.llm.common import SPACED, Sequences, Words, given_id, mixed, own_id, pieces, raw, signed, slices, stored
+from tallyfield.llm.common import LAST_ID, SPACED, Sequences, Words, given_id, mixed, own_id, pieces, signed, slices, stored
 
 SHINGLE = 5
 BANDS, ROWS = 24, 4
@@ -193,14 +193,11 @@ def classes(links: DataFrame) -> DataFrame:
             return labels.select("_node", "_class")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id (least doc_id of its class), class_size.
+def class_members(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: _id, _tx, _words, _head (least id and text hash of its class), _count.
 
-    Classes are the connected components of equal texts and of texts whose weighted Jaccard similarity
-    over five-word shingles is at least ``threshold``; a pair at the threshold is found with a
-    probability of 1 - 3e-6. Texts without words, NULL among them, are classes of
-    their own. Texts are known by a 64-bit hash. A document with a NULL id has class_id NULL only if no member has an id. Repeated
-    rows are members of one class. An empty table gives an empty result.
+    Classes are the connected components of equal texts and of texts whose weighted Jaccard similarity over
+    five-word shingles is at least ``threshold``. Texts without words have no class: their _head is NULL.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(own_id(id_column).alias("_id"), F.xxhash64(text).alias("_node"), text.alias("_text"))
@@ -224,13 +221,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_column: str = "d
     labelled = stored(
         members.join(found, "_node", "left").select("_bucket", "_node", "_size", F.coalesce("_class", "_node").alias("_class")), "bag-labelled"
     )
+    # members of a bucket that are still in different classes: all pairs across classes, if their sizes allow it
     mixed_buckets = labelled.groupBy("_bucket").agg(F.min("_class").alias("_x"), F.max("_class").alias("_y")).where("_x != _y").select("_bucket")
     apart = stored(labelled.join(mixed_buckets, "_bucket"), "bag-apart")
     other = apart.select("_bucket", F.col("_node").alias("_b"), F.col("_size").alias("_other"), F.col("_class").alias("_with"))
     rest = (
         apart.join(other, "_bucket")
         .where("_class < _with")
-        .where((F.least("_size", "_other") >= threshold * F.greatest("_size", "_other")))
+        .where(F.least("_size", "_other") >= threshold * F.greatest("_size", "_other"))
         .select(F.least("_node", "_b").alias("_a"), F.greatest("_node", "_b").alias("_b"))
         .distinct()
         .join(stars, ["_a", "_b"], "left_anti")
@@ -238,19 +236,28 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_column: str = "d
     rest = stored(rest, "bag-rest")
     if rest.limit(1).count():
         found = classes(links.union(checked(rest, "bag-more")))
-    placed = stored(rows.select("_id", "_node", (F.length(F.trim(F.translate("_text", "\t\n\x0b\f\r", "     "))) > 0).alias("_words")), "bag-rows")
-    # a text without words is a class of its own row by row
-    heads = (
-        placed.where("_words").join(found, "_node", "left").select(F.coalesce("_class", "_node").alias("_class"), "_id")
-        .groupBy("_class").agg(F.min("_id").alias("_head"), F.count(F.lit(1)).alias("_count"))
-    )
-    heads = stored(heads, "bag-heads")
-    labels = placed.join(found, "_node", "left").select("_id", "_words", F.coalesce("_class", "_node").alias("_class"))
-    return (
-        labels.join(heads, "_class", "left")
-        .select(
-            given_id().alias("doc_id"),
-            F.when(F.col("_words"), F.when(F.col("_head") != 2**63 - 1, F.col("_head"))).otherwise(given_id()).alias("class_id"),
-            F.when(F.col("_words"), F.col("_count")).otherwise(F.lit(1)).cast("long").alias("class_size"),
-        )
-    )
+    has_words = F.length(F.trim(F.translate("_text", "\t\n\x0b\f\r", "     "))) > 0
+    placed = rows.select("_id", "_node", has_words.alias("_words"))
+    labels = stored(placed.join(found, "_node", "left").select("_id", "_node", "_words", F.coalesce("_class", "_node").alias("_class")), "bag-rows")
+    heads = stored(
+        labels.where("_words").groupBy("_class").agg(F.min(F.struct("_id", F.col("_node").alias("_tx"))).alias("_head"), F.count(F.lit(1)).alias("_count")), "bag-heads"
+    )
+    return labels.join(heads, "_class", "left").select(
+        "_id", F.col("_node").alias("_tx"), "_words", F.when(F.col("_words"), F.col("_head")).alias("_head"), F.when(F.col("_words"), F.col("_count")).alias("_count")
+    )
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per document: doc_id, class_id (least doc_id of its class), class_size.
+
+    Classes as in ``class_members``; a pair at the threshold is found with a probability of 1 - 3e-6. Texts are
+    known by a 64-bit hash. Texts without words, NULL among them, are classes of their own. The class_id of a
+    class in which no document has an id is NULL. Repeated rows are members of one class. An
+    empty table gives an empty result.
+    """
+    head = F.when(F.col("_head._id") != LAST_ID, F.col("_head._id"))
+    return class_members(docs, threshold, id_column, text_column).select(
+        given_id().alias("doc_id"),
+        F.when(F.col("_words"), head).otherwise(given_id()).alias("class_id"),
+        F.coalesce("_count", F.lit(1)).cast("long").alias("class_size"),
+    )

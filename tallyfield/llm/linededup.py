@@ -168,17 +168,8 @@ def near_lines(rows: DataFrame, distinct: DataFrame) -> DataFrame:
     return both.mapInArrow(each, "_hash long").distinct()
 
 
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: _id, _tx (its key), n_lines, n_removed, removed, kept.
-
-    A line (words between line feeds) is removed if an equal line, or for lines of ``least_words``
-    words and more a line one word apart, stands earlier in the input: at a smaller id, or further up in
-    the same text. Lines are judged on the input; words are compared as they are, white space between them is not.
-    Lines without words stay. ``removed`` lists the line numbers from 0, ``kept`` is the text of the other
-    lines. NULL texts are empty and NULL ids last; texts of one id are ordered by hash; rows that repeat an id
-    and a text are one document, and each is returned.
-    """
-    rows = keyed(docs, id_column, text_column)
+def removed_lines(rows: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(_id, _tx, _gone): the numbers of the lines to remove, for documents that have some."""
     lines = stored(lines_of(rows, least_words), "lines")
     place = F.struct("_id", "_tx", "_no")
     whole = stored(
@@ -190,7 +181,28 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_column: str
     again = whole.where("_at < _last").select("_hash", "_check", "_at")
     copies = lines.join(again, ["_hash", "_check"]).where(place != F.col("_at")).select("_id", "_tx", "_no")
     changed = distinct.join(near, "_hash").select("_id", "_tx", "_no")
-    gone = stored(copies.union(changed).groupBy("_id", "_tx").agg(F.collect_set("_no").alias("_gone")), "line-gone")
+    return stored(copies.union(changed).groupBy("_id", "_tx").agg(F.collect_set("_no").alias("_gone")), "line-gone")
+
+
+def without_lines(text: str, gone) -> str | None:
+    """The text without some lines; None if no word is left."""
+    drop = {int(n) for n in gone}
+    parts = [p for i, p in enumerate(text.split("\n")) if i not in drop]
+    return "\n".join(parts) if any(p.strip(" \t\r\x0b\x0c") for p in parts) else None
+
+
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per row of ``docs``: _id, _tx (its key), n_lines, n_removed, removed, kept.
+
+    A line (words between line feeds) is removed if an equal line, or for lines of ``least_words``
+    words and more a line one word apart, stands earlier in the input: at a smaller id, or further up in
+    the same text. Lines are judged on the input; words are compared as they are, white space between them is not.
+    Lines without words stay. ``removed`` lists the line numbers from 0, ``kept`` is the text of the other
+    lines. NULL texts are empty and NULL ids last; texts of one id are ordered by hash; rows that repeat an id
+    and a text are one document, and each is returned.
+    """
+    rows = keyed(docs, id_column, text_column)
+    gone = removed_lines(rows, least_words)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):

@@ -78,7 +78,7 @@ def runs(equal: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 def extended(rows: DataFrame, span: int) -> DataFrame:
-    """Documents with their candidates to (_id, n_words, n_hit, _items, _spans)."""
+    """Documents with their candidates to (_id, _tx, n_words, n_hit, _items, _spans)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
@@ -103,23 +103,15 @@ def extended(rows: DataFrame, span: int) -> DataFrame:
                 n_hit[row], names[row] = covered.sum(), sorted(items)
                 spans[row] = [{"start": x, "end": y} for x, y in runs(covered, 1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(n_words), pa.array(n_hit), pa.array(names, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-                names=["_id", "n_words", "n_hit", "_items", "_spans"],
+                [batch.column("_id"), batch.column("_tx"), pa.array(n_words), pa.array(n_hit), pa.array(names, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                names=["_id", "_tx", "n_words", "n_hit", "_items", "_spans"],
             )
 
-    return rows.mapInArrow(each, "_id long, n_words long, n_hit long, _items array<string>, _spans array<struct<start:long,end:long>>")
+    return rows.mapInArrow(each, "_id long, _tx long, n_words long, n_hit long, _items array<string>, _spans array<struct<start:long,end:long>>")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 13, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, items, spans, contaminated.
-
-    Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. A document word
-    is hit if it lies in an occurrence of ``span`` consecutive item words, or of a whole shorter
-    item. ``items`` are the ids of such items as sorted strings, ``spans`` the hit word ranges. A
-    document is contaminated if at least a twentieth of its words is hit. NULL texts have no
-    words; items without words match nothing; an item without id counts under the empty name.
-    Repeated rows give repeated results; an empty benchmark leaves all documents clean.
-    """
+def hits(docs: DataFrame, benchmark: DataFrame, span: int = 13, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
+    """One row per document: _id, _tx, n_words, n_hit, _items, _spans, contaminated."""
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     name = F.coalesce(F.col(item_column).cast("string"), F.lit(""))
     items = benchmark.select(name.alias("_name"), text.alias("_text")).distinct().withColumn("_item", F.xxhash64("_name", "_text"))
@@ -139,12 +131,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 13, id_colu
         .agg(F.collect_list(F.struct(F.col("_name").alias("name"), F.col("_text").alias("text"), "shifts")).alias("_found")),
         "winnow-found",
     )
-    out = extended(rows.join(found, ["_id", "_tx"], "left").select("_id", "_text", "_found"), span)
-    return out.select(
-        given_id().alias("doc_id"),
-        "n_words",
-        "n_hit",
-        F.col("_items").alias("items"),
-        F.col("_spans").alias("spans"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+    out = extended(rows.join(found, ["_id", "_tx"], "left").select("_id", "_tx", "_text", "_found"), span)
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = 13, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id") -> DataFrame:
+    """One row per document: doc_id, n_words, n_hit, items, spans, contaminated.
+
+    Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased. A document word
+    is hit if it lies in an occurrence of ``span`` consecutive item words, or of a whole shorter
+    item. ``items`` are the ids of such items as sorted strings, ``spans`` the hit word ranges. A
+    document is contaminated if at least a twentieth of its words is hit. NULL texts have no
+    words; items without words match nothing; an item without id counts under the empty name.
+    Repeated rows give repeated results; an empty benchmark leaves all documents clean.
+    """
+    return hits(docs, benchmark, span, id_column, text_column, item_column).select(
+        given_id().alias("doc_id"), "n_words", "n_hit", F.col("_items").alias("items"), F.col("_spans").alias("spans"), "contaminated"
     )
