@@ -42,7 +42,6 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return beside(docs, rejected, "left_anti")
 
 
-@F.pandas_udf("string")
 def kept_text(text: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series([linededup.without_lines(t, g) if t is not None and g is not None else t for t, g in zip(text, gone)], dtype=object)
 
@@ -53,7 +52,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``n_chars`` follows the new text where the column exists. Documents that lose no line stay as they are.
     """
     gone = linededup.removed_lines(keyed(docs))
-    marked = beside(docs, gone, "left").select("d.*", F.col("r._gone").isNotNull().alias("__cut"), kept_text(F.col("d.text"), F.col("r._gone")).alias("__kept"))
+    kept = F.pandas_udf(kept_text, "string")(F.col("d.text"), F.col("r._gone"))
+    marked = beside(docs, gone, "left").select("d.*", F.col("r._gone").isNotNull().alias("__cut"), kept.alias("__kept"))
     left = marked.where("not __cut or __kept is not null")
     new = {"text": F.col("__kept")}
     if "n_chars" in docs.columns:
