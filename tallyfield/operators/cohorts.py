@@ -112,11 +112,12 @@ def clv_metrics(completed: DataFrame, customer: str = "customer_id", order: str
     )
     span = days_between("first_purchase", "last_purchase").cast("double")
     years = floored_divisor(F.col("customer_lifespan") / F.lit(365.0), 1.0 / 365)
+    frequency = F.col("total_orders") / years  # rounded for output only
     return (
         base.withColumn("customer_lifespan", span)
         .withColumn("avg_days_between_orders", rounded(mean_gap("customer_lifespan", "total_orders"), 6))
-        .withColumn("purchase_frequency", rounded(F.col("total_orders") / years, 6))
-        .withColumn("predicted_clv", rounded(F.col("total_revenue") * F.col("purchase_frequency") * 2, 2))
+        .withColumn("purchase_frequency", rounded(frequency, 6))
+        .withColumn("predicted_clv", rounded(F.col("total_revenue") * frequency * 2, 2))
     )
 
 
@@ -137,18 +138,21 @@ def quantile_tiers(metrics: DataFrame, customer: str = "customer_id") -> DataFra
     )
 
 
-def retention_matrix(table: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """Cohorts by period columns. Periods are listed, so no extra job looks for them."""
-    wide = table.groupBy("cohort_month").pivot("period_number", list(periods)).agg(F.first("retention_rate"))
-    return wide.select("cohort_month", *[F.col(str(p)).alias(f"Period_{p}") for p in periods])
+def retention_matrix(table: DataFrame) -> DataFrame:
+    """Cohorts by period columns, one for every period of the table, negative ones too.
 
+    The table holds one row per (cohort, period); it is written once, because the periods are looked up first.
+    """
+    cells = durable(table.select("cohort_month", "period_number", "retention_rate"))
+    periods = sorted(r[0] for r in cells.select("period_number").distinct().collect() if r[0] is not None)
+    wide = cells.groupBy("cohort_month").pivot("period_number", periods).agg(F.first("retention_rate"))
+    return wide.select("cohort_month", *[F.col(f"`{p}`").alias(f"Period_{p}") for p in periods])
 
-def melt_matrix(matrix: DataFrame) -> DataFrame:
-    """Back to long form without empty cells."""
-    columns = [c for c in matrix.columns if c.startswith("Period_")]
-    return matrix.unpivot("cohort_month", columns, "period", "retention_rate").where(
-        F.col("retention_rate").isNotNull()
-    )
+
+def melt_table(table: DataFrame) -> DataFrame:
+    """The filled cells of the matrix in long form, straight from the table."""
+    period = F.concat(F.lit("Period_"), F.col("period_number").cast("string")).alias("period")
+    return table.where(F.col("retention_rate").isNotNull()).select("cohort_month", period, "retention_rate")
 
 
 def cohort_report(table: DataFrame, metrics: DataFrame, customer: str = "customer_id") -> DataFrame:
@@ -158,7 +162,7 @@ def cohort_report(table: DataFrame, metrics: DataFrame, customer: str = "custome
     retention = table.agg(
         F.struct(
             *[
-                rounded(F.avg(F.when(F.col("period_number") == p, F.col("retention_rate"))), 6).alias(
+                rounded(F.avg(F.when(F.col("period_number") == p, F.col("customers") / F.col("cohort_size"))), 6).alias(
                     f"retention_month_{p}"
                 )
                 for p in (1, 6, 12)

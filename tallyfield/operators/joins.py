@@ -79,10 +79,11 @@ def next_after(events: DataFrame, responses: DataFrame, key: str, ts: str, event
 def incident_impact(incidents: DataFrame, routes: DataFrame, cell: str, extra: Sequence[str] = ()) -> DataFrame:
     """One diversion record per (incident, affected route) sharing a road or grid cell.
 
+    An incident whose cell has no route gives one record of type ``no_route``, so none is lost.
     Works with a streaming left side; ``routes`` is a static segment table.
     """
-    return incidents.join(routes, cell, "inner").select(
-        F.lit("route_diversion").alias("type"),
+    return incidents.join(routes, cell, "left").select(
+        F.when(F.col("route_id").isNull(), "no_route").otherwise("route_diversion").alias("type"),
         "incident_id",
         F.col("route_id").alias("affected_route"),
         "alternative_routes",

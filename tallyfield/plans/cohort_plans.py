@@ -24,14 +24,16 @@ cohort AS (SELECT c.*, z.cohort_size, round_even(c.customers / CAST(z.cohort_siz
     round_even(c.orders / CAST(c.customers AS DOUBLE), 6) AS orders_per_customer
   FROM cells c LEFT JOIN (SELECT cohort_month, customers AS cohort_size FROM cells WHERE period_number = 0) z USING (cohort_month))"""
 
-CLV_SQL = DONE_SQL + """, clv0 AS (SELECT customer_id, MIN(order_date) AS first_purchase, MAX(order_date) AS last_purchase,
+CLV_STEPS = """clv0 AS (SELECT customer_id, MIN(order_date) AS first_purchase, MAX(order_date) AS last_purchase,
     COUNT(DISTINCT order_id) AS total_orders, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
     round_even(CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 4) AS avg_order_value,
     CAST(date_diff('day', MIN(order_date), MAX(order_date)) AS DOUBLE) AS customer_lifespan
   FROM done GROUP BY 1),
 clv1 AS (SELECT *, round_even(CASE WHEN total_orders > 1 THEN customer_lifespan / (total_orders - 1) END, 6) AS avg_days_between_orders,
-    round_even(total_orders / greatest(customer_lifespan / CAST(365 AS DOUBLE), CAST(1 AS DOUBLE) / 365), 6) AS purchase_frequency FROM clv0),
-clv AS (SELECT *, round_even(total_revenue * purchase_frequency * 2, 2) AS predicted_clv FROM clv1)"""
+    total_orders / greatest(customer_lifespan / CAST(365 AS DOUBLE), CAST(1 AS DOUBLE) / 365) AS yearly FROM clv0),
+clv AS (SELECT * EXCLUDE (yearly), round_even(yearly, 6) AS purchase_frequency,
+    round_even(total_revenue * yearly * 2, 2) AS predicted_clv FROM clv1)"""
+CLV_SQL = f"{DONE_SQL}, {CLV_STEPS}"
 
 
 def activity(t: Tables) -> DataFrame:
@@ -109,39 +111,36 @@ def quantile_tiers(t: Tables) -> DataFrame:
     )
 
 
-PERIODS = range(0, 13)
-
-
 @query(
     "retention_matrix",
-    f"""WITH {TABLE_SQL} SELECT cohort_month, {', '.join(f'MAX(retention_rate) FILTER (period_number = {p}) AS Period_{p}' for p in PERIODS)}
-    FROM cohort GROUP BY 1""",
+    f"""WITH {TABLE_SQL}, named AS (SELECT cohort_month, 'Period_' || CAST(period_number AS VARCHAR) AS period, retention_rate FROM cohort)
+    PIVOT named ON period USING first(retention_rate) GROUP BY cohort_month""",
 )
 def retention_matrix(t: Tables) -> DataFrame:
-    return H.retention_matrix(table(t), PERIODS)
+    return H.retention_matrix(table(t))
 
 
 @query(
     "retention_melt",
     f"""WITH {TABLE_SQL} SELECT cohort_month, 'Period_' || CAST(period_number AS VARCHAR) AS period, retention_rate FROM cohort
-    WHERE period_number BETWEEN 0 AND 12 AND retention_rate IS NOT NULL""",
+    WHERE retention_rate IS NOT NULL""",
 )
 def retention_melt(t: Tables) -> DataFrame:
-    return H.melt_matrix(H.retention_matrix(table(t), PERIODS))
+    return H.melt_table(table(t))
 
 
 @query(
     "cohort_report",
-    f"""WITH {TABLE_SQL}, {CLV_SQL.split('AS (SELECT * FROM ord WHERE status = ' + chr(39) + 'F' + chr(39) + '), ', 1)[1]},
+    f"""WITH {TABLE_SQL}, {CLV_STEPS},
     lim AS (SELECT quantile_cont(predicted_clv, 0.5) AS mid, quantile_cont(predicted_clv, 0.8) AS hi FROM clv)
     SELECT COUNT(*) AS total_customers, CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
       round_even(CAST(SUM(CAST(predicted_clv AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 2) AS avg_clv,
       round_even(CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) FILTER (predicted_clv >= (SELECT hi FROM lim)) AS DOUBLE)
         / CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE), 6) AS top_fifth_revenue_share,
       round_even((SELECT mid FROM lim), 2) AS median_clv,
-      (SELECT round_even(AVG(retention_rate), 6) FROM cohort WHERE period_number = 1) AS retention_month_1,
-      (SELECT round_even(AVG(retention_rate), 6) FROM cohort WHERE period_number = 6) AS retention_month_6,
-      (SELECT round_even(AVG(retention_rate), 6) FROM cohort WHERE period_number = 12) AS retention_month_12
+      (SELECT round_even(AVG(customers / CAST(cohort_size AS DOUBLE)), 6) FROM cohort WHERE period_number = 1) AS retention_month_1,
+      (SELECT round_even(AVG(customers / CAST(cohort_size AS DOUBLE)), 6) FROM cohort WHERE period_number = 6) AS retention_month_6,
+      (SELECT round_even(AVG(customers / CAST(cohort_size AS DOUBLE)), 6) FROM cohort WHERE period_number = 12) AS retention_month_12
     FROM clv""",
 )
 def cohort_report(t: Tables) -> DataFrame:
@@ -183,11 +182,10 @@ def five_number_by_group(t: Tables) -> DataFrame:
     f"""WITH {CLV_SQL} SELECT CAST(regr_count(predicted_clv, purchase_frequency) AS BIGINT) AS n,
     round_even(regr_slope(predicted_clv, purchase_frequency), 3) AS slope,
     round_even(regr_intercept(predicted_clv, purchase_frequency), 1) AS intercept,
-    round_even(regr_r2(predicted_clv, purchase_frequency), 6) AS r2 FROM clv WHERE total_orders > 1""",
+    round_even(regr_r2(predicted_clv, purchase_frequency), 6) AS r2 FROM clv""",
 )
 def linear_trend(t: Tables) -> DataFrame:
-    repeat = H.clv_metrics(completed(t)).where(F.col("total_orders") > 1)
-    return H.linear_trend(repeat, "predicted_clv", "purchase_frequency")
+    return H.linear_trend(H.clv_metrics(completed(t)), "predicted_clv", "purchase_frequency")
 
 
 @query(

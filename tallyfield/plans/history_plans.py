@@ -215,34 +215,37 @@ def interval_join(t: Tables) -> DataFrame:
     )
 
 
+# Users lie along a line with two cells to three users; a supplier is the route through the cell
+# of its key and ends in the next one. So cells grow with the tables and hold two routes at most.
+# Suppliers of every eighth nation are not on the network: their cells may be without a route.
+IMPACT_SQL = """route AS (SELECT 'R' || CAST(s_suppkey AS VARCHAR) AS route_id, 'R' || CAST(s_suppkey + 1 AS VARCHAR) AS alternative_routes,
+  unnest([s_suppkey, s_suppkey + 1]) AS cell FROM supplier WHERE s_nationkey % 8 <> 0),
+incident AS (SELECT event_id, user_id * 2 // 3 AS cell, CAST(floor(value) AS INTEGER) AS duration FROM events WHERE event_type = 'error'),
+impact AS (SELECT CASE WHEN route_id IS NULL THEN 'no_route' ELSE 'route_diversion' END AS type, event_id AS incident_id,
+  route_id AS affected_route, alternative_routes, duration AS estimated_delay FROM incident LEFT JOIN route USING (cell))"""
+
 
 def route_table(t: Tables) -> DataFrame:
-    """Route segments from suppliers: a route crosses the road that its orders map to."""
-    names = ["click", "error", "purchase", "signup", "view"]
-    road = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("s_nationkey") % 5 + 1).cast("int"))
-    return t.supplier.select(
-        road.alias("road_id"),
-        F.concat(F.lit("R"), F.col("s_suppkey").cast("string")).alias("route_id"),
-        F.concat(F.lit("R"), (F.col("s_suppkey") + 1).cast("string")).alias("alternative_routes"),
-        (F.col("s_suppkey") % 150).alias("user_id"),
+    """Route segments from suppliers, one row for each cell that a route touches."""
+    key = F.col("s_suppkey")
+    return t.supplier.where(F.col("s_nationkey") % 8 != 0).select(
+        F.concat(F.lit("R"), key.cast("string")).alias("route_id"),
+        F.concat(F.lit("R"), (key + 1).cast("string")).alias("alternative_routes"),
+        F.explode(F.array(key, key + 1)).alias("cell"),
     )
 
 
-IMPACT_SQL = """route AS (SELECT 'R' || CAST(s_suppkey AS VARCHAR) AS route_id, 'R' || CAST(s_suppkey + 1 AS VARCHAR) AS alternative_routes,
-  s_suppkey % 150 AS user_id FROM supplier)"""
+def incidents(events: DataFrame) -> DataFrame:
+    """Error events as incidents in their grid cells; works on streams as well."""
+    return events.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("incident_id"), F.expr("user_id * 2 div 3").alias("cell"), F.floor("value").cast("int").alias("estimated_duration")
+    )
 
 
-@query(
-    "incident_impact_join",
-    f"""WITH {IMPACT_SQL} SELECT 'route_diversion' AS type, event_id AS incident_id, route_id AS affected_route, alternative_routes,
-    CAST(value AS INTEGER) AS estimated_delay FROM events JOIN route USING (user_id) WHERE event_type = 'error'""".replace("CAST(value AS INTEGER)", "CAST(floor(value) AS INTEGER)"),
-)
+@query("incident_impact_join", f"WITH {IMPACT_SQL} SELECT * FROM impact")
 def incident_impact_join(t: Tables) -> DataFrame:
-    """Each incident meets the routes of its grid cell (the user id stands for the cell)."""
-    incidents = t.events.where(F.col("event_type") == "error").select(
-        F.col("event_id").alias("incident_id"), "user_id", F.floor("value").cast("int").alias("estimated_duration")
-    )
-    return J.incident_impact(incidents, route_table(t), "user_id")
+    """Each incident with the routes of its grid cell, or once without a route."""
+    return J.incident_impact(incidents(t.events), route_table(t), "cell")
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyfield.operators import traffic as T
 from tallyfield.plans.bindings import SENSORS_SQL, messages, readings
 from tallyfield.plans.feature_plans import LEVEL_SQL
-from tallyfield.plans.history_plans import IMPACT_SQL, route_table
+from tallyfield.plans.history_plans import IMPACT_SQL, incidents, route_table
 from tallyfield.plans.mart_plans import SESSION_SQL
 from tallyfield.plans.quality_plans import KEEP, SCORED_SQL, scored_readings
 from tallyfield.plans.registry import Tables, query
@@ -126,15 +126,13 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 @query(
     "route_diversion",
-    f"""WITH {IMPACT_SQL} SELECT 'route-alerts' AS topic, CAST(event_id AS VARCHAR) AS key, event_id AS incident_id, route_id AS affected_route,
-    CAST(floor(value) AS INTEGER) AS estimated_delay FROM events JOIN route USING (user_id) WHERE event_type = 'error'""",
+    f"""WITH {IMPACT_SQL} SELECT 'route-alerts' AS topic, CAST(incident_id AS VARCHAR) AS key, type, incident_id, affected_route, estimated_delay FROM impact""",
 )
 def route_diversion(t: Tables) -> DataFrame:
-    incidents = live(t).events.where(F.col("event_type") == "error").select(
-        F.col("event_id").alias("incident_id"), "user_id", F.floor("value").cast("int").alias("estimated_duration")
-    )
-    alerts = drain(t, as_messages(S.diversions(incidents, route_table(t), "user_id"), "route-alerts", "incident_id"))
-    fields = F.from_json("value", "incident_id bigint, affected_route string, estimated_delay int")
+    """Diversions on the stream; incidents without a route come out as such."""
+    found = S.diversions(incidents(live(t).events), route_table(t), "cell")
+    alerts = drain(t, as_messages(found, "route-alerts", "incident_id"))
+    fields = F.from_json("value", "type string, incident_id bigint, affected_route string, estimated_delay int")
     return alerts.select("topic", "key", fields.alias("f")).select("topic", "key", "f.*")
 
 
