@@ -95,6 +95,16 @@ def stratified_split(df: DataFrame, label: str, row_id: str, seed: int = 42, tra
     return ranked.withColumn("is_train", (F.col("_rank") <= cut).cast("int")).drop("_hash", "_rank", "_size")
 
 
+def stratified_folds(df: DataFrame, label: str, row_id: str, folds: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+    """Add a fold number dealt in turn over each class in a seeded hash order.
+
+    Folds of a class differ by one row at most.
+    """
+    hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}-"), F.col(row_id).cast("string"))))
+    ranked = exact_rank(hashed, ["_hash", row_id], [label], "_rank", "_size")
+    return ranked.withColumn(out, ((F.col("_rank") - 1) % folds).cast("int")).drop("_hash", "_rank", "_size")
+
+
 def fold_of(row_id: str, folds: int, seed: int = 42) -> Column:
     """Fold number from a seeded hash; within a class the folds are equal up to chance."""
     return F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(folds)).cast("int")

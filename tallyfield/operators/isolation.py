@@ -67,19 +67,17 @@ def fit_isolation_forest(df: DataFrame, columns: Sequence[str], row_id: str, tre
                          contamination: float = 0.1, seed: int = 42) -> IsolationForest:
     """Fit on per-tree samples drawn by row hash.
 
-    The draw emits about ``trees * sample`` rows whatever the input size; a first hash keeps
-    a pool so that large inputs are not hashed once per tree. Each tree is one group of at
-    most ``sample`` rows.
+    A row enters a tree if its hash for that tree is below one and a half times the sample's
+    share of the rows; of these the ``sample`` least hashes stay. The rule is the same at every size, every row can be
+    drawn for every tree, and each tree is one group of about 1.5 ``sample`` rows.
     """
     rows = df.count()
     columns = list(columns)
-    pool_share = min(1.0, trees * sample * 20 / max(rows, 1))
-    draw = min(1.0, sample * 1.5 / max(rows * pool_share, 1))
+    draw = min(1.0, sample * 1.5 / max(rows, 1))
     narrow = df.select(row_id, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
-    pool = narrow.where(F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(RANGE)) < int(pool_share * RANGE))
     order = lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), F.col(row_id), t), F.lit(RANGE))
     joined = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: order(t) < int(draw * RANGE))
-    drawn = pool.select(row_id, *columns, F.explode(joined).alias("tree")).withColumn("_order", order(F.col("tree")))
+    drawn = narrow.select(row_id, *columns, F.explode(joined).alias("tree")).withColumn("_order", order(F.col("tree")))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["_order", row_id]).head(sample)

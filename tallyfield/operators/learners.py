@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -16,13 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.functions.numbers import rounded
-from tallyfield.operators.encoding import fold_of, standardise
+from tallyfield.operators.encoding import fold_of, standardise, stratified_folds
 from tallyfield.operators.evaluation import confusion
 from tallyfield.operators.ordering import exact_rank
 from tallyfield.session import durable
 
 CLUSTER_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "customer_lifespan", "active_months"]
 SEED = 42
+#: Fits that run side by side; each is a Spark job of its own.
+PARALLEL = 4
+
+
+def side_by_side(work: Callable, items: Sequence) -> list:
+    """Results of independent fits in order; Spark shares its executors among their jobs."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(work, items))
 
 
 def vectors(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
@@ -39,7 +48,7 @@ def scaled_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -
 
 def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, restarts: int = 10):
     """Best of several seeded starts by within-cluster cost."""
-    fits = [KMeans(k=k, seed=seed + i, initMode="k-means||").fit(features) for i in range(restarts)]
+    fits = side_by_side(lambda i: KMeans(k=k, seed=seed + i, initMode="k-means||").fit(features), range(restarts))
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
@@ -95,14 +104,21 @@ def auc(scored: DataFrame, label: str) -> float:
     return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0).evaluate(scored)
 
 
-def cross_validate(df: DataFrame, estimator: Estimator, label: str, row_id: str, folds: int = 5) -> list[float]:
-    """AUC per fold. Classes are balanced inside each training part, so nothing leaks."""
-    marked = df.withColumn("_fold", fold_of(row_id, folds, SEED))
-    scores = []
-    for fold in range(folds):
-        model = estimator.fit(balanced(marked.where(F.col("_fold") != fold), label))
-        scores.append(auc(model.transform(marked.where(F.col("_fold") == fold)), label))
-    return scores
+def cross_validate(df: DataFrame, estimator: Estimator, label: str, row_id: str, folds: int = 5,
+                   balance: Callable[[DataFrame, str], DataFrame] | None = None) -> list[float]:
+    """AUC per fold of stratified folds.
+
+    Classes are balanced inside each training part, so nothing leaks: by weights, or by
+    ``balance``, which may add rows (see ``resample.smote_vectors``).
+    """
+    marked = durable(stratified_folds(df, label, row_id, folds, SEED, "_fold"))
+
+    def score(fold: int) -> float:
+        part = marked.where(F.col("_fold") != fold).drop("_fold")
+        fitted = estimator.fit(balanced(balance(part, label) if balance else part, label))
+        return auc(fitted.transform(marked.where(F.col("_fold") == fold)), label)
+
+    return side_by_side(score, range(folds))
 
 
 def train(df: DataFrame, label: str, names: Sequence[str] | None = None, trees: int = 100) -> dict[str, Model]:
@@ -120,6 +136,29 @@ def probabilities(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame
     )
 
 
+def churn_probabilities(metrics: DataFrame, customer: str = "customer_id", idle_days: int = 90, folds: int = 5) -> DataFrame:
+    """Churn probability of every customer from a model fitted on the other folds.
+
+    The label is a last order of more than ``idle_days`` ago; the features do not hold it. With one class only the
+    probability is the label.
+    """
+    columns = ["total_orders", "total_spent", "avg_order_value", "customer_lifetime_days"]
+    rows = metrics.withColumn("label", (F.col("days_since_last_order") > idle_days).cast("int"))
+    data = durable(stratified_folds(scaled_vectors(rows, columns, [customer, "label"]), "label", customer, folds, SEED, "_fold"))
+    if len(data.select("label").distinct().take(2)) < 2:
+        return data.select(customer, "label", F.col("label").cast("double").alias("churn_probability"), F.col("label").alias("prediction"))
+
+    def score(fold: int) -> DataFrame:
+        model = train(data.where(F.col("_fold") != fold), "label", ["logistic"])["logistic"]
+        return probabilities(model, data.where(F.col("_fold") == fold), [customer, "label"])
+
+    parts = side_by_side(score, range(folds))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.withColumnRenamed("score", "churn_probability")
+
+
 def feature_importance(spark: SparkSession, model: Model, columns: Sequence[str], top: int = 20) -> DataFrame:
     """Importance per feature, largest first; one row per column of the vector."""
     values = model.featureImportances if hasattr(model, "featureImportances") else model.coefficients

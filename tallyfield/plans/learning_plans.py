@@ -15,7 +15,7 @@ from tallyfield.operators import encoding as N
 from tallyfield.operators import forecasting as FC
 from tallyfield.operators import learners as L
 from tallyfield.operators.isolation import fit_isolation_forest
-from tallyfield.operators.resample import smote_balance
+from tallyfield.operators.resample import smote_balance, smote_vectors
 from tallyfield.operators.survival import survival_data
 from tallyfield.plans.bindings import AS_OF, LINES_SQL, lines, orders, per_order, readings
 from tallyfield.plans.cohort_plans import TABLE_SQL, table
@@ -55,13 +55,13 @@ def split(data: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @query("kmeans_clusters")
 def kmeans_clusters(t: Tables) -> DataFrame:
-    labelled = L.kmeans_clusters(rfm_features(t), 4, "customer_id", restarts=3)
+    labelled = L.kmeans_clusters(rfm_features(t), 4, "customer_id")
     return C.cluster_summary(labelled).withColumn("cluster_name", C.cluster_name("cluster", 4))
 
 
 @query("choose_k")
 def choose_k(t: Tables) -> DataFrame:
-    return L.choose_k(t.spark, rfm_features(t), "customer_id", largest=6, restarts=1)
+    return L.choose_k(t.spark, rfm_features(t), "customer_id")
 
 
 @query(
@@ -94,8 +94,7 @@ def fit_forest(t: Tables) -> DataFrame:
 
 @query("fit_boosted")
 def fit_boosted(t: Tables) -> DataFrame:
-    """Twenty rounds here; the operator's default is a hundred."""
-    return _scored(t, "gradient_boosting", 20)
+    return _scored(t, "gradient_boosting", 100)
 
 
 @query("cross_validate")
@@ -109,17 +108,17 @@ def cross_validate(t: Tables) -> DataFrame:
 @query("feature_importance")
 def feature_importance(t: Tables) -> DataFrame:
     fit_on, _ = split(stay_vectors(t))
-    return L.feature_importance(t.spark, L.train(fit_on, "label", ["random_forest"], 20)["random_forest"], STAY_FEATURES)
+    return L.feature_importance(t.spark, L.train(fit_on, "label", ["random_forest"])["random_forest"], STAY_FEATURES)
 
 
 @query("model_comparison")
 def model_comparison(t: Tables) -> DataFrame:
     fit_on, test = split(stay_vectors(t))
-    models = L.train(fit_on, "label", ["logistic", "random_forest"], 10)
-    estimators = L.classifiers(fit_on.count(), "label", 10)
+    models = L.train(fit_on, "label")
+    estimators = L.classifiers(fit_on.count(), "label")
     results = {
         name: (
-            L.cross_validate(fit_on, estimators[name], "label", "admission_id", folds=2),
+            L.cross_validate(fit_on, estimators[name], "label", "admission_id", balance=smote_vectors("admission_id")),
             L.auc(model.transform(test), "label"),
             L.clinical_rates(L.probabilities(model, test, ["admission_id", "label"]), "label"),
         )
@@ -211,30 +210,25 @@ def sensor_features(t: Tables) -> DataFrame:
 def feature_vector_score(t: Tables) -> DataFrame:
     rows = sensor_features(t).withColumn("heavy", (F.col("average_speed") < 15).cast("double"))
     inputs = [c for c in R.FEATURE_DEFAULTS if c != "average_speed"]
-    regression, classifier = L.fit_sensor_models(rows, "average_speed", "heavy", inputs)
-    return L.score_sensors(rows, regression, classifier).select(
-        "event_id", "sensor_id", "predicted_traffic", "congestion_probability"
+    held = N.fold_of("event_id", 5, L.SEED) == 0
+    regression, classifier = L.fit_sensor_models(rows.where(~held), "average_speed", "heavy", inputs)
+    return L.score_sensors(rows.withColumn("is_held_out", held), regression, classifier).select(
+        "event_id", "sensor_id", "is_held_out", "predicted_traffic", "congestion_probability"
     )
 
 
 @query("isolation_forest")
 def isolation_forest(t: Tables) -> DataFrame:
     rows = sensor_features(t)
-    model = fit_isolation_forest(rows, list(R.FEATURE_DEFAULTS)[:7], "event_id")
+    model = fit_isolation_forest(rows, list(R.FEATURE_DEFAULTS), "event_id")
     scored = rows.select("event_id", "sensor_id", model.decision().alias("anomaly_score"))
     return scored.withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int"))
 
 
 @query("churn_model")
 def churn_model(t: Tables) -> DataFrame:
-    """Churn probability per customer from order features that do not hold the recency."""
-    columns = ["total_orders", "total_spent", "avg_order_value", "customer_lifetime_days"]
-    metrics = C.customer_metrics(orders(t), AS_OF).withColumn(
-        "label", (F.col("days_since_last_order") > 90).cast("int")
-    )
-    data = L.scaled_vectors(metrics, columns, ["customer_id", "label"])
-    model = L.train(data, "label", ["logistic"])["logistic"]
-    return L.probabilities(model, data, ["customer_id", "label"]).withColumnRenamed("score", "churn_probability")
+    """Churn probability per customer, scored by a model that was not fitted on that customer."""
+    return L.churn_probabilities(C.customer_metrics(orders(t), AS_OF))
 
 
 @query("item_recommendations")
@@ -248,7 +242,8 @@ def item_recommendations(t: Tables) -> DataFrame:
 
 @query("stay_regression")
 def stay_regression(t: Tables) -> DataFrame:
-    return L.stay_regression(stay_rows(t), "length_of_stay", ["severity", "amount", "q_max", "r", "a", "f"], "admission_id", 10)
+    """From what is known at admission; counts of lines, which are the stay, are left out."""
+    return L.stay_regression(stay_rows(t), "length_of_stay", ["severity", "amount"], "admission_id", 50)
 
 
 @query("mortality_survival")

@@ -201,11 +201,20 @@ def micro_batch_triggers(t: Tables) -> DataFrame:
     )
 
 
-@query("progress_metrics", "SELECT COUNT(*) AS processed_messages FROM events")
+@query(
+    "progress_metrics",
+    "SELECT COUNT(*) AS processed_messages, TRUE AS has_batches, TRUE AS has_batch_time, TRUE AS has_uptime, TRUE AS has_rate FROM events",
+)
 def progress_metrics(t: Tables) -> DataFrame:
+    """The messages are exact; the times are measured, so only their signs can be compared."""
     root = work_folder(t.spark, "progress")
-    done = J.finish(J.start(live(t).events, f"{root}/checkpoint", None, folder=f"{root}/out", name=None))
-    return J.progress_metrics(t.spark, done).select("processed_messages")
+    with J.progress_totals(t.spark) as totals:
+        done = J.finish(J.start(live(t).events, f"{root}/checkpoint", None, folder=f"{root}/out", name=None))
+        report = totals.report(t.spark, done)
+    return report.select(
+        "processed_messages", (F.col("batches") > 0).alias("has_batches"), (F.col("average_processing_millis") > 0).alias("has_batch_time"),
+        (F.col("uptime_seconds") >= 0).alias("has_uptime"), (F.col("messages_per_second") > 0).alias("has_rate"),
+    )
 
 
 @query(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 # Micro-batch intervals and the watermark of the two streams.
 TRAFFIC_TRIGGER, INCIDENT_TRIGGER = "10 seconds", "5 seconds"
@@ -84,22 +87,69 @@ def fan_out(writers: Mapping[str, Callable[[DataFrame, int], None]]) -> Callable
     return each
 
 
-def progress_metrics(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Batches, rows, mean batch time and uptime from the query's recent progress."""
-    rows = [
-        (query.name or str(query.id), int(p["batchId"]), int(p["numInputRows"]), int(p["durationMs"].get("triggerExecution", 0)))
-        for p in query.recentProgress
-    ]
-    return (
-        spark.createDataFrame(rows, "name string, batch long, input_rows long, millis long")
-        .groupBy("name")
-        .agg(
-            F.count(F.lit(1)).alias("batches"),
-            F.sum("input_rows").alias("processed_messages"),
-            F.avg("millis").alias("average_processing_millis"),
-            F.sum("millis").alias("busy_millis"),
+class ProgressTotals(StreamingQueryListener):
+    """Adds up the progress of every query from its first batch on.
+
+    A query itself keeps only its last hundred batches; a listener sees them all and holds a few numbers
+    per query.
+    """
+
+    def __init__(self) -> None:
+        self.totals: dict[str, dict] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self.lock = threading.Lock()
+
+    def _of(self, run: str) -> dict:
+        self.ended.setdefault(run, threading.Event())
+        return self.totals.setdefault(run, {"batches": 0, "messages": 0, "millis": 0, "began": time.time(), "until": time.time()})
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        with self.lock:
+            self._of(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        with self.lock:
+            mine = self._of(str(p.runId))
+            mine["batches"] += 1
+            mine["messages"] += p.numInputRows
+            mine["millis"] += p.durationMs.get("triggerExecution", 0)
+            mine["until"] = time.time()
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self.lock:
+            self._of(str(event.runId))
+            self.ended[str(event.runId)].set()
+
+    def report(self, spark: SparkSession, query: StreamingQuery, wait: float = 30.0) -> DataFrame:
+        """Messages, batches, mean batch time, uptime and rate of one query, as one row."""
+        run = str(query.runId)
+        with self.lock:
+            self._of(run)
+        if not query.isActive:
+            self.ended[run].wait(wait)  # events arrive a little later than the query ends
+        with self.lock:
+            t = dict(self.totals[run])
+        uptime = t["until"] - t["began"]
+        row = (query.name or str(query.id), t["messages"], t["batches"], t["millis"] / max(t["batches"], 1), uptime, t["messages"] / max(uptime, 1e-3))
+        return spark.createDataFrame(
+            [row],
+            "name string, processed_messages long, batches long, average_processing_millis double, uptime_seconds double, messages_per_second double",
         )
-    )
+
+
+@contextlib.contextmanager
+def progress_totals(spark: SparkSession):
+    """A listener on the session's queries for the time of the block."""
+    totals = ProgressTotals()
+    spark.streams.addListener(totals)
+    try:
+        yield totals
+    finally:
+        spark.streams.removeListener(totals)
 
 
 def run_until_any_stops(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> None:

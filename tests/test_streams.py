@@ -80,9 +80,11 @@ def test_expiring_state_keeps_the_newest(spark, folder):
 def test_progress(spark, folder):
     source = f"{folder}/in"
     write(spark, source, [(1, at(0), "a", 10.0), (2, at(1), "a", 10.0)])
-    done = J.finish(J.start(stream(spark, source), f"{folder}/ck", None, folder=f"{folder}/out", name="named"))
-    row = J.progress_metrics(spark, done).first()
+    with J.progress_totals(spark) as totals:
+        done = J.finish(J.start(stream(spark, source), f"{folder}/ck", None, folder=f"{folder}/out", name="named"))
+        row = totals.report(spark, done).first()
     assert (row["name"], row["processed_messages"]) == ("named", 2)
+    assert row["batches"] >= 1 and row["average_processing_millis"] > 0 and row["messages_per_second"] > 0
 
 
 def test_traffic_flow_uses_the_given_clock(spark):
