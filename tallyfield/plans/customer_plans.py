@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.functions.numbers import cents
-from tallyfield.functions.text import GENDER_CODES, recode
+from tallyfield.functions.numbers import cents, share
+from tallyfield.functions.text import GENDER_CODES, plausible_email, recode
 from tallyfield.operators import customers as C
+from tallyfield.plans import daily
 from tallyfield.plans.bindings import AS_OF, COMPLETED, DONE_SQL, ORDERS_SQL, PEOPLE_SQL, RUN_DAY, orders, people
 from tallyfield.plans.registry import Tables, query
+from tallyfield.session import work_folder
 
 
 def completed(t: Tables) -> DataFrame:
@@ -62,14 +66,19 @@ def rfm(t: Tables) -> DataFrame:
     return C.rfm_segments(C.segmentation_extract(completed(t), AS_OF))
 
 
-METRICS_SQL = ORDERS_SQL + """, metrics AS (
+def metrics_sql(day: str, source: str = "ord") -> str:
+    """Metrics per customer on a day, from the orders of ``source``."""
+    return f"""metrics AS (
   SELECT customer_id, COUNT(order_id) AS total_orders,
          CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_spent,
          round_even(CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 2) AS avg_order_value,
          MIN(order_date) AS first_order, MAX(order_date) AS last_order,
-         CAST(date_diff('day', MAX(order_date), DATE '2001-08-02') AS INTEGER) AS days_since_last_order,
+         CAST(date_diff('day', MAX(order_date), DATE '{day}') AS INTEGER) AS days_since_last_order,
          CAST(date_diff('day', MIN(order_date), MAX(order_date)) AS INTEGER) AS customer_lifetime_days
-  FROM ord GROUP BY customer_id)"""
+  FROM {source} GROUP BY customer_id)"""
+
+
+METRICS_SQL = f"{ORDERS_SQL}, {metrics_sql(AS_OF)}"
 
 
 @query("customer_metrics", f"WITH {METRICS_SQL} SELECT * FROM metrics")
@@ -275,3 +284,40 @@ def executive_kpis(t: Tables) -> DataFrame:
 )
 def fact_customer_metrics(t: Tables) -> DataFrame:
     return C.fact_customer_metrics(orders(t), AS_OF)
+
+
+#: Two run dates of the daily queries.
+RUNS = (RUN_DAY, AS_OF)
+
+
+def fact_sql(day: str) -> str:
+    known = f"known AS (SELECT * FROM ord WHERE order_date <= DATE '{day}')"
+    scored = scored_sql("metrics", "days_since_last_order", "total_orders", "total_spent")
+    return f"""(WITH {ORDERS_SQL}, {known}, {metrics_sql(day, 'known')}, {scored}
+    SELECT CAST(customer_id AS VARCHAR) AS customer_id, DATE '{day}' AS metric_date, CAST(total_orders AS INTEGER) AS total_orders,
+      total_spent AS total_revenue, avg_order_value, days_since_last_order,
+      round_even(total_spent * (total_orders / greatest(customer_lifetime_days / 365.0, CAST(1 AS DOUBLE) / 365)) * 2, 2) AS lifetime_value,
+      recency_score, frequency_score, monetary_score, segment AS rfm_segment, TRUE AS has_churn_probability FROM rfm)"""
+
+
+def daily_runs(t: Tables, days: Sequence[str]) -> dict[str, str]:
+    """The folders after one run a day, the first day run twice."""
+    root = work_folder(t.spark, "daily")
+    paths = {}
+    buyers = people(t).where(plausible_email("email")).withColumn("email", F.trim("email"))
+    for day in (*days, days[0]):
+        last = orders(t).groupBy("customer_id").agg(F.max("order_date").alias("last_order"))
+        idle = share(F.count_if(F.datediff(F.lit(day).cast("date"), F.col("last_order")) > 90), F.count(F.lit(1)))
+        paths = daily.run_daily(buyers, orders(t), root, day, {"churn_rate": last.agg(idle.alias("x")).scalar()}, (0, 1_000_000))
+    return paths
+
+
+@query("daily_run", " UNION ALL ".join(f"SELECT * FROM {fact_sql(day)}" for day in RUNS))
+def daily_run(t: Tables) -> DataFrame:
+    """The customer fact after runs on two dates and a repeat of the first: both days stand, once each."""
+    fact = t.spark.read.parquet(daily_runs(t, RUNS)["fact_customer_metrics"])
+    chance = F.coalesce(F.col("churn_probability").between(0, 1), F.lit(False))
+    return fact.select(
+        *[F.col(c).cast("double") if c in ("total_revenue", "avg_order_value", "lifetime_value") else F.col(c) for c in fact.columns if c != "churn_probability"],
+        chance.alias("has_churn_probability"),
+    )

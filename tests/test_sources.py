@@ -72,16 +72,19 @@ def test_daily_run(spark, folder):
     orders = spark.createDataFrame(
         [(i, i % 6, day("2001-01-01") + dt.timedelta(i), 10.0 * i) for i in range(30)], "order_id int, customer_id int, order_date date, amount double"
     )
-    w = Warehouse(spark, f"{folder}/wh", "dailytest_")
-    out = run_daily(people(spark, [f"p{i}@x.org" for i in range(6)]), orders, w, "2001-01-30")
-    assert out["fact_customer_metrics"].count() == 6
-    kpis = out["dm_executive_kpis"].first()
-    assert (kpis["total_orders"], kpis["total_revenue"], kpis["new_customers"]) == (1, 290.0, 0)
-    assert out["dm_customer_cohorts"].first()["retention_rate"] == 1.0
-    again = run_daily(people(spark, [f"p{i}@x.org" for i in range(6)]), orders, w, "2001-01-30")
-    assert again["stg_orders"].count() == 30
+    customers = people(spark, [f"p{i}@x.org" for i in range(6)])
+    for day_ in ("2001-01-20", "2001-01-30", "2001-01-20"):
+        out = {n: spark.read.parquet(p) for n, p in run_daily(customers, orders, folder, day_).items()}
+    fact = out["fact_customer_metrics"]
+    assert rows(fact.groupBy("metric_date").count()) == [(day("2001-01-20"), 6), (day("2001-01-30"), 6)]
+    assert rows(fact.groupBy("metric_date").agg(F.sum("total_orders"))) == [(day("2001-01-20"), 20), (day("2001-01-30"), 30)]
+    assert fact.where("churn_probability between 0 and 1").count() == 12
+    kpis = {r["report_date"]: r for r in out["dm_executive_kpis"].collect()}[day("2001-01-30")]
+    assert (kpis["total_orders"], float(kpis["total_revenue"]), kpis["new_customers"]) == (1, 290.0, 0)
+    assert {float(r["retention_rate"]) for r in out["dm_customer_cohorts"].collect()} == {1.0}
+    assert out["stg_orders"].count() == 30
     with pytest.raises(QualityError):
-        run_daily(people(spark, ["no-mail"]), orders, w, "2001-01-30")
+        run_daily(people(spark, ["no-mail"]), orders, folder, "2001-01-30")
 
 
 def test_bundle_and_csv(spark, folder):
