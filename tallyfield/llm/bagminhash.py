@@ -9,9 +9,9 @@ their weighted Jaccard similarity. Points are made in order of time and only up
 by which all registers of a document are filled.
 
 Bands of registers give buckets of alike bags. In each bucket every member is compared with the
-bucket's first; members that this does not join to the others are then compared with the members of
-other classes in the bucket, so each pair of a bucket is either verified or already in one class.
-The comparison is the exact multiset overlap of the shingles.
+bucket's first. Members that this leaves in different classes are joined once more, by the rarest of their
+shingles, which finds every alike pair across classes without forming the pairs of a bucket. The
+comparison is the exact multiset overlap of the shingles.
 """
 
 from __future__ import annotations
@@ -28,6 +28,12 @@ from tallyfield.llm.common import LAST_ID, SPACED, Sequences, Words, given_id, m
 SHINGLE = 5
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
+#: Cells of the table in which rarity is counted.
+RARITY = 1 << 20
+#: Columns of a sketch, 64 bits each.
+SKETCH = [f"_bits{i}" for i in range(16)]
+#: Elements in more crowded cells are taken as shared without a look.
+DOUBT = 16
 #: Members of one group that are verified in one task at a time.
 LOT = 256
 
@@ -193,6 +199,101 @@ def classes(links: DataFrame) -> DataFrame:
             return labels.select("_node", "_class")
 
 
+def elements(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(row, element): the bags as sets, the second copy of a shingle being another element than the first."""
+    row, shingle, count = bags(words)
+    again = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(row, count), mixed(np.repeat(shingle, count) + again.astype(np.uint64), 31)
+
+
+def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
+    """(_a, _b): all pairs of ``texts`` (_node, _class, _size, _text) in different classes that may be alike.
+
+    Two bags that overlap enough share an element among the first (1 - threshold) share of both, in any
+    order of elements that both use. The order is by rarity, so what many texts have in common, as a
+    passage in each of them, brings no pairs. Rarity is counted in a table of fixed size,
+    which only affects how few pairs come out, never which alike pairs are among them. Elements that only one
+    text has, and sketches of 1,024 bits, bound what two texts can share, which rules out most edited copies
+    of one text before they are compared.
+    """
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(RARITY, np.int64)
+        for batch in slices(batches, "_text", 1_000_000):
+            _, found = elements(Words(batch.column("_text"), SPACED))
+            np.add.at(table, (found % np.uint64(RARITY)).astype(np.int64), 1)
+        used = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(table[used])], names=["_cell", "_seen"])
+
+    seen = texts.select("_text").mapInArrow(counted, "_cell long, _seen long").groupBy("_cell").agg(F.sum("_seen").alias("_seen"))
+    rarity = np.zeros(RARITY, np.int64)
+    for cell, n in seen.collect():  # at most RARITY rows
+        rarity[cell] = n
+    shared = texts.sparkSession.sparkContext.broadcast(rarity)
+    often_of = lambda found: shared.value[(found % np.uint64(RARITY)).astype(np.int64)]
+
+    def doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Elements that may be in this text alone; NULL stands for those that surely are."""
+        for batch in slices(batches, "_text", 1_000_000):
+            row, found = elements(Words(batch.column("_text"), SPACED))
+            often = often_of(found)
+            kept = np.flatnonzero((often > 1) & (often <= DOUBT))
+            sure = np.bincount(row[often == 1], minlength=batch.num_rows)
+            node = batch.column("_node")
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(node), pa.int64()), node, pa.array(sure)], names=["_element", "_node", "_alone"])
+            ones = np.ones(len(kept), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(found[kept])), node.take(pa.array(row[kept])), pa.array(ones)], names=["_element", "_node", "_alone"])
+
+    spread = stored(texts.select("_node", "_text").mapInArrow(doubtful, "_element long, _node long, _alone long"), "bag-doubtful")
+    single = spread.where("_element is not null").groupBy("_element").agg(F.min("_node").alias("_node"), F.sum("_alone").alias("_alone")).where("_alone = 1")
+    alone = spread.where("_element is null").unionByName(single).groupBy("_node").agg(F.sum("_alone").alias("_alone"))
+    # what a text shares with any other is at most what is not in it alone
+    open_texts = texts.join(alone, "_node").withColumn("_common", F.col("_size") - F.col("_alone")).where(F.col("_common") >= threshold * F.col("_size") - 1e-9)
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text", 1_000_000):
+            row, found = elements(Words(batch.column("_text"), SPACED))
+            often = often_of(found)
+            order = np.lexsort((found, often, row))
+            row, found, often = row[order], found[order], often[order]
+            size = np.bincount(row, minlength=batch.num_rows)
+            place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+            kept = (place < size[row] - np.ceil(threshold * size[row] - 1e-9) + 1) & (often > 1)
+            own = row[kept]
+            bits = np.zeros((batch.num_rows, 64 * len(SKETCH)), bool)
+            bits[row, (found >> np.uint64(40)) % np.uint64(64 * len(SKETCH))] = True
+            sketch = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(signed(found[kept])),
+                    *[batch.column(c).take(pa.array(own)) for c in ("_node", "_class", "_size", "_common")],
+                    *[pa.array(sketch[own, i]) for i in range(len(SKETCH))],
+                ],
+                names=["_element", "_node", "_class", "_size", "_common", *SKETCH],
+            )
+
+    columns = ", ".join(f"{c} long" for c in ("_element", "_node", "_class", "_size", "_common", *SKETCH))
+    rare = stored(open_texts.select("_node", "_class", "_size", "_common", "_text").mapInArrow(rarest, columns), "bag-rare")
+    wanted = rare.groupBy(F.col("_element").alias("_of")).agg(F.min("_class").alias("_x"), F.max("_class").alias("_y")).where("_x != _y").select("_of")
+    met = stored(rare.join(wanted, F.col("_element") == F.col("_of"), "left_semi"), "bag-met")
+    other = met.select(
+        "_element", F.col("_node").alias("_with"), F.col("_size").alias("_other"), F.col("_class").alias("_beyond"), F.col("_common").alias("_shared"),
+        *[F.col(c).alias(f"{c}_other") for c in SKETCH],
+    )
+    # every bit that one text has set and the other has not is an element that they do not share
+    apart = lambda a, b: sum((F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) for x, y in zip(a, b)), F.lit(0))
+    others = [f"{c}_other" for c in SKETCH]
+    most = F.least(F.col("_size") - apart(SKETCH, others), F.col("_other") - apart(others, SKETCH), "_common", "_shared")
+    needed = threshold / (1 + threshold) * (F.col("_size") + F.col("_other")) - 1e-9
+    return (
+        met.join(other, "_element")
+        .where("_class < _beyond")
+        .where((F.least("_size", "_other") >= threshold * F.greatest("_size", "_other")) & (most >= needed))
+        .select(F.least("_node", "_with").alias("_a"), F.greatest("_node", "_with").alias("_b"))
+        .distinct()
+    )
+
+
 def class_members(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: _id, _tx, _words, _head (least id and text hash of its class), _count.
 
@@ -203,36 +304,31 @@ def class_members(docs: DataFrame, threshold: float = 0.8, id_column: str = "doc
     rows = docs.select(own_id(id_column).alias("_id"), F.xxhash64(text).alias("_node"), text.alias("_text"))
     held = stored(buckets(rows.select("_node", "_text")), "bag-buckets")
     shared = stored(
-        held.groupBy(F.col("_bucket").alias("_of")).agg(F.min("_node").alias("_first"), F.max("_node").alias("_final")).where("_first != _final"),
+        held.groupBy(F.col("_bucket").alias("_of")).agg(F.min("_node").alias("_low"), F.max("_node").alias("_high"), F.count(F.lit(1)).alias("_crowd")).where("_low != _high"),
         "bag-shared",
     )
-    members = stored(
-        held.join(shared, F.col("_bucket") == F.col("_of")).groupBy("_bucket", "_first", "_node").agg(F.first("_size").alias("_size")), "bag-members"
+    alike = stored(
+        held.join(shared, F.col("_bucket") == F.col("_of")).groupBy("_bucket", "_node").agg(F.first("_size").alias("_size"), F.first("_crowd").alias("_crowd")), "bag-alike"
     )
+    # the text that most others resemble is in the most crowded buckets; it is the one to compare with
+    fame = stored(alike.groupBy("_node").agg(F.sum("_crowd").alias("_fame")), "bag-fame")
+    members = stored(alike.join(fame, "_node").select("_bucket", "_node", "_size", "_fame"), "bag-members")
+    centre = members.groupBy(F.col("_bucket").alias("_of")).agg(F.max_by("_node", F.struct("_fame", "_node")).alias("_first"))
     texts = rows.select("_node", "_text").groupBy("_node").agg(F.first("_text").alias("_text"))
 
     def checked(pairs: DataFrame, purpose: str) -> DataFrame:
         sized = pairs.groupBy("_a").agg(F.count(F.lit(1)).alias("_held"))
         return stored(verified(texts, pairs.join(sized, "_a"), threshold), purpose)
 
-    stars = stored(members.where("_node != _first").select(F.col("_first").alias("_a"), F.col("_node").alias("_b")).distinct(), "bag-stars")
+    stars = stored(members.join(centre, F.col("_bucket") == F.col("_of")).where("_node != _first").select(F.col("_first").alias("_a"), F.col("_node").alias("_b")).distinct(), "bag-stars")
     links = checked(stars, "bag-links")
     found = classes(links)
     labelled = stored(
         members.join(found, "_node", "left").select("_bucket", "_node", "_size", F.coalesce("_class", "_node").alias("_class")), "bag-labelled"
     )
-    # members of a bucket that are still in different classes: all pairs across classes, if their sizes allow it
     mixed_buckets = labelled.groupBy("_bucket").agg(F.min("_class").alias("_x"), F.max("_class").alias("_y")).where("_x != _y").select("_bucket")
-    apart = stored(labelled.join(mixed_buckets, "_bucket"), "bag-apart")
-    other = apart.select("_bucket", F.col("_node").alias("_b"), F.col("_size").alias("_other"), F.col("_class").alias("_with"))
-    rest = (
-        apart.join(other, "_bucket")
-        .where("_class < _with")
-        .where(F.least("_size", "_other") >= threshold * F.greatest("_size", "_other"))
-        .select(F.least("_node", "_b").alias("_a"), F.greatest("_node", "_b").alias("_b"))
-        .distinct()
-        .join(stars, ["_a", "_b"], "left_anti")
-    )
+    apart = labelled.join(mixed_buckets, "_bucket").groupBy("_node", "_class").agg(F.first("_size").alias("_size"))
+    rest = across_classes(stored(texts.join(apart, "_node"), "bag-apart"), threshold).join(stars, ["_a", "_b"], "left_anti")
     rest = stored(rest, "bag-rest")
     if rest.limit(1).count():
         found = classes(links.union(checked(rest, "bag-more")))
