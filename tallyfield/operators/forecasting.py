@@ -34,18 +34,21 @@ def _design(y: np.ndarray, lags: int, seasonal: bool, start: int) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def lag_forecast(y: np.ndarray, horizon: int = 12) -> tuple[np.ndarray, np.ndarray, str]:
+def lag_forecast(y: np.ndarray, horizon: int = 12, seasonal_from: int = 36, most_lags: int = 3) -> tuple[np.ndarray, np.ndarray, str]:
     """Point forecasts, their spread and the chosen order.
 
-    Candidates regress on a trend, up to three lags and, with three years of data, the
-    value of the same month a year before; the smallest corrected AIC wins.
+    Candidates regress on a trend, up to ``most_lags`` lags and, from ``seasonal_from`` months on, the
+    value of the same month a year before. All are fitted on the same months, so that their corrected AIC
+    can be compared; the smallest wins. The spread at a step sums the weights with which
+    earlier errors reach it.
     """
     best = None
-    for seasonal in (False, True):
-        for lags in (0, 1, 2, 3):
-            start = max(lags, 12 if seasonal else 0)
+    yearly = len(y) >= seasonal_from
+    start = 12 if yearly else min(most_lags, max(len(y) - 6, 0))
+    for seasonal in (False, True)[: 1 + yearly]:
+        for lags in range(min(most_lags, start) + 1):
             n, k = len(y) - start, 3 + lags + seasonal
-            if (seasonal and len(y) < 36) or n <= k + 1:
+            if n <= k + 1:
                 continue
             x, target = _design(y, lags, seasonal, start), y[start:]
             weights = np.linalg.lstsq(x, target, rcond=None)[0]
@@ -61,7 +64,13 @@ def lag_forecast(y: np.ndarray, horizon: int = 12) -> tuple[np.ndarray, np.ndarr
     for _ in range(horizon):
         grown = np.array([*series, 0.0])
         series.append(float(_design(grown, lags, seasonal, len(series))[-1] @ weights))
-    spread = np.sqrt(variance * np.arange(1, horizon + 1)) if lags else np.full(horizon, np.sqrt(variance))
+    carry = np.zeros(13)
+    carry[1 : lags + 1] = weights[2 : 2 + lags]
+    carry[12] += weights[2 + lags] if seasonal else 0.0
+    reach = [1.0]
+    for h in range(1, horizon):
+        reach.append(sum(carry[i] * reach[h - i] for i in range(1, min(h, 12) + 1)))
+    spread = np.sqrt(variance * np.cumsum(np.square(reach)))
     return np.array(series[len(y):]), spread, f"lags={lags}{' seasonal' if seasonal else ''} trend"
 
 

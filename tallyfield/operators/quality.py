@@ -36,6 +36,17 @@ def missing_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if c not in df.columns]
 
 
+def column_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """One row per expected column: present or not, rows checked, rows that are not NULL."""
+    absent = set(missing_columns(df, expected))
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(c not in absent).alias("present"), F.count(F.lit(1)).alias("checked"),
+                 (F.lit(0).cast("bigint") if c in absent else F.count(c)).alias("filled"))
+        for c in expected
+    ]
+    return df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
+
+
 def broken_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(check_name, checked, failed) for row rules, all from one pass over the data."""
     counts = df.agg(

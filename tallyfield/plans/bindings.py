@@ -141,17 +141,21 @@ def per_order(t: Tables) -> DataFrame:
     )
 
 
-def admissions(t: Tables) -> DataFrame:
-    """Orders as admissions; the stay is the number of lines."""
+def admissions(t: Tables, per_line: DataFrame | None = None) -> DataFrame:
+    """Orders as admissions; the stay is the number of lines.
+
+    ``per_line`` is ``per_order`` for callers that need its columns as well: they are kept, and
+    the lines are aggregated once.
+    """
     stay = F.coalesce(F.col("n"), F.lit(0)).cast("int")
     p = F.col("priority")
+    if per_line is None:
+        counts, kept = t.lineitem.groupBy(F.col("l_orderkey").alias("_order")).agg(F.count(F.lit(1)).alias("n")), []
+    else:
+        counts, kept = per_line.withColumnRenamed("admission_id", "_order"), [c for c in per_line.columns if c != "admission_id"]
     return (
         orders(t)
-        .join(
-            t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")),
-            F.col("order_id") == F.col("l_orderkey"),
-            "left",
-        )
+        .join(counts, F.col("order_id") == F.col("_order"), "left")
         .select(
             F.col("customer_id").alias("patient_id"),
             F.col("order_id").alias("admission_id"),
@@ -171,6 +175,7 @@ def admissions(t: Tables) -> DataFrame:
             .otherwise("Unknown")
             .alias("severity_of_illness"),
             "amount",
+            *kept,
         )
     )
 

@@ -230,8 +230,7 @@ def clinical(t: Tables) -> DataFrame:
     )
     stay = F.col("length_of_stay") % 3
     return (
-        admissions(t)
-        .join(per_order(t), "admission_id", "left")
+        admissions(t, per_order(t))
         .join(ages, "patient_id")
         .withColumns(
             {

@@ -73,20 +73,24 @@ def inner_equi_join(t: Tables) -> DataFrame:
     LEFT JOIN cond USING (admission_id) LEFT JOIN used USING (patient_id) LEFT JOIN social USING (patient_id) LEFT JOIN again USING (admission_id)""",
 )
 def star_left_joins(t: Tables) -> DataFrame:
-    facts = admissions(t).select("admission_id", "patient_id", "admission_date", "length_of_stay")
-    o = per_order(t)
+    """Labs, vitals, drugs and conditions are columns of one aggregate of the lines, so they join as one."""
+    n = F.col("n")
+    facts = admissions(t, per_order(t)).select(
+        "admission_id", "patient_id", "length_of_stay",
+        rounded(F.col("q") / n.cast("double") / 2, 6).alias("hemoglobin"),
+        F.when(n > 1, 80 + F.col("q_max")).alias("avg_systolic_bp"),
+        F.when(n > 2, n * 2).alias("total_medications"),
+        F.when(F.col("r") > 0, F.col("r")).alias("charlson_comorbidity_index"),
+    )
     used = orders(t).groupBy(F.col("customer_id").alias("patient_id")).agg(F.count(F.lit(1)).alias("total_admissions"))
     social = people(t).select(
         F.col("customer_id").alias("patient_id"), (F.col("balance") < 0).cast("int").alias("financial_hardship")
     )
-    again = A.next_event_gap(facts.select("patient_id", "admission_id", "admission_date"))
+    dates = orders(t).select(F.col("customer_id").alias("patient_id"), F.col("order_id").alias("admission_id"), F.col("order_date").alias("admission_date"))
+    again = A.next_event_gap(dates)
     return J.star_join(
-        facts.drop("admission_date"),
+        facts,
         [
-            ("labs", o.select("admission_id", rounded(F.col("q") / F.col("n").cast("double") / 2, 6).alias("hemoglobin")), "admission_id"),
-            ("vitals", o.where("n > 1").select("admission_id", (80 + F.col("q_max")).alias("avg_systolic_bp")), "admission_id"),
-            ("drugs", o.where("n > 2").select("admission_id", (F.col("n") * 2).alias("total_medications")), "admission_id"),
-            ("conditions", o.where("r > 0").select("admission_id", F.col("r").alias("charlson_comorbidity_index")), "admission_id"),
             ("utilisation", used, "patient_id"),
             ("social", social, "patient_id"),
             ("readmissions", again.select("admission_id", "readmission_date"), "admission_id"),

@@ -147,8 +147,14 @@ def model_store(t: Tables) -> DataFrame:
 
 @query("revenue_forecast")
 def revenue_forecast(t: Tables) -> DataFrame:
-    monthly = H.monthly_revenue(table(t)).withColumn("series", F.lit("revenue"))
-    return FC.forecast(monthly, ["series"], "order_month", "total_revenue")
+    """A forecast for each market segment and nation. Orders shrink to customer-months before the join."""
+    months = H.active_months(completed(t))
+    monthly = (
+        months.join(t.customer, F.col("customer_id") == F.col("c_custkey"))
+        .groupBy(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"), F.col("month").alias("order_month"))
+        .agg((F.sum("cents") / F.lit(100.0)).alias("total_revenue"))
+    )
+    return FC.forecast(monthly, ["segment", "nation"], "order_month", "total_revenue")
 
 
 @query(

@@ -15,14 +15,12 @@ EMAIL_SQL = "'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'"
 
 @query(
     "dq_column_exists",
-    "SELECT 'o_orderkey' AS column_name, TRUE AS present UNION ALL SELECT 'o_comment', FALSE",
+    """SELECT 'o_orderkey' AS column_name, TRUE AS present, COUNT(*) AS checked, COUNT(o_orderkey) AS filled FROM orders
+    UNION ALL SELECT 'o_orderstatus', TRUE, COUNT(*), COUNT(o_orderstatus) FROM orders UNION ALL SELECT 'o_comment', FALSE, COUNT(*), 0 FROM orders""",
 )
 def dq_column_exists(t: Tables) -> DataFrame:
-    frame = t.orders
-    absent = Q.missing_columns(frame, ["o_orderkey", "o_comment"])
-    return frame.agg(F.array(F.lit("o_orderkey"), F.lit("o_comment")).alias("names")).select(
-        F.explode("names").alias("column_name")
-    ).withColumn("present", ~F.col("column_name").isin(absent))
+    """Each declared column with its presence, the rows checked and the rows that fill it."""
+    return Q.column_report(t.orders, ["o_orderkey", "o_orderstatus", "o_comment"])
 
 
 @query("dq_not_null", f"WITH {PEOPLE_SQL} SELECT 'email not null' AS check_name, COUNT(*) AS checked, COUNT(*) - COUNT(email) AS failed FROM people"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -134,10 +136,11 @@ def ctas_replace(t: Tables) -> DataFrame:
 )
 def view_customer_360(t: Tables) -> DataFrame:
     w = warehouse(t)
-    w.view("vw_customer_360", C.customer_360(stage_customers(people(t), AS_OF), orders(t), AS_OF))
+    name = f"vw_customer_360_{uuid.uuid4().hex}"  # views are shared by all queries of a session
+    w.view(name, C.customer_360(stage_customers(people(t), AS_OF), orders(t), AS_OF))
     return t.spark.sql(
         "SELECT generation, COUNT(*) AS customers, SUM(total_orders) AS orders, MAX(last_order_date) AS last_order_date"
-        " FROM vw_customer_360 GROUP BY generation"
+        f" FROM {name} GROUP BY generation"
     )
 
 
