@@ -97,3 +97,30 @@ def op3_line_dedup(spark: SparkSession, base: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, base: str) -> DataFrame:
     """The language of every text, learned from the documents outside the held-out fold."""
     return bigru.language_report(load(spark, base, "documents"))
+
+
+# ---- SQL of the queries that SQL can express ----
+
+_SUBSTRINGS = r"""WITH w AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 49), ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM w)),
+early AS (SELECT k, MIN(doc_id) AS m FROM win GROUP BY k),
+hit AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN early USING (k) WHERE m < doc_id)),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, COUNT(*) AS n FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY 1)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - COALESCE(n, 0) AS BIGINT) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_WORDS = f"regexp_extract_all(translate(COALESCE(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_WINDOWS = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item AS (SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+test AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM item)),
+win AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS k
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM item))),
+met AS (SELECT doc_id, n, i, item_id FROM win JOIN test USING (n, k)),
+hit AS (SELECT doc_id, COUNT(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM met) GROUP BY 1),
+ids AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIGINT) AS n_hit, CAST(COALESCE(n_items, 0) AS BIGINT) AS n_items,
+  sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+
+ORACLES.update(op6_substring_dedup=_SUBSTRINGS, op7_decontamination=_WINDOWS)
