@@ -18,7 +18,7 @@ from tallyfield.plans.bindings import (
 )
 from tallyfield.plans.registry import Tables, query
 from tallyfield.plans.source_plans import STAGED_SQL
-from tallyfield.sources.messages import parse_json
+from tallyfield.sources.messages import parse_json, rejected
 
 
 @query("stg_clean", f"WITH {STAGED_SQL} SELECT customer_id, first_name, last_name, email FROM staged")
@@ -185,6 +185,12 @@ def json_parse_flatten(t: Tables) -> DataFrame:
     )
 
 
+@query("json_rejects", f"WITH {SENSORS_SQL} SELECT event_id, 20 AS rejected_length FROM readings WHERE road_id = 'error' AND vehicle_count % 5 = 0")
+def json_rejects(t: Tables) -> DataFrame:
+    """The other side of ``json_parse_flatten``: messages that the schema refuses, with their text."""
+    return rejected(messages(t), R.TRAFFIC_SCHEMA, keep=["event_id"]).select("event_id", F.length("rejected").alias("rejected_length"))
+
+
 @query(
     "nested_access",
     f"""WITH {SENSORS_SQL} SELECT event_id, lane_id, vehicle_count AS cars, CAST(vehicle_count % 7 AS INTEGER) AS trucks,

@@ -105,16 +105,37 @@ def sliding_window(t: Tables) -> DataFrame:
     WHERE session_end + INTERVAL 30 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 5 MINUTE""",
 )
 def session_window(t: Tables) -> DataFrame:
-    """Sessions the watermark has closed; sessions still open at the end are not given out."""
+    """Sessions that the watermark has closed: append mode gives a session out once, when it can no longer grow.
+
+    Sessions that are open when the stream stops stay in its state and come out of the next run. ``session_table`` has all.
+    """
     out = drain(t, S.session_metrics(S.timed(live(t).events, "ts"), "ts", "user_id"))
     return plain_time(out, "session_start", "session_end")
 
 
-@query("watermark_late_drop", "SELECT event_type, COUNT(*) AS n FROM events GROUP BY 1")
+@query(
+    "watermark_late_drop",
+    """WITH late AS (SELECT event_type, ts FROM events WHERE event_id % 3 = 0),
+    closed AS (SELECT date_trunc('milliseconds', MAX(ts)) - INTERVAL 5 MINUTE AS edge FROM events)
+    SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (is_late) AS late FROM (SELECT event_type, FALSE AS is_late FROM events
+      UNION ALL SELECT event_type, TRUE FROM late WHERE ts > (SELECT edge FROM closed)) GROUP BY 1""",
+)
 def watermark_late_drop(t: Tables) -> DataFrame:
-    """The supplied events are in order, so the watermark drops none of them."""
-    flow = S.without_repeats(S.timed(live(t).events, "ts"), ["event_id"])
-    return drain(t, flow.select("event_id", "event_type")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    """All events arrive, then a third of them again under new ids, most of them far behind the watermark.
+
+    The second delivery is another run on the same checkpoint; the watermark that the first run left drops
+    what is older than it and lets the rest through.
+    """
+    root = work_folder(t.spark, "late")
+    events = t.events.select("event_id", "event_type", "ts", F.lit(False).alias("is_late"))
+    late = events.where("event_id % 3 = 0").withColumns({"event_id": -F.col("event_id") - 1, "is_late": F.lit(True)})
+    for delivery in (events, late):
+        delivery.write.mode("append").parquet(f"{root}/in")
+        flow = S.without_repeats(S.timed(file_stream(t.spark, f"{root}/in", events.schema), "ts"), ["event_id"])
+        J.finish(J.start(flow, f"{root}/checkpoint", None, folder=f"{root}/out"))
+    return t.spark.read.parquet(f"{root}/out").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_late")).alias("late")
+    )
 
 
 @query("stream_dedup", "SELECT event_id, event_type, value FROM events")
@@ -143,7 +164,9 @@ def route_diversion(t: Tables) -> DataFrame:
 )
 def stream_latest_state(t: Tables) -> DataFrame:
     flow = S.latest_per_key(S.timed(readings(live(t)), "ts"), "sensor_id", "ts", "event_id", ["average_speed", "vehicle_count"])
-    return plain_time(drain_updates(t, flow, ["sensor_id"]), "updated_at")
+    rows = drain_updates(t, flow, ["sensor_id", "window_start"])
+    newest = rows.groupBy("sensor_id").agg(F.max_by(F.struct("updated_at", "average_speed", "vehicle_count"), "updated_at").alias("r"))
+    return plain_time(newest.select("sensor_id", "r.*"), "updated_at")
 
 
 @query(

@@ -45,9 +45,22 @@ def parse_json(raw: DataFrame, schema: T.StructType, value: str = "value", keep:
     return raw.select(*keep, F.from_json(F.col(value), schema).alias("data")).select(*keep, "data.*")
 
 
-def rejected(raw: DataFrame, value: str = "value") -> DataFrame:
-    """The messages that are not valid JSON, for a side output."""
-    return raw.where(F.try_parse_json(F.col(value)).isNull())
+def parse_checked(raw: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """As ``parse_json``, with the text of a message that does not fit the schema in ``rejected``.
+
+    One parse gives both: NULL in ``rejected`` marks the good rows. Text that is no JSON, JSON of another
+    shape and fields of another type are all rejected, as is a NULL message (as the empty text).
+    """
+    checked = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    data = F.from_json(F.col(value), checked, {"columnNameOfCorruptRecord": "_corrupt"})
+    parsed = raw.select(*keep, F.col(value).alias("_raw"), data.alias("data"))
+    bad = F.when(F.col("data").isNull() | F.col("data._corrupt").isNotNull(), F.coalesce("data._corrupt", "_raw", F.lit("")))
+    return parsed.select(*keep, *[F.col(f"data.{f.name}") for f in schema.fields], bad.alias("rejected"))
+
+
+def rejected(raw: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The messages that do not fit the schema, for a side output."""
+    return parse_checked(raw, schema, value, keep).where(F.col("rejected").isNotNull()).select(*keep, "rejected")
 
 
 def as_messages(alerts: DataFrame, topic: str, key: str) -> DataFrame:

@@ -64,11 +64,16 @@ def without_repeats(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(list(ids))
 
 
-def latest_per_key(df: DataFrame, key: str, ts: str, tie: str, fields: Sequence[str]) -> DataFrame:
-    """Newest record per key, for update mode. Partial results are combined before the
-    shuffle, so a hot road does not land in one task row by row."""
-    return df.groupBy(key).agg(F.max_by(F.struct(ts, *fields), F.struct(ts, tie)).alias("r")).select(
-        key, F.col(f"r.{ts}").alias("updated_at"), *[F.col(f"r.{f}").alias(f) for f in fields]
+def latest_per_key(df: DataFrame, key: str, ts: str, tie: str, fields: Sequence[str], ttl: str = "1 day") -> DataFrame:
+    """Newest record per key and ``ttl`` of event time, for update mode.
+
+    The watermark of ``df`` drops the state of times that have passed, so a key that falls silent is
+    forgotten. Partial results are combined before the shuffle, so a hot road does not land
+    in one task row by row. The reader takes the newest of a key's rows.
+    """
+    newest = F.max_by(F.struct(ts, *fields), F.struct(ts, tie)).alias("r")
+    return df.groupBy(key, F.window(ts, ttl).alias("w")).agg(newest).select(
+        key, F.col("w.start").alias("window_start"), F.col(f"r.{ts}").alias("updated_at"), *[F.col(f"r.{f}").alias(f) for f in fields]
     )
 
 

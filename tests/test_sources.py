@@ -42,7 +42,10 @@ def test_malformed_messages(spark):
     )
     parsed = messages.parse_json(raw, TRAFFIC_SCHEMA, keep=["id"])
     assert rows(parsed.select("id", "sensor_id", "measurements.average_speed")) == [(1, "S1", 4.9), (2, None, None), (3, "S3", None)]
-    assert rows(messages.rejected(raw), "id") == [(2,)]
+    other = raw.union(spark.createDataFrame([(4, '["a list"]'), (5, '{"sensor_id":"S5","measurements":{"average_speed":"fast"}}'), (6, None)], raw.schema))
+    assert rows(messages.rejected(other, TRAFFIC_SCHEMA, keep=["id"]), "id") == [(2,), (4,), (5,), (6,)]
+    good = messages.parse_checked(other, TRAFFIC_SCHEMA, keep=["id"]).where("rejected is null")
+    assert rows(good, "id", "sensor_id") == [(1, "S1"), (3, "S3")]
 
 
 def test_topics_and_kafka_options(spark):
