@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import bagminhash, bigru, linededup, packing, winnowing
-from tallyfield.llm.common import LAST_ID, keyed, stored
+from tallyfield.llm.common import LAST_ID, keyed, lean, stored
 from tallyfield.session import configure, load
 
 #: Texts whose best language has less pooled probability than this are in no known language.
@@ -36,6 +36,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The network learns from the labelled rows outside the held-out fold. NULL texts, texts without a letter
     and texts of which no language has a probability of ``LEAST_SCORE`` go.
     """
+    lean(spark)
     network = bigru.train(docs.where(~bigru.held_out()))
     unknown = (F.col("lang_pred") == bigru.UNKNOWN) | (F.col("score") < LEAST_SCORE)
     rejected = stored(bigru.identify(docs, network).where(unknown).select("_id", "_tx").distinct(), "stage-language")
@@ -51,6 +52,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the new text where the column exists. Documents that lose no line stay as they are.
     """
+    lean(spark)
     gone = linededup.removed_lines(keyed(docs))
     kept = F.pandas_udf(kept_text, "string")(F.col("d.text"), F.col("r._gone"))
     marked = beside(docs, gone, "left").select("d.*", F.col("r._gone").isNotNull().alias("__cut"), kept.alias("__kept"))
@@ -68,6 +70,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Of texts that share that id the one with the least hash stays, and of rows that repeat both one.
     Texts without words are in no class and stay.
     """
+    lean(spark)
     classes = stored(bagminhash.class_members(docs), "stage-classes")
     stays = (F.col("_head._id") == F.col("_id")) & (F.col("_head._tx") == F.col("_tx"))
     kept = beside(docs, classes.where(F.col("_words") & ~stays).select("_id", "_tx").distinct(), "left_anti")
@@ -81,12 +84,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a twentieth or more are words of benchmark windows."""
+    lean(spark)
     found = winnowing.hits(docs, load(spark, sf_dir, "benchmark"))
     return beside(docs, stored(found.where("contaminated").select("_id", "_tx").distinct(), "stage-dirty"), "left_anti")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack the documents into sequences of at most 2048 tokens; one row per piece."""
+    lean(spark)
     path = public_tokenizers.path
     return packing.pack_documents(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
 

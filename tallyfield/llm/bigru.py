@@ -20,6 +20,8 @@ from tallyfield.llm.common import given_id, own_id, raw, slices
 UNKNOWN = "und"
 #: Texts are read in pieces of so many bytes, each from a fresh state.
 PIECE = 256
+#: Pieces that are read side by side; their states take some 30 MB.
+LANES = 512
 #: The sample: stretches at most for one language and for all, and characters of a stretch.
 PER_LANGUAGE, SAMPLE, STRETCH = 400, 8000, 1000
 UNITS, STEPS, BATCH, TRAIN_PIECE = 8, 400, 128, 64
@@ -139,8 +141,8 @@ class Network:
         order = np.argsort(-length, kind="stable")
         row, start, length = row[order], start[order], length[order]
         sums = np.zeros((len(sizes), len(self.languages)))
-        for at in range(0, len(row), 2048):
-            r, s, n = row[at : at + 2048], start[at : at + 2048], length[at : at + 2048]
+        for at in range(0, len(row), LANES):
+            r, s, n = row[at : at + LANES], start[at : at + LANES], length[at : at + LANES]
             place = s + np.arange(n[0])[:, None]
             active = np.searchsorted(-n, -np.arange(n[0]), side="left")
             p, _ = self.probabilities(data[np.minimum(place, len(data) - 1)], active)

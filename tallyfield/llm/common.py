@@ -8,7 +8,6 @@ whose result is returned for each of the rows.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -48,6 +47,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def lean(spark: SparkSession) -> SparkSession:
+    """Arrow batches of a few megabytes: with texts, the default of 10,000 rows takes tens in each task twice."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def pieces(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -78,7 +83,7 @@ def numbered(df: DataFrame, key: str, spread: Column, order: Sequence[str], out:
 # ---- Arrow batches -------------------------------------------------------------------------
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` has about ``most_bytes`` bytes in each; rows stay whole."""
     for batch in batches:
         if not batch.num_rows:
@@ -90,6 +95,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2_0
             upto = min(max(upto, at + 1), batch.num_rows)
             yield batch.slice(at, upto - at)
             at = upto
+        pa.default_memory_pool().release_unused()  # a worker lives through many stages
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,20 +136,24 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(BASE, -1, 2**64)
-    up, down = np.full(n, BASE, np.uint64), np.full(n, inverse, np.uint64)
-    up[:1] = down[:1] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """The powers of BASE and of its inverse; one table serves all lengths and grows when it must."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(16, n.bit_length())
+        table = np.full((2, size), [[BASE], [pow(BASE, -1, 2**64)]], np.uint64)
+        table[:, 0] = 1
+        _POWERS[:] = [np.multiply.accumulate(row) for row in table]
+    return _POWERS
 
 
 class Sequences:
     """Hashes of any stretch of a sequence of 64-bit values, each in constant time."""
 
     def __init__(self, values: np.ndarray):
-        size = 1 << max(16, int(len(values)).bit_length())
-        up, self.down = _powers(size)
+        up, self.down = _powers(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * up[: len(values)], out=self.sums[1:])
 

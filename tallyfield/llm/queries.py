@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import bagminhash, bigru, fmindex, linededup, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
+from tallyfield.llm.common import lean
 from tallyfield.session import configure, load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +18,7 @@ ORACLES: dict[str, str] = {}
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, base: str) -> DataFrame:
-        return f(configure(spark), base)
+        return f(lean(configure(spark)), base)
 
     run.__name__, run.__doc__ = f.__name__, f.__doc__
     QUERIES[f.__name__] = run
