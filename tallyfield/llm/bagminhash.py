@@ -29,11 +29,9 @@ SHINGLE = 5
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 #: Cells of the table in which rarity is counted.
-RARITY = 1 << 20
+RARITY = 1 << 16
 #: Columns of a sketch, 64 bits each.
 SKETCH = [f"_bits{i}" for i in range(16)]
-#: Elements in more crowded cells are taken as shared without a look.
-DOUBT = 16
 #: Members of one group that are verified in one task at a time.
 LOT = 256
 
@@ -212,9 +210,8 @@ def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
     Two bags that overlap enough share an element among the first (1 - threshold) share of both, in any
     order of elements that both use. The order is by rarity, so what many texts have in common, as a
     passage in each of them, brings no pairs. Rarity is counted in a table of fixed size,
-    which only affects how few pairs come out, never which alike pairs are among them. Elements that only one
-    text has, and sketches of 1,024 bits, bound what two texts can share, which rules out most edited copies
-    of one text before they are compared.
+    which only affects how few pairs come out, never which alike pairs are among them. Sketches of 1,024
+    bits bound what two texts can share, which rules out most edited copies of one text before they are compared.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,30 +227,11 @@ def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
     for cell, n in seen.collect():  # at most RARITY rows
         rarity[cell] = n
     shared = texts.sparkSession.sparkContext.broadcast(rarity)
-    often_of = lambda found: shared.value[(found % np.uint64(RARITY)).astype(np.int64)]
-
-    def doubtful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Elements that may be in this text alone; NULL stands for those that surely are."""
-        for batch in slices(batches, "_text", 1_000_000):
-            row, found = elements(Words(batch.column("_text"), SPACED))
-            often = often_of(found)
-            kept = np.flatnonzero((often > 1) & (often <= DOUBT))
-            sure = np.bincount(row[often == 1], minlength=batch.num_rows)
-            node = batch.column("_node")
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(node), pa.int64()), node, pa.array(sure)], names=["_element", "_node", "_alone"])
-            ones = np.ones(len(kept), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(found[kept])), node.take(pa.array(row[kept])), pa.array(ones)], names=["_element", "_node", "_alone"])
-
-    spread = stored(texts.select("_node", "_text").mapInArrow(doubtful, "_element long, _node long, _alone long"), "bag-doubtful")
-    single = spread.where("_element is not null").groupBy("_element").agg(F.min("_node").alias("_node"), F.sum("_alone").alias("_alone")).where("_alone = 1")
-    alone = spread.where("_element is null").unionByName(single).groupBy("_node").agg(F.sum("_alone").alias("_alone"))
-    # what a text shares with any other is at most what is not in it alone
-    open_texts = texts.join(alone, "_node").withColumn("_common", F.col("_size") - F.col("_alone")).where(F.col("_common") >= threshold * F.col("_size") - 1e-9)
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text", 1_000_000):
             row, found = elements(Words(batch.column("_text"), SPACED))
-            often = often_of(found)
+            often = shared.value[(found % np.uint64(RARITY)).astype(np.int64)]
             order = np.lexsort((found, often, row))
             row, found, often = row[order], found[order], often[order]
             size = np.bincount(row, minlength=batch.num_rows)
@@ -266,24 +244,24 @@ def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(found[kept])),
-                    *[batch.column(c).take(pa.array(own)) for c in ("_node", "_class", "_size", "_common")],
+                    *[batch.column(c).take(pa.array(own)) for c in ("_node", "_class", "_size")],
                     *[pa.array(sketch[own, i]) for i in range(len(SKETCH))],
                 ],
-                names=["_element", "_node", "_class", "_size", "_common", *SKETCH],
+                names=["_element", "_node", "_class", "_size", *SKETCH],
             )
 
-    columns = ", ".join(f"{c} long" for c in ("_element", "_node", "_class", "_size", "_common", *SKETCH))
-    rare = stored(open_texts.select("_node", "_class", "_size", "_common", "_text").mapInArrow(rarest, columns), "bag-rare")
+    columns = ", ".join(f"{c} long" for c in ("_element", "_node", "_class", "_size", *SKETCH))
+    rare = stored(texts.select("_node", "_class", "_size", "_text").mapInArrow(rarest, columns), "bag-rare")
     wanted = rare.groupBy(F.col("_element").alias("_of")).agg(F.min("_class").alias("_x"), F.max("_class").alias("_y")).where("_x != _y").select("_of")
     met = stored(rare.join(wanted, F.col("_element") == F.col("_of"), "left_semi"), "bag-met")
     other = met.select(
-        "_element", F.col("_node").alias("_with"), F.col("_size").alias("_other"), F.col("_class").alias("_beyond"), F.col("_common").alias("_shared"),
+        "_element", F.col("_node").alias("_with"), F.col("_size").alias("_other"), F.col("_class").alias("_beyond"),
         *[F.col(c).alias(f"{c}_other") for c in SKETCH],
     )
     # every bit that one text has set and the other has not is an element that they do not share
     apart = lambda a, b: sum((F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) for x, y in zip(a, b)), F.lit(0))
     others = [f"{c}_other" for c in SKETCH]
-    most = F.least(F.col("_size") - apart(SKETCH, others), F.col("_other") - apart(others, SKETCH), "_common", "_shared")
+    most = F.least(F.col("_size") - apart(SKETCH, others), F.col("_other") - apart(others, SKETCH))
     needed = threshold / (1 + threshold) * (F.col("_size") + F.col("_other")) - 1e-9
     return (
         met.join(other, "_element")
