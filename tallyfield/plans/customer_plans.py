@@ -38,6 +38,9 @@ def scored_sql(source: str, recency: str, frequency: str, monetary: str) -> str:
             f" // greatest(COUNT(*) OVER () - 1, 1)) AS INTEGER)"
         )
 
+    cases = " ".join(
+        "WHEN rfm_score IN (" + ", ".join(f"'{code}'" for code in codes) + f") THEN '{segment}'" for segment, codes in C.SEGMENT_CODES.items()
+    )
     return f"""ranked AS (
   SELECT *, 6 - {score(recency)} AS recency_score, {score(frequency)} AS frequency_score,
          {score(monetary)} AS monetary_score FROM {source}),
@@ -45,14 +48,7 @@ scored AS (
   SELECT *, CAST(recency_score AS VARCHAR) || CAST(frequency_score AS VARCHAR) || CAST(monetary_score AS VARCHAR) AS rfm_score
   FROM ranked),
 rfm AS (
-  SELECT *, CASE
-    WHEN rfm_score IN ('555','554','544','545','454','455','445') THEN 'Champions'
-    WHEN rfm_score IN ('543','444','435','355','354','345','344','335') THEN 'Loyal Customers'
-    WHEN rfm_score IN ('512','511','422','421','412','411','311') THEN 'Potential Loyalists'
-    WHEN rfm_score IN ('534','343','334','325','324') THEN 'New Customers'
-    WHEN rfm_score IN ('155','154','144','214','215','115','114') THEN 'At Risk'
-    WHEN rfm_score IN ('332','322','231','241','251','233','232') THEN 'Need Attention'
-    ELSE 'Lost' END AS segment FROM scored)"""
+  SELECT *, CASE {cases} ELSE '{C.DEFAULT_SEGMENT}' END AS segment FROM scored)"""
 
 
 RFM_SQL = (
@@ -132,13 +128,7 @@ def segment_rule_table(t: Tables) -> DataFrame:
     CAST(SUM(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
     round_even(CAST(SUM(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) * 100
       / (SELECT CAST(SUM(CAST(monetary AS DECIMAL(18,2))) AS DOUBLE) FROM rfm), 4) AS revenue_percentage,
-    CASE segment WHEN 'Champions' THEN 'Reward with exclusive offers, early access to new products'
-      WHEN 'Loyal Customers' THEN 'Up-sell and cross-sell, referral programs'
-      WHEN 'Potential Loyalists' THEN 'Membership programs, personalized recommendations'
-      WHEN 'New Customers' THEN 'Welcome campaigns, onboarding programs'
-      WHEN 'At Risk' THEN 'Win-back campaigns, special discounts'
-      WHEN 'Need Attention' THEN 'Re-engagement campaigns, surveys for feedback'
-      WHEN 'Lost' THEN 'Aggressive win-back campaigns, exit surveys' END AS recommendation
+    CASE segment {' '.join(f"WHEN '{name}' THEN '{advice}'" for name, advice in C.RECOMMENDATIONS.items())} END AS recommendation
     FROM rfm GROUP BY segment""",
 )
 def segment_insights(t: Tables) -> DataFrame:

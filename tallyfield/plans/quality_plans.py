@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyfield.functions.text import EMAIL_PATTERN
 from tallyfield.operators import quality as Q
 from tallyfield.operators import traffic as T
 from tallyfield.plans.bindings import ORDERS_SQL, PEOPLE_SQL, SENSORS_SQL, orders, people, readings
 from tallyfield.plans.registry import Tables, query
 
-EMAIL_SQL = "'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z]{2,}$'"
+EMAIL_SQL = f"'{EMAIL_PATTERN}'"
 
 
 @query(
