@@ -82,6 +82,16 @@ def stratified_split(t: Tables) -> DataFrame:
     return N.stratified_split(labelled_stays(t).select("admission_id", "readmitted_30d"), "readmitted_30d", "admission_id")
 
 
+@query(
+    "stratified_folds",
+    f"""WITH {NEXT_SQL}, r AS (SELECT admission_id, readmitted_30d, row_number() OVER (PARTITION BY readmitted_30d ORDER BY md5('42-' || CAST(admission_id AS VARCHAR)), admission_id) AS k FROM labelled)
+    SELECT admission_id, readmitted_30d, CAST((k - 1) % 5 AS INTEGER) AS fold FROM r""",
+)
+def stratified_folds(t: Tables) -> DataFrame:
+    """The folds of the cross-validation."""
+    return N.stratified_folds(labelled_stays(t).select("admission_id", "readmitted_30d"), "readmitted_30d", "admission_id")
+
+
 @query(
     "class_weights",
     f"""WITH {NEXT_SQL}, c AS (SELECT readmitted_30d, COUNT(*) AS n FROM labelled GROUP BY 1)
