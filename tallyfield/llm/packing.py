@@ -2,7 +2,7 @@
 
 Only the number of pieces of each length matters for the packing, so the search runs over a
 histogram with at most ``capacity`` entries, however many pieces there are. A branch completes
-the sequence of the largest piece left with an undominated filling, as often as the counts
+the sequence of the largest piece left with a maximal filling, at first as often as the counts
 allow; a branch ends when the waste so far cannot beat the incumbent, which is at first the
 best-fit-decreasing packing. The result is a list of patterns with multiplicities; each
 piece finds its sequence from its rank among the pieces of its length, in a distributed join.
@@ -10,9 +10,11 @@ piece finds its sequence from its rank among the pieces of its length, in a dist
 
 from __future__ import annotations
 
+import bisect
 import functools
 import os
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -102,58 +104,73 @@ def best_fit_decreasing(counts: np.ndarray) -> list[Pattern]:
     return [(sizes, m) for groups in open_at.values() for sizes, m in groups]
 
 
-def fillings(room: int, counts: np.ndarray, most: int = 6) -> list[tuple[int, ...]]:
-    """Undominated ways to fill ``room``, least waste first, then fewest and largest pieces.
-
-    A filling is dominated if another holds, for each of its pieces, that piece or a larger one.
-    An exact single piece dominates every other filling. Large room is first narrowed with the
-    largest pieces; the last three pieces are chosen together.
+def reached(lengths: list[int], counts: list[int], room: int) -> array:
+    """For each sum up to ``room``, the first length with which the lengths so far reach it; -1 for the sum 0."""
+    first = array("h", [len(lengths)]) * (room + 1)
+    first[0] = -1
+    mask, sums = (1 << room + 1) - 1, 1
+    for i, (size, n) in enumerate(zip(lengths, counts)):
+        before, n, step = sums, min(n, room // size), 1
+        while n:
+            step = min(step, n)
+            sums |= sums << step * size & mask
+            n, step = n - step, 2 * step
+        fresh = sums & ~before
+        while fresh:
+            low = fresh & -fresh
+            first[low.bit_length() - 1] = i
+            fresh ^= low
+    return first
+
+
+def fillings(room: int, counts: np.ndarray) -> Iterator[tuple[int, ...]]:
+    """Every maximal filling of ``room``: no piece that is left would still fit. Least waste first, then one or two pieces, then
+    larger pieces.
+
+    A filling that wastes w is maximal if it takes all pieces of at most w. The others are told
+    by the sums that they reach, so no step runs into a dead end. An exact single piece dominates
+    every other filling and comes alone.
     """
     held = np.flatnonzero(counts[: room + 1])
-    held = held[held > 0]
-    if not len(held):
-        return [()]
-    largest = int(held[-1])
-    if largest == room:
-        return [(room,)]
-    if room >= 4 * largest:
-        k = min(int(counts[largest]), room // largest - 3)
-        rest = counts.copy()
-        rest[largest] -= k
-        return [(largest,) * k + f for f in fillings(room - k * largest, rest, most)]
-    below = np.zeros(room + 1, np.int64)
-    below[held] = held
-    below = np.maximum.accumulate(below)
-
-    def partner(a: np.ndarray, space: np.ndarray) -> np.ndarray:
-        """The largest piece of at most ``a`` that fits beside it."""
-        b = below[np.minimum(a, space)]
-        again = (b == a) & (counts[a] < 2)
-        return np.where(again, below[np.minimum(np.maximum(a - 1, 0), space)], b)
-
-    found = {(largest,)}
-    one = held[::-1]
-    two = partner(one, room - one)
-    for at in np.argsort(-(one + two), kind="stable")[:most]:
-        found.add((int(one[at]), int(two[at])) if two[at] else (int(one[at]),))
-    if max(map(sum, found)) < room:
-        for a in one[: 4 * most].tolist():
-            rest = counts.copy()
-            rest[a] -= 1
-            b = np.flatnonzero(rest[: min(a, room - a) + 1])[::-1]
-            b = b[b > 0]
-            if len(b):
-                c = below[np.minimum(b, room - a - b)]
-                c = np.where(rest[c] < 1 + (c == b), below[np.maximum(c - 1, 0)], c)
-                c = np.where((c > 0) & (rest[c] < 1 + (c == b)), 0, c)
-                at = int(np.argmax(b + c))
-                found.add(tuple(x for x in (a, int(b[at]), int(c[at])) if x))
-    ranked = sorted(found, key=lambda f: (-sum(f), len(f), tuple(-x for x in f)))
-    kept: list[tuple[int, ...]] = []
-    for f in ranked:
-        if not any(len(g) >= len(f) and all(x >= y for x, y in zip(g, f)) or len(g) == 1 and g[0] >= sum(f) for g in kept):
-            kept.append(f)
-    return kept[:most]
+    sizes = held[held > 0].tolist()
+    if sizes and sizes[-1] == room:
+        yield (room,)
+        return
+    number = [int(counts[x]) for x in sizes]
+
+    def exact(total: int, at: int) -> Iterator[tuple[int, ...]]:
+        if not total:
+            yield ()
+            return
+        for j in range(at, first[total] - 1, -1):
+            for n in range(min(free_counts[j], total // free[j]), 0, -1):
+                if first[total - n * free[j]] < j:
+                    for f in exact(total - n * free[j], j - 1):
+                        yield (free[j],) * n + f
+
+    small: int | None = None
+    for waste in range(room + 1):
+        forced = bisect.bisect_right(sizes, waste)
+        if forced != small:
+            small = forced
+            base = sum(x * n for x, n in zip(sizes[:small], number))
+            if base > room - waste:
+                return
+            tail = tuple(x for x, n in zip(sizes[:small][::-1], number[:small][::-1]) for _ in range(n))
+            free, free_counts = sizes[small:], number[small:]
+            first = reached(free, free_counts, room)
+        total = room - waste - base
+        if total < 0:
+            return
+        if first[total] < len(free):
+            have = dict(zip(free, free_counts))
+            for x in reversed(free):  # one or two pieces keep the small ones for later
+                y = total - x
+                if y == 0 or 0 < y < x and y in have or y == x and have[x] > 1:
+                    yield (x, y)[: 1 + (y > 0)] + tail
+            for f in exact(total, len(free) - 1):
+                if not 0 < len(f) < 3:
+                    yield f + tail
 
 
 def least(counts: np.ndarray) -> int:
@@ -163,43 +180,56 @@ def least(counts: np.ndarray) -> int:
     return max(-(-int((counts * sizes).sum()) // capacity), int(counts[capacity // 2 + 1 :].sum()))
 
 
+def completions(counts: np.ndarray) -> Iterator[tuple[Pattern, int]]:
+    """Patterns with the largest piece left, with multiplicity and waste of one sequence.
+
+    First each as often as the counts allow, then all of them again less often. Without a bound on
+    the branches this covers every packing.
+    """
+    capacity, size = len(counts) - 1, int(np.flatnonzero(counts)[-1])
+    left = counts.copy()
+    left[size] -= 1
+    for again in (False, True):
+        for filling in fillings(capacity - size, left):
+            pattern = (size, *filling)
+            kinds, each = np.unique(pattern, return_counts=True)
+            most = int((counts[kinds] // each).min())
+            for m in range(most - 1, 0, -1) if again else (most,):
+                yield (pattern, m), capacity - sum(pattern)
+
+
 def pack(histogram: np.ndarray, branches: int = BRANCHES) -> list[Pattern]:
     """Patterns and multiplicities that hold every piece of the histogram (index: length)."""
     capacity = len(histogram) - 1
     incumbent = best_fit_decreasing(histogram)
     best, bound = sum(m for _, m in incumbent), least(histogram)
-    sizes = np.arange(capacity + 1)
-    room_for_waste = lambda: (best - 1) * capacity - int((histogram * sizes).sum())
-    stack: list[tuple[np.ndarray, tuple | None, int]] = [(histogram.astype(np.int64), None, 0)]
+    total = int((histogram * np.arange(capacity + 1)).sum())
+    stack: list[tuple[np.ndarray, Iterator, tuple | None, int]] = []
+    if best > bound and branches:
+        start = histogram.astype(np.int64)
+        stack.append((start, completions(start), None, 0))
     while stack and best > bound and branches:
+        counts, ways, path, waste = stack[-1]
+        slack = (best - 1) * capacity - total - waste
+        pattern, each_waste = next(ways, (None, 0))
+        if pattern is None or each_waste > slack:  # the rest wastes no less
+            stack.pop()
+            continue
         branches -= 1
-        counts, path, waste = stack.pop()
-        held = np.flatnonzero(counts)
-        if not len(held):
-            done, node = [], path
-            while node:
-                done.append(node[0])
-                node = node[1]
-            if (used := sum(m for _, m in done)) < best:
-                incumbent, best = done, used
+        if pattern[1] * each_waste > slack:
             continue
-        if waste > room_for_waste():
+        kinds, each = np.unique(pattern[0], return_counts=True)
+        after = counts.copy()
+        after[kinds] -= pattern[1] * each
+        path = (pattern, path)
+        if after.any():
+            stack.append((after, completions(after), path, waste + pattern[1] * each_waste))
             continue
-        size = int(held[-1])
-        left = counts.copy()
-        left[size] -= 1
-        branch = []
-        for filling in fillings(capacity - size, left):
-            pattern = (size, *filling)
-            kinds, each = np.unique(pattern, return_counts=True)
-            m = int((counts[kinds] // each).min())
-            after = counts.copy()
-            after[kinds] -= m * each
-            more = (capacity - sum(pattern)) * m
-            # pieces that end with the last sequence may leave it open; its room is no loss
-            if waste + more - (0 if after.any() else capacity) <= room_for_waste():
-                branch.append((after, ((pattern, m), path), waste + more))
-        stack.extend(reversed(branch))
+        done = []
+        while path:
+            done.append(path[0])
+            path = path[1]
+        incumbent, best = done, sum(m for _, m in done)
     return incumbent
 
 

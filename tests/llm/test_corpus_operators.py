@@ -1,5 +1,6 @@
 """Every corpus operator against a plain version, on odd rows and on an empty table."""
 
+import itertools
 import zlib
 from collections import Counter, defaultdict
 
@@ -243,6 +244,31 @@ def test_bin_completion_beats_or_equals_best_fit():
     assert check_packing(packing.pack(histogram), histogram) == 2
 
 
+def test_fillings_are_all_the_maximal_ones():
+    random = np.random.default_rng(6)
+    for _ in range(100):
+        room, counts = int(random.integers(5, 30)), np.zeros(41, np.int64)
+        for x in random.integers(1, 20, random.integers(1, 7)):
+            counts[x] += random.integers(1, 4)
+        kinds = np.flatnonzero(counts[: room + 1]).tolist()
+        want = set()
+        for take in itertools.product(*(range(int(counts[x]) + 1) for x in kinds)):
+            left = room - sum(n * x for n, x in zip(take, kinds))
+            if left >= 0 and all(n == counts[x] or x > left for n, x in zip(take, kinds)):
+                want.add(tuple(x for n, x in list(zip(take, kinds))[::-1] for _ in range(n)))
+        found = [tuple(sorted(f, reverse=True)) for f in packing.fillings(room, counts)]
+        assert Counter(found) == Counter([(room,)] if room in kinds else want)
+        assert [sum(f) for f in found] == sorted(map(sum, found), reverse=True)
+
+
+def test_small_pieces_beside_large_ones_complete_a_sequence():
+    """455 + 455 + 379 + 379 + 379 = 2047; best fit takes four of 455 or five of 379."""
+    histogram = np.zeros(2049, np.int64)
+    histogram[[455, 379]] = 2 * 500, 3 * 500
+    assert check_packing(packing.best_fit_decreasing(histogram), histogram) == 550
+    assert check_packing(packing.pack(histogram), histogram) == 500
+
+
 def test_packed_documents(table, docs, nothing):
     from tokenizers import Tokenizer
 
