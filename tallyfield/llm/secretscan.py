@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns, and a token-efficiency test for random strings.
 
 Natural words cost few tokens for their characters under a byte-pair vocabulary; random keys
-cost many. A run of key characters whose characters per token fall below ``least_ratio`` is a
-span of kind ``random``, unless it is a known digest (32, 40 or 64 hex digits, or with a name
-before it) or an identifier (UUID), or it touches a span of the patterns.
+cost many. A stretch of key characters whose characters per token fall below ``least_ratio`` is a
+span of kind ``random``, also beside ordinary words in one run. What a known digest (32, 40, 64 or
+128 hex digits, or with a name before it), an identifier (UUID) or a span of the patterns covers is
+taken out of the run, and the rest is tested.
 """
 
 from __future__ import annotations
@@ -24,10 +25,15 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: Runs long enough to be keys; the test asks for a digit and a letter as well.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-DIGEST = re.compile(r"(?:(?:md5|sha1|sha256|sha512)[-_=]?)?(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{128})", re.I)
+#: Characters of the shortest key; the test asks for a letter as well.
+LEAST = 20
+SEPARATORS = "/_=-"
+RUN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+KNOWN = re.compile(
+    r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
+    r"|(?:(?:md5|sha1|sha256|sha512)[-_=]?)?(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64}|[0-9A-Fa-f]{128}))(?![0-9A-Za-z])",
+    re.I,
+)
 
 
 @functools.lru_cache(maxsize=2)
@@ -52,17 +58,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def costly(run: str, path: str, least_ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of the stretches of at least ``LEAST`` characters with fewer than ``least_ratio`` to a token.
+
+    The whole run if it is one. Else a stretch starts where it gains most, ends where it gains most before
+    its ratio is lost, and is carried on to the next separators if its ratio stays.
+    """
+    tokens = encoding(path).encode_ordinary(run)
+    if len(run) / len(tokens) < least_ratio:
+        return [(0, len(run))]
+    at, gain = [0], [0.0]
+    for token in encoding(path).decode_tokens_bytes(tokens):
+        at.append(at[-1] + len(token))
+        gain.append(gain[-1] + least_ratio - len(token))
+    found, begin, n = [], 0, len(at)
+    while at[-1] - at[begin] >= LEAST:
+        low, k, last = begin, begin, None
+        for j in range(begin + 1, n):
+            if last is None:
+                while at[j] - at[k] >= LEAST:
+                    low = k if gain[k] < gain[low] else low
+                    k += 1
+                if k > begin and gain[j] > gain[low]:
+                    last = j
+            elif gain[j] <= gain[low]:
+                break
+            elif gain[j] > gain[last]:
+                last = j
+        if last is None:
+            break
+        a, b = low, last
+        while a > begin and run[at[a] - 1] not in SEPARATORS:
+            a -= 1
+        a = a if gain[last] > gain[a] else low
+        while b < n - 1 and run[at[b]] not in SEPARATORS:
+            b += 1
+        b = b if gain[b] > gain[a] else last
+        found.append((at[a], at[b]))
+        begin = b
+    return found
+
+
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str, least_ratio: float) -> list[tuple[int, int, int]]:
-    """(start, 3, end) of runs that cost too many tokens and touch no span of ``taken``."""
+    """(start, 3, end) of stretches that cost too many tokens, outside the spans of ``taken``."""
     found = []
     for m in RUN.finditer(text):
-        start, end, run = m.start(), m.end(), m.group()
-        if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
-            continue
-        if UUID.fullmatch(run) or DIGEST.fullmatch(run) or any(a < end and start < b for a, _, b in taken):
-            continue
-        if len(run) / len(encoding(path).encode_ordinary(run)) < least_ratio:
-            found.append((start, 3, end))
+        covered = [(a, b) for a, _, b in taken if a < m.end() and m.start() < b]
+        covered += [k.span() for k in KNOWN.finditer(text, m.start(), m.end())]
+        start = m.start()
+        for a, b in [*sorted(covered), (m.end(), m.end())]:
+            if a - start >= LEAST:
+                spans = [(start + x, start + y) for x, y in costly(text[start:a], path, least_ratio)]
+                found += [(x, 3, y) for x, y in spans if any(c.isalpha() for c in text[x:y])]
+            start = max(start, b)
     return found
 
 
@@ -87,8 +135,7 @@ def scan(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     """One row per document: doc_id, counts by kind, base_spans and all spans as text.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and then kind. NULL and
-    empty texts have none; rows are independent, so repeated rows repeat their result. A run that
-    is longer than any key is still one run and is tested whole.
+    empty texts have none; rows are independent, so repeated rows repeat their result.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -219,6 +219,19 @@ def test_random_strings_cost_many_tokens(spark, table, docs, nothing):
     assert {r["spans"] for r in out.where("doc_id between 90 and 93").collect()} == {""}
 
 
+def test_random_keys_are_found_beside_words_and_known_strings():
+    key, letters, digest = "mR7pX2cN9wQ4vJ6tB8kZ", "qZxvKjwPfhTbnmGdrLscYq", "D41D8CD98F00B204E9800998ECF8427E"
+    words, ident = "services/incoming/notification/", "123e4567-e89b-12d3-a456-426614174000"
+    for before in (words, "/" + words * 3, "my_database_connection_", f"{digest}/{words}", f"{words}{ident}/", "secret=abcdefgh "):
+        for found in (key, letters):
+            for after in ("", "/ordinary/configuration"):
+                text = before + found + after
+                spans = secretscan.random_spans(text, secretscan.base_spans(text), RANKS, 2.0)
+                assert any(a <= len(before) and len(before) + len(found) <= b for a, _, b in spans), (text, spans)
+    for plain in (words * 3, f"{words}{digest}", f"{ident}/{words}", f"{words}{ident}/{digest}", "2024-01-02-03-04-05-06-07"):
+        assert secretscan.random_spans(plain, [], RANKS, 2.0) == [], plain
+
+
 # ---- op9
 
 
