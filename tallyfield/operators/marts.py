@@ -140,11 +140,11 @@ def kpi_parts(campaigns: DataFrame, signups: DataFrame, last_orders: DataFrame,
 
 
 def basket_affinity(lines: DataFrame, basket: str, item: str) -> DataFrame:
-    """Lift of item categories bought together.
+    """Lift of items bought together.
 
-    ``item`` must be a category of a small catalogue. Baskets first shrink to their set of
-    categories and equal sets to one row with a count; pairs are formed from those sets
-    only, so neither a huge basket nor a popular set multiplies rows.
+    ``item`` must be a category of a small catalogue, or baskets must be bounded. They first shrink
+    to their set of items and equal sets to one row with a count; pairs are formed from those
+    sets only, so neither a huge basket of few categories nor a popular set multiplies rows.
     """
     baskets = lines.groupBy(basket).agg(F.array_sort(F.collect_set(item)).alias("items"))
     shapes = durable(baskets.groupBy("items").agg(F.count(F.lit(1)).alias("n")))

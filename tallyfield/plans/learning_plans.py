@@ -170,21 +170,37 @@ def seasonal_naive_forecast(t: Tables) -> DataFrame:
     return FC.seasonal_naive(monthly, ["series"], "order_month", "total_revenue")
 
 
+def product_units(t: Tables) -> DataFrame:
+    """Units per product and month."""
+    months = lines(t).groupBy("product_id", F.trunc("ship_date", "month").alias("month"))
+    return months.agg(F.sum(F.col("quantity").cast("bigint")).cast("double").alias("units"))
+
+
 def monthly_units(t: Tables) -> DataFrame:
     """Units per brand and month. Lines shrink to products before the join."""
-    per_product = lines(t).groupBy("product_id", F.trunc("ship_date", "month").alias("month")).agg(
-        F.sum(F.col("quantity").cast("bigint")).alias("q")
-    )
     return (
-        per_product.join(t.part, F.col("product_id") == F.col("p_partkey"))
+        product_units(t).join(t.part, F.col("product_id") == F.col("p_partkey"))
         .groupBy(F.col("p_brand").alias("brand"), "month")
-        .agg(F.sum("q").cast("double").alias("units"))
+        .agg(F.sum("units").alias("units"))
     )
 
 
 @query("demand_forecast")
 def demand_forecast(t: Tables) -> DataFrame:
-    return FC.forecast(monthly_units(t), ["brand"], "month", "units")
+    """A forecast for each product: one bounded monthly series per product."""
+    return FC.forecast(product_units(t), ["product_id"], "month", "units")
+
+
+@query(
+    "product_seasonal_naive",
+    f"""WITH {LINES_SQL}, m AS (SELECT product_id, CAST(date_trunc('month', ship_date) AS DATE) AS month, CAST(SUM(quantity) AS DOUBLE) AS units
+      FROM line GROUP BY 1, 2), b AS (SELECT product_id, MIN(month) AS lo, MAX(month) AS hi FROM m GROUP BY 1),
+    g AS (SELECT product_id, hi, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b)
+    SELECT g.product_id, CAST(g.month + INTERVAL 12 MONTH AS DATE) AS month, COALESCE(units, 0) AS forecast
+    FROM g LEFT JOIN m ON m.product_id = g.product_id AND m.month = g.month WHERE g.month > hi - INTERVAL 12 MONTH""",
+)
+def product_seasonal_naive(t: Tables) -> DataFrame:
+    return FC.seasonal_naive(product_units(t), ["product_id"], "month", "units")
 
 
 @query(

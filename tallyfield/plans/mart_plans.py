@@ -163,6 +163,19 @@ def item_affinity(t: Tables) -> DataFrame:
     return M.basket_affinity(baskets, "order_id", "category")
 
 
+@query(
+    "product_affinity",
+    """WITH b AS (SELECT DISTINCT l_orderkey AS order_id, l_partkey AS item FROM lineitem),
+    s AS (SELECT item, COUNT(*) AS n FROM b GROUP BY 1), total AS (SELECT COUNT(DISTINCT order_id) AS n FROM b),
+    p AS (SELECT x.item AS item_a, y.item AS item_b, COUNT(*) AS together FROM b x JOIN b y ON x.order_id = y.order_id AND x.item < y.item GROUP BY 1, 2)
+    SELECT item_a, item_b, together, round_even(together * (SELECT n FROM total) / CAST(sa.n * sb.n AS DOUBLE), 6) AS lift
+    FROM p JOIN s sa ON sa.item = item_a JOIN s sb ON sb.item = item_b""",
+)
+def product_affinity(t: Tables) -> DataFrame:
+    """Products bought together. An order has a bounded number of lines, so the pairs grow with the orders."""
+    return M.basket_affinity(t.lineitem, "l_orderkey", "l_partkey")
+
+
 @query(
     "price_elasticity",
     f"""WITH {LINES_SQL}, p AS (SELECT product_id, CAST(SUM(quantity) AS BIGINT) AS q, {_money('price')} AS r FROM line GROUP BY 1)

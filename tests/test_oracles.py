@@ -42,5 +42,13 @@ def test_results_keep_pace_with_their_input(spark, db):
         assert share[1] >= 0.7 * share[0], (name, share)
 
 
+def test_products_have_their_own_series_and_pairs(spark, db):
+    """Each product is forecast; pairs are of products, not of their categories."""
+    sold = db.execute("SELECT COUNT(DISTINCT l_partkey) FROM lineitem").fetchone()[0]
+    assert QUERIES["demand_forecast"](spark, BASE).groupBy("product_id").count().where("count = 12").count() == sold
+    assert QUERIES["product_seasonal_naive"](spark, BASE).select("product_id").distinct().count() == sold
+    assert QUERIES["product_affinity"](spark, BASE).count() > 10 * QUERIES["item_affinity"](spark, BASE).count()
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
