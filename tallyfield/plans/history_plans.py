@@ -229,16 +229,21 @@ impact AS (SELECT CASE WHEN route_id IS NULL THEN 'no_route' ELSE 'route_diversi
   route_id AS affected_route, alternative_routes, duration AS estimated_delay FROM incident LEFT JOIN route USING (cell))"""
 
 
-def route_table(t: Tables) -> DataFrame:
+def route_segments(suppliers: DataFrame) -> DataFrame:
     """Route segments from suppliers, one row for each cell that a route touches."""
     key = F.col("s_suppkey")
-    return t.supplier.where(F.col("s_nationkey") % 8 != 0).select(
+    return suppliers.select(
         F.concat(F.lit("R"), key.cast("string")).alias("route_id"),
         F.concat(F.lit("R"), (key + 1).cast("string")).alias("alternative_routes"),
         F.explode(F.array(key, key + 1)).alias("cell"),
     )
 
 
+def route_table(t: Tables) -> DataFrame:
+    """The routes of the suppliers on the network."""
+    return route_segments(t.supplier.where(F.col("s_nationkey") % 8 != 0))
+
+
 def incidents(events: DataFrame) -> DataFrame:
     """Error events as incidents in their grid cells; works on streams as well."""
     return events.where(F.col("event_type") == "error").select(
@@ -252,6 +257,15 @@ def incident_impact_join(t: Tables) -> DataFrame:
     return J.incident_impact(incidents(t.events), route_table(t), "cell")
 
 
+ALL_IMPACT_SQL = IMPACT_SQL.replace(" WHERE s_nationkey % 8 <> 0", "")
+
+
+@query("incident_impact_all_routes", f"WITH {ALL_IMPACT_SQL} SELECT * FROM impact")
+def incident_impact_all_routes(t: Tables) -> DataFrame:
+    """As ``incident_impact_join``, with every supplier as a route."""
+    return J.incident_impact(incidents(t.events), route_segments(t.supplier), "cell")
+
+
 @query(
     "topk_by_metric",
     f"WITH {METRICS_SQL} SELECT customer_id, total_spent FROM metrics ORDER BY total_spent DESC, customer_id LIMIT 20",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyfield.operators import traffic as T
 from tallyfield.plans.bindings import SENSORS_SQL, messages, readings
 from tallyfield.plans.feature_plans import LEVEL_SQL
-from tallyfield.plans.history_plans import IMPACT_SQL, incidents, route_table
+from tallyfield.plans.history_plans import ALL_IMPACT_SQL, IMPACT_SQL, incidents, route_segments, route_table
 from tallyfield.plans.mart_plans import SESSION_SQL
 from tallyfield.plans.quality_plans import KEEP, SCORED_SQL, scored_readings
 from tallyfield.plans.registry import Tables, query
@@ -151,7 +151,20 @@ def stream_dedup(t: Tables) -> DataFrame:
 )
 def route_diversion(t: Tables) -> DataFrame:
     """Diversions on the stream; incidents without a route come out as such."""
-    found = S.diversions(incidents(live(t).events), route_table(t), "cell")
+    return diversion_alerts(t, route_table(t))
+
+
+@query(
+    "route_diversion_all_routes",
+    f"""WITH {ALL_IMPACT_SQL} SELECT 'route-alerts' AS topic, CAST(incident_id AS VARCHAR) AS key, type, incident_id, affected_route, estimated_delay FROM impact""",
+)
+def route_diversion_all_routes(t: Tables) -> DataFrame:
+    """As ``route_diversion``, with every supplier as a route."""
+    return diversion_alerts(t, route_segments(t.supplier))
+
+
+def diversion_alerts(t: Tables, routes: DataFrame) -> DataFrame:
+    found = S.diversions(incidents(live(t).events), routes, "cell")
     alerts = drain(t, as_messages(found, "route-alerts", "incident_id"))
     fields = F.from_json("value", "type string, incident_id bigint, affected_route string, estimated_delay int")
     return alerts.select("topic", "key", fields.alias("f")).select("topic", "key", "f.*")

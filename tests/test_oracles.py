@@ -50,5 +50,15 @@ def test_products_have_their_own_series_and_pairs(spark, db):
     assert QUERIES["product_affinity"](spark, BASE).count() > 10 * QUERIES["item_affinity"](spark, BASE).count()
 
 
+def test_every_supplier_is_a_route(spark, db):
+    """The cells of a supplier of any nation have their route; only cells without a supplier stay without one."""
+    missing = db.execute(
+        """SELECT COUNT(*) FROM events WHERE event_type = 'error' AND user_id * 2 // 3 NOT IN
+        (SELECT unnest([s_suppkey, s_suppkey + 1]) FROM supplier)"""
+    ).fetchone()[0]
+    for name in ("incident_impact_all_routes", "route_diversion_all_routes"):
+        assert QUERIES[name](spark, BASE).where("type = 'no_route'").count() == missing
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
