@@ -89,17 +89,17 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
     the next document by id (after the last comes the first; ties by text hash; NULL ids last).
     Words end at white space. A NULL text is empty; documents without words agree
     with each other in every draw and with no other. Rows that repeat an id and a text are
-    one document and come out once.
+    one document, whose result is given for each of the rows.
     """
     rows = keyed(docs, id_column, text_column)
     around = stored(neighbours(rows.select("_id", "_tx", F.length("_text").alias("_n")).distinct()), "fingerprint-neighbours")
-    texts = rows.groupBy("_id", "_tx").agg(F.first("_text").alias("_text")).join(around, ["_id", "_tx"])
+    texts = rows.groupBy("_id", "_tx").agg(F.first("_text").alias("_text"), F.count(F.lit(1)).alias("_copies")).join(around, ["_id", "_tx"])
     heads = texts.select(
         F.col("_last_id").alias("_id"), F.col("_last_tx").alias("_tx"), F.left("_text", F.expr("_last_n div 2").cast("int")).alias("_head")
     )
     n = F.length("_text")
     edited = texts.join(heads, ["_id", "_tx"]).select(
-        "_id", "_tx", "_text", n.alias("n_chars"), "_next_id", "_next_tx",
+        "_id", "_tx", "_text", "_copies", n.alias("n_chars"), "_next_id", "_next_tx",
         F.concat(F.left("_text", n - F.expr("length(_text) div 2").cast("int")), "_head").alias("_edited"),
     )
     both = F.array(F.struct(F.lit(1).alias("own"), F.col("_text").alias("text")), F.struct(F.lit(0).alias("own"), F.col("_edited").alias("text")))
@@ -120,7 +120,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
     )
     none = F.array(*[F.lit(NO_WORD)] * samples)
     found = stored(
-        edited.select("_id", "_tx", "n_chars", "_next_id", "_next_tx", F.sha2("_edited", 256).alias("edited_sha256"))
+        edited.select("_id", "_tx", "_copies", "n_chars", "_next_id", "_next_tx", F.sha2("_edited", 256).alias("edited_sha256"))
         .join(drawn, ["_id", "_tx"], "left")
         .withColumn("_print", F.coalesce(F.col("_drawn._w"), none))
         .withColumn("_edit", F.coalesce(F.col("_drawn._v"), none))
@@ -128,7 +128,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
         "fingerprints",
     )
     following = found.select(F.col("_id").alias("_next_id"), F.col("_tx").alias("_next_tx"), F.col("_print").alias("_next"))
-    return found.join(following, ["_next_id", "_next_tx"]).select(
+    each = found.join(following, ["_next_id", "_next_tx"]).withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
+    return each.select(
         given_id().alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),
         "edited_sha256",

@@ -338,6 +338,13 @@ def test_one_document_follows_itself(spark):
     assert row["near_next"] == 1.0 and row["edited_sha256"] == brute.sha("ab c" + "ab c")
 
 
+def test_repeated_rows_have_a_fingerprint_each(spark):
+    rows = [(1, "ab cd ef"), (1, "ab cd ef"), (1, "gh"), (2, None), (2, ""), (None, "x"), (None, "x")]
+    out = weightedsampling.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(out, "doc_id", "n_chars") == Counter((d, len(t or "")) for d, t in rows)
+    assert out.distinct().count() == 4
+
+
 def test_fingerprints_stay_in_the_jvm(table):
     plan = weightedsampling.fingerprints(table)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
