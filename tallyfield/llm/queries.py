@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import bagminhash, bigru, fmindex, linededup, packing, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
+from tallyfield.llm import bagminhash, bigru, fmindex, linededup, packing, residues, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
 from tallyfield.llm.common import lean
 from tallyfield.session import configure, load
 
@@ -100,6 +100,12 @@ def op1_language_id(spark: SparkSession, base: str) -> DataFrame:
     return bigru.language_report(load(spark, base, "documents"))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all vectors."""
+    return residues.mine(load(spark, base, "embeddings"))
+
+
 # ---- SQL of the queries that SQL can express ----
 
 _SUBSTRINGS = r"""WITH w AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -124,4 +130,18 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS B
   sha256(COALESCE(ids, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AND 20 * COALESCE(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
 
+_NEGATIVES = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS alike,
+    CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(ROW_NUMBER() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY ROW_NUMBER() OVER w <= 3"""
+
+ORACLES.update(op13_hard_negatives=_NEGATIVES)
 ORACLES.update(op6_substring_dedup=_SUBSTRINGS, op7_decontamination=_WINDOWS)

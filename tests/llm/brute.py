@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -161,3 +162,22 @@ def corpus(seed=3):
     docs += [(98, text(20_000)), (99, "\n".join(["same line again and again and again here now"] * 300)), (100, "x" * 30_000)]
     docs += [(None, docs[5][1] + " end"), docs[7], docs[7], docs[62]]
     return docs
+
+
+# ---- vectors: (vec_id, embedding, label) in
+
+
+def negatives(rows, anchors_of=50, moved=7, scale=256, n_labels=10, n_positives=5, n_negatives=3):
+    """Counter of (anchor_id, positive_id, rank, negative_id, positive_score, negative_score)."""
+    told = set()
+    for i, v, label in rows:
+        if None not in (i, v, label) and all(x is not None and math.isfinite(x) for x in v):
+            told.add((i, (label + 1) % n_labels if i % moved == 0 else label, tuple(math.floor(scale * x) for x in v)))
+    score = lambda a, b: sum(x * y for x, y in zip(a[2], b[2]))
+    out = Counter()
+    for anchor in {i: min(r for r in told if r[0] == i) for i, _, _ in told if i % anchors_of == 0}.values():
+        ranked = sorted((-score(anchor, r), r[0], r[1]) for r in told if r[0] != anchor[0])
+        for p, positive, _ in [r for r in ranked if r[2] == anchor[1]][:n_positives]:
+            fit = [r for r in ranked if r[2] != anchor[1] and -50 * p <= -100 * r[0] <= -95 * p]
+            out.update((anchor[0], positive, k + 1, r[1], -p, -r[0]) for k, r in enumerate(fit[:n_negatives]))
+    return out
