@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import bagminhash, bigru, fmindex, linededup, packing, residues, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
+from tallyfield.llm import bagminhash, bigru, collisions, fmindex, linededup, packing, residues, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
 from tallyfield.llm.common import lean
 from tallyfield.session import configure, load
 
@@ -100,6 +100,12 @@ def op1_language_id(spark: SparkSession, base: str) -> DataFrame:
     return bigru.language_report(load(spark, base, "documents"))
 
 
+@query
+def op11_embedding_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Links and components of all vectors of a label by cosine."""
+    return collisions.near_vectors(load(spark, base, "embeddings"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
     """Hard negatives of every anchor and positive among all vectors."""
@@ -143,5 +149,17 @@ SELECT anchor_id, positive_id, CAST(ROW_NUMBER() OVER w AS INTEGER) AS rank, oth
 FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY ROW_NUMBER() OVER w <= 3"""
 
+_LINKED = """WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v AS a JOIN v AS b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach AS r JOIN link AS l ON r.y = l.x),
+low AS (SELECT x, MIN(y) AS y FROM reach GROUP BY x), many AS (SELECT x, COUNT(*) AS n FROM link GROUP BY x)
+SELECT vec_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_links, CAST(LEAST(vec_id, COALESCE(y, vec_id)) AS BIGINT) AS component_id,
+  vec_id = LEAST(vec_id, COALESCE(y, vec_id)) AS kept
+FROM embeddings LEFT JOIN low ON vec_id = low.x LEFT JOIN many ON vec_id = many.x"""
+
+ORACLES.update(op11_embedding_dedup=_LINKED)
 ORACLES.update(op13_hard_negatives=_NEGATIVES)
 ORACLES.update(op6_substring_dedup=_SUBSTRINGS, op7_decontamination=_WINDOWS)

@@ -181,3 +181,32 @@ def negatives(rows, anchors_of=50, moved=7, scale=256, n_labels=10, n_positives=
             fit = [r for r in ranked if r[2] != anchor[1] and -50 * p <= -100 * r[0] <= -95 * p]
             out.update((anchor[0], positive, k + 1, r[1], -p, -r[0]) for k, r in enumerate(fit[:n_negatives]))
     return out
+
+
+def vector_links(rows, threshold):
+    """Counter of (vec_id, n_links, component_id, kept), one for each row."""
+
+    def sound(r):
+        return r[1] is not None and r[2] is not None and all(x is not None and math.isfinite(x) for x in r[1]) and any(r[1])
+
+    told = {(key(i), label, tuple(v)) for i, v, label in rows if sound((i, v, label))}
+    size = lambda v: math.sqrt(sum(x * x for x in v))
+    near = {a: {b for b in told if b != a and a[1] == b[1] and len(a[2]) == len(b[2])
+                and sum(x * y for x, y in zip(a[2], b[2])) >= threshold * size(a[2]) * size(b[2])} for a in told}
+    head = {}
+    for a in sorted(told):
+        group, rest = set(), [a]
+        while rest and a not in head:
+            x = rest.pop()
+            if x not in group:
+                group.add(x)
+                rest += near[x]
+        head.update((x, a[0]) for x in group)
+    out = Counter()
+    for i, v, label in rows:
+        if sound((i, v, label)):
+            a = (key(i), label, tuple(v))
+            out[i, len(near[a]), None if head[a] == LAST else head[a], key(i) == head[a]] += 1
+        else:
+            out[i, 0, i, True] += 1
+    return out

@@ -6,7 +6,7 @@ import brute
 import numpy as np
 import pytest
 
-from tallyfield.llm import residues
+from tallyfield.llm import collisions, residues
 
 SCHEMA = "vec_id long, embedding array<float>, label int, _id string, _label string, _v string, _block string, rank string"
 
@@ -70,3 +70,46 @@ def test_scores_beyond_a_long_are_refused(spark):
     frame = spark.createDataFrame([(50, [1e18, 1.0], 1), (51, [1.0, 1e18], 1)], "vec_id long, embedding array<double>, label int")
     with pytest.raises(OverflowError):
         residues.mine(frame)
+
+
+# ---- op11
+
+
+def test_near_vectors(table, rows, nothing, monkeypatch):
+    columns = ["vec_id", "n_links", "component_id", "kept"]
+    want = brute.vector_links(rows, 0.98)
+    assert sum(n > 5 for _, n, _, _ in want) > 50 and sum(not kept for *_, kept in want) > 50
+    assert Counter(tuple(r) for r in collisions.near_vectors(table).select(columns).collect()) == want
+    assert collisions.near_vectors(nothing).collect() == []
+
+
+def test_near_vectors_in_cells_and_lots(table, rows, monkeypatch):
+    """Many cells, tables and lots give the same links; each pair counts once."""
+    monkeypatch.setattr(collisions, "CELL", 12)
+    monkeypatch.setattr(collisions, "LOT", 5)
+    got = Counter(tuple(r) for r in collisions.near_vectors(table, 0.95).select("vec_id", "n_links", "component_id", "kept").collect())
+    assert got == brute.vector_links(rows, 0.95)
+
+
+def test_counts_are_calibrated_to_the_recall():
+    """Pairs just at the threshold reach the least count, and few others do."""
+    random, n, d = np.random.default_rng(3), 4000, 64
+    x, y = (random.normal(size=(n, d)) for _ in range(2))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = 0.98 * x + np.sqrt(1 - 0.98**2) * y
+    window, lines = collisions.REACH * np.sqrt(2 - 2 * 0.98), collisions.directions(d, 0, collisions.PROJECTIONS)
+    count = lambda other: (np.abs((x - other) @ lines) <= window).sum(axis=1)
+    assert (count(near) >= collisions.least_count()).mean() >= 0.9999
+    assert (count(y) >= collisions.least_count()).mean() <= 0.002
+    bits = 4
+    tables = collisions.tables_for(bits, 0.98)
+    assert (collisions.cells(x, bits, 0, tables) == collisions.cells(near, bits, 0, tables)).any(axis=1).mean() >= 0.9999
+
+
+def test_collisions_equal_plain_windows():
+    random = np.random.default_rng(1)
+    left, right = random.normal(size=(30, 7)).round(1), random.normal(size=(40, 7)).round(1)
+    want = (np.abs(left[:, None] - right[None]) <= 0.5 + 1e-12).sum(axis=2)
+    assert (collisions.collisions(left, right, 0.5 + 1e-12) == want).all()
