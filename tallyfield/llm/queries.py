@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.llm import bagminhash, bigru, collisions, fmindex, linededup, packing, residues, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
+from tallyfield.llm import bagminhash, bigru, bitslices, collisions, fmindex, linededup, packing, residues, secretscan, sharding, sparsesuffix, weightedsampling, winnowing
 from tallyfield.llm.common import lean
 from tallyfield.session import configure, load
 
@@ -106,6 +106,12 @@ def op11_embedding_dedup(spark: SparkSession, base: str) -> DataFrame:
     return collisions.near_vectors(load(spark, base, "embeddings"))
 
 
+@query
+def op12_ranked_search(spark: SparkSession, base: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return bitslices.ranked(load(spark, base, "documents"), load(spark, base, "benchmark"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, base: str) -> DataFrame:
     """Hard negatives of every anchor and positive among all vectors."""
@@ -160,6 +166,22 @@ SELECT vec_id, CAST(COALESCE(n, 0) AS BIGINT) AS n_links, CAST(LEAST(vec_id, COA
   vec_id = LEAST(vec_id, COALESCE(y, vec_id)) AS kept
 FROM embeddings LEFT JOIN low ON vec_id = low.x LEFT JOIN many ON vec_id = many.x"""
 
-ORACLES.update(op11_embedding_dedup=_LINKED)
-ORACLES.update(op13_hard_negatives=_NEGATIVES)
-ORACLES.update(op6_substring_dedup=_SUBSTRINGS, op7_decontamination=_WINDOWS)
+_RANKED = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+size AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+every AS (SELECT CAST(COUNT(*) AS BIGINT) AS n_docs, CAST(SUM(n) AS BIGINT) AS n_words FROM size),
+tf AS (SELECT r, t, COUNT(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY 1, 2),
+item AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_WORDS}) AS t FROM benchmark)),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM tf, every GROUP BY t, n_docs),
+score AS (SELECT item_id, r, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM item JOIN tf USING (t) JOIN weight USING (t) JOIN size USING (r), every GROUP BY 1, 2)
+SELECT item_id, CAST(ROW_NUMBER() OVER w AS INTEGER) AS rank, doc_id, score FROM score JOIN size USING (r) WHERE score > 0
+WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY ROW_NUMBER() OVER w <= 10"""
+
+
+ORACLES.update(
+    op6_substring_dedup=_SUBSTRINGS,
+    op7_decontamination=_WINDOWS,
+    op11_embedding_dedup=_LINKED,
+    op12_ranked_search=_RANKED,
+    op13_hard_negatives=_NEGATIVES,
+)

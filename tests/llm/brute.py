@@ -210,3 +210,26 @@ def vector_links(rows, threshold):
         else:
             out[i, 0, i, True] += 1
     return out
+
+
+def ranking(docs, items, k=10):
+    """Counter of (item_id, rank, doc_id, score); rows of ``items`` that repeat id and text are one item."""
+
+    def terms(t):
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+    held = [(key(d), Counter(terms(t))) for d, t in docs]
+    held = [(d, c, sum(c.values())) for d, c in held if c]
+    n_docs, n_words = len(held), sum(n for *_, n in held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = Counter()
+    for item, text in set(items):
+        rows = []
+        for d, c, n in held:
+            m = 10 + 90 * n * n_docs // n_words
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m)) for t in set(terms(text)) if t in c)
+            if score > 0:
+                rows.append((-score, d))
+        out.update((item, i + 1, None if d == LAST else d, -s) for i, (s, d) in enumerate(sorted(rows)[:k]))
+    return out
