@@ -24,7 +24,7 @@ NO_WORD = "--------"
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
-    """For (_id, _tx, _n) the keys of the next document and key and length of the one before.
+    """For (_id, _tx, _n, _copies) the keys of the next document and key and length of the one before.
 
     The order is by id and text hash, and goes round at the ends. Rows are sorted in range
     pieces; only the ends of the pieces, a handful of rows, meet in one task.
@@ -44,9 +44,9 @@ def neighbours(keys: DataFrame) -> DataFrame:
         placed.withColumn("_up", F.lead(here).over(inside))
         .withColumn("_down", F.lag(here).over(inside))
         .join(ends, F.col("_piece") == F.col("_at"))
-        .select("_id", "_tx", F.coalesce("_up", "_after").alias("_up"), F.coalesce("_down", "_before").alias("_down"))
+        .select("_id", "_tx", "_copies", F.coalesce("_up", "_after").alias("_up"), F.coalesce("_down", "_before").alias("_down"))
         .select(
-            "_id", "_tx", F.col("_up._id").alias("_next_id"), F.col("_up._tx").alias("_next_tx"),
+            "_id", "_tx", "_copies", F.col("_up._id").alias("_next_id"), F.col("_up._tx").alias("_next_tx"),
             F.col("_down._id").alias("_last_id"), F.col("_down._tx").alias("_last_tx"), F.col("_down._n").alias("_last_n"),
         )
     )
@@ -92,14 +92,16 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
     one document, whose result is given for each of the rows.
     """
     rows = keyed(docs, id_column, text_column)
-    around = stored(neighbours(rows.select("_id", "_tx", F.length("_text").alias("_n")).distinct()), "fingerprint-neighbours")
-    texts = rows.groupBy("_id", "_tx").agg(F.first("_text").alias("_text"), F.count(F.lit(1)).alias("_copies")).join(around, ["_id", "_tx"])
+    # copies are counted beside the keys: both uses of the texts then ask the same of their aggregate, and share its exchange
+    keys = rows.groupBy("_id", "_tx", F.length("_text").alias("_n")).agg(F.count(F.lit(1)).alias("_copies"))
+    around = stored(neighbours(keys), "fingerprint-neighbours")
+    texts = rows.groupBy("_id", "_tx").agg(F.first("_text").alias("_text")).join(around.drop("_copies"), ["_id", "_tx"])
     heads = texts.select(
         F.col("_last_id").alias("_id"), F.col("_last_tx").alias("_tx"), F.left("_text", F.expr("_last_n div 2").cast("int")).alias("_head")
     )
     n = F.length("_text")
     edited = texts.join(heads, ["_id", "_tx"]).select(
-        "_id", "_tx", "_text", "_copies", n.alias("n_chars"), "_next_id", "_next_tx",
+        "_id", "_tx", "_text", n.alias("n_chars"), "_next_id", "_next_tx",
         F.concat(F.left("_text", n - F.expr("length(_text) div 2").cast("int")), "_head").alias("_edited"),
     )
     both = F.array(F.struct(F.lit(1).alias("own"), F.col("_text").alias("text")), F.struct(F.lit(0).alias("own"), F.col("_edited").alias("text")))
@@ -120,7 +122,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
     )
     none = F.array(*[F.lit(NO_WORD)] * samples)
     found = stored(
-        edited.select("_id", "_tx", "_copies", "n_chars", "_next_id", "_next_tx", F.sha2("_edited", 256).alias("edited_sha256"))
+        edited.select("_id", "_tx", "n_chars", "_next_id", "_next_tx", F.sha2("_edited", 256).alias("edited_sha256"))
         .join(drawn, ["_id", "_tx"], "left")
         .withColumn("_print", F.coalesce(F.col("_drawn._w"), none))
         .withColumn("_edit", F.coalesce(F.col("_drawn._v"), none))
@@ -128,7 +130,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
         "fingerprints",
     )
     following = found.select(F.col("_id").alias("_next_id"), F.col("_tx").alias("_next_tx"), F.col("_print").alias("_next"))
-    each = found.join(following, ["_next_id", "_next_tx"]).withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
+    copies = around.select("_id", "_tx", "_copies")
+    each = found.join(following, ["_next_id", "_next_tx"]).join(copies, ["_id", "_tx"]).withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
     return each.select(
         given_id().alias("doc_id"),
         F.col("n_chars").cast("long").alias("n_chars"),

@@ -352,3 +352,25 @@ def test_fingerprints_stay_in_the_jvm(table):
 
 def test_ids_are_spread(table):
     assert table.where(F.col("doc_id").isNull()).count() == 1
+
+
+def test_texts_are_shuffled_once(spark, table, tmp_path, monkeypatch):
+    """Both uses of the edited texts share one scan of the documents and one exchange of their texts."""
+    table.write.parquet(folder := str(tmp_path / "docs"))
+    plans, keep = [], weightedsampling.stored
+
+    def watched(df, purpose):
+        if purpose == "fingerprints":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return keep(df, purpose)
+
+    monkeypatch.setattr(weightedsampling, "stored", watched)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weightedsampling.fingerprints(spark.read.parquet(folder)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert sum("FileScan" in line and "text" in line for line in plans[0].splitlines()) == 1
+    assert plans[0].count("ReusedExchange") >= 3
