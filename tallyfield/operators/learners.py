@@ -11,15 +11,12 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfield.functions.numbers import rounded
 from tallyfield.operators.encoding import fold_of, standardise, stratified_folds
 from tallyfield.operators.evaluation import confusion
-from tallyfield.operators.ordering import exact_rank
 from tallyfield.session import durable
 
 CLUSTER_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "customer_lifespan", "active_months"]
@@ -234,33 +231,3 @@ def score_sensors(df: DataFrame, regression: PipelineModel, classifier: Pipeline
     return scored.withColumn("congestion_probability", vector_to_array("probability")[1]).drop(
         "raw_features", "features", "rawPrediction", "probability", "prediction"
     )
-
-
-def compact_ids(df: DataFrame, column: str, out: str) -> DataFrame:
-    """(column, out): a gap-free integer per distinct value, for models that need 32-bit ids."""
-    ranked = exact_rank(df.select(column).distinct(), [column], rank="_rank", size="_size")
-    return ranked.select(F.col(column).alias(f"_{column}"), F.col("_rank").cast("int").alias(out))
-
-
-def recommend_items(ratings: DataFrame, user: str, item: str, rating: str, top: int = 5, rank: int = 8) -> DataFrame:
-    """Top items per user by implicit alternating least squares.
-
-    Purchases shrink to one row per (user, item) first. Keys of any size are mapped to
-    compact ids and back.
-    """
-    counts = durable(ratings.groupBy(user, item).agg(F.sum(rating).cast("float").alias("rating")))
-    users, items = durable(compact_ids(counts, user, "_u")), durable(compact_ids(counts, item, "_i"))
-    coded = counts.join(users, F.col(user) == F.col(f"_{user}")).join(items, F.col(item) == F.col(f"_{item}"))
-    model = ALS(userCol="_u", itemCol="_i", ratingCol="rating", implicitPrefs=True, rank=rank, maxIter=5, seed=SEED).fit(
-        coded.select("_u", "_i", "rating")
-    )
-    found = model.recommendForAllUsers(top).select("_u", F.posexplode("recommendations").alias("place", "r"))
-    return (
-        found.select("_u", F.col("r._i").alias("_i"), "place", "r.rating")
-        .join(users, "_u")
-        .join(items, "_i")
-        .select(
-            F.col(f"_{user}").alias(user), (F.col("place") + 1).alias("place"), F.col(f"_{item}").alias(item),
-            rounded(F.col("rating").cast("double"), 4).alias("score"),
-        )
-    )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import clinical as K
 from tallyfield.functions import traffic as R
 from tallyfield.functions.dates import clock_parts
+from tallyfield.operators import affinity as A
 from tallyfield.operators import cohorts as H
 from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
@@ -253,13 +254,38 @@ def churn_model(t: Tables) -> DataFrame:
     return L.churn_probabilities(C.customer_metrics(orders(t), AS_OF))
 
 
-@query("item_recommendations")
+NEIGHBOUR_SQL = """basket AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS item FROM lineitem),
+  held AS (SELECT item, COUNT(*) AS n FROM basket GROUP BY 1),
+  pair AS (SELECT x.item, y.item AS other, COUNT(*) AS together FROM basket x JOIN basket y ON x.o = y.o AND x.item <> y.item GROUP BY 1, 2),
+  near AS (SELECT pair.item, other, CAST(floor(together / sqrt(CAST(a.n * b.n AS DOUBLE)) * 1000000) AS BIGINT) AS similarity
+    FROM pair JOIN held a ON a.item = pair.item JOIN held b ON b.item = other
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY pair.item ORDER BY similarity DESC, other) <= 10)"""
+
+
+def bought(t: Tables) -> DataFrame:
+    sold = t.lineitem.select("l_orderkey", F.col("l_partkey").alias("part"))
+    return sold.join(t.orders.select("o_orderkey", F.col("o_custkey").alias("customer")), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+@query("item_neighbours", f"WITH {NEIGHBOUR_SQL} SELECT item, other, similarity FROM near")
+def item_neighbours(t: Tables) -> DataFrame:
+    """The ten closest others of each product."""
+    return A.neighbour_lists(t.lineitem, "l_orderkey", "l_partkey")
+
+
+@query(
+    "item_recommendations",
+    f"""WITH {NEIGHBOUR_SQL}, owned AS (SELECT DISTINCT o_custkey AS customer, l_partkey AS item FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    tie AS (SELECT customer, other AS part, similarity, item FROM owned JOIN near USING (item)
+      WHERE (customer, other) NOT IN (SELECT (customer, item) FROM owned)
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY customer, other ORDER BY similarity DESC, item) = 1)
+    SELECT customer, CAST(ROW_NUMBER() OVER (PARTITION BY customer ORDER BY similarity DESC, part) AS INTEGER) AS place, part,
+      similarity / 1000000 AS score, item AS because FROM tie QUALIFY place <= 5""",
+)
 def item_recommendations(t: Tables) -> DataFrame:
-    bought = (
-        t.lineitem.select("l_orderkey", F.col("l_partkey").alias("part"), "l_quantity")
-        .join(t.orders.select("o_orderkey", F.col("o_custkey").alias("customer")), F.col("l_orderkey") == F.col("o_orderkey"))
-    )
-    return L.recommend_items(bought, "customer", "part", "l_quantity")
+    """Five products for each customer, from the neighbour lists of what the customer bought."""
+    near = durable(A.neighbour_lists(t.lineitem, "l_orderkey", "l_partkey"))
+    return A.recommend(bought(t), near, "customer", "part")
 
 
 @query("stay_regression")
