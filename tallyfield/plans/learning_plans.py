@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tallyfield.functions import clinical as K
 from tallyfield.functions import traffic as R
 from tallyfield.functions.dates import clock_parts
+from tallyfield.functions.numbers import rounded
 from tallyfield.operators import affinity as A
 from tallyfield.operators import cohorts as H
 from tallyfield.operators import customers as C
@@ -186,6 +187,22 @@ def monthly_units(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "demand_lag_coefficients",
+    f"""WITH {LINES_SQL}, m AS (SELECT product_id, CAST(date_trunc('month', ship_date) AS DATE) AS month, CAST(SUM(quantity) AS DOUBLE) AS units
+      FROM line GROUP BY 1, 2), b AS (SELECT product_id, MIN(month) AS lo, MAX(month) AS hi FROM m GROUP BY 1),
+    g AS (SELECT product_id, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+    s AS (SELECT product_id, COALESCE(units, 0) AS y, LAG(COALESCE(units, 0)) OVER (PARTITION BY product_id ORDER BY month) AS x
+      FROM g LEFT JOIN m USING (product_id, month)),
+    c AS (SELECT product_id, COUNT(*) AS months, COUNT(DISTINCT x) > 1 AS sound, regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM s GROUP BY 1)
+    SELECT product_id, months, CASE WHEN sound THEN round_even(a, 6) END AS intercept, CASE WHEN sound THEN round_even(b, 6) END AS slope FROM c""",
+)
+def demand_lag_coefficients(t: Tables) -> DataFrame:
+    """Each product's units regressed on those of the month before, by the solver that forecasts."""
+    found = FC.lag_coefficients(product_units(t), ["product_id"], "month", "units")
+    return found.select("product_id", "months", rounded("intercept", 6).alias("intercept"), rounded("slope", 6).alias("slope"))
+
+
 @query("demand_forecast")
 def demand_forecast(t: Tables) -> DataFrame:
     """A forecast for each product: one bounded monthly series per product."""

@@ -16,7 +16,6 @@ from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
 from tallyfield.operators import evaluation as V
 from tallyfield.operators import learners as L
-from tallyfield.operators.forecasting import forecast, lag_forecast
 from tallyfield.operators.isolation import fit_isolation_forest
 from tallyfield.operators import resample
 from tallyfield.operators.survival import kaplan_meier, survival_data
@@ -142,18 +141,6 @@ def test_isolation_forest_finds_the_outliers(spark):
     assert 35 <= sum(r["s"] < 0 for r in scored) <= 45
 
 
-def test_forecast_follows_trend_and_season(spark):
-    y = np.array([100 + 2 * i + 30 * math.sin(i * math.pi / 6) for i in range(60)])
-    points, spread, _ = lag_forecast(y)
-    truth = [100 + 2 * i + 30 * math.sin(i * math.pi / 6) for i in range(60, 72)]
-    assert np.allclose(points, truth, atol=1.0)
-    months = [(dt.date(2001 + i // 12, i % 12 + 1, 1), "k", float(v)) for i, v in enumerate(y) if i != 7]
-    out = forecast(spark.createDataFrame(months, "m date, k string, v double"), ["k"], "m", "v").orderBy("m").collect()
-    assert [r["m"] for r in out][:2] == [dt.date(2006, 1, 1), dt.date(2006, 2, 1)] and len(out) == 12
-    assert all(r["lower"] <= r["forecast"] <= r["upper"] for r in out)
-    assert lag_forecast(np.array([4.0]))[2] == "mean"
-
-
 def test_models_separate_and_clusters_repeat(spark):
     pick = random.Random(2)
     data = [(i, i % 2, pick.gauss(3.0 * (i % 2), 1), pick.gauss(0, 1)) for i in range(400)]
