@@ -11,6 +11,7 @@ from tallyfield.functions import traffic as R
 from tallyfield.functions.dates import clock_parts
 from tallyfield.functions.numbers import rounded
 from tallyfield.operators import affinity as A
+from tallyfield.operators import arima as AR
 from tallyfield.operators import cohorts as H
 from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
@@ -147,16 +148,26 @@ def model_store(t: Tables) -> DataFrame:
     )
 
 
-@query("revenue_forecast")
-def revenue_forecast(t: Tables) -> DataFrame:
-    """A forecast for each market segment and nation. Orders shrink to customer-months before the join."""
-    months = H.active_months(completed(t))
-    monthly = (
-        months.join(t.customer, F.col("customer_id") == F.col("c_custkey"))
+def revenue_months(t: Tables) -> DataFrame:
+    """Revenue of each market segment and nation by month. Orders shrink to customer-months before the join."""
+    return (
+        H.active_months(completed(t))
+        .join(t.customer, F.col("customer_id") == F.col("c_custkey"))
         .groupBy(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"), F.col("month").alias("order_month"))
         .agg((F.sum("cents") / F.lit(100.0)).alias("total_revenue"))
     )
-    return FC.forecast(monthly, ["segment", "nation"], "order_month", "total_revenue")
+
+
+@query("revenue_forecast")
+def revenue_forecast(t: Tables) -> DataFrame:
+    """A forecast for each market segment and nation."""
+    return FC.forecast(revenue_months(t), ["segment", "nation"], "order_month", "total_revenue")
+
+
+@query("revenue_arima")
+def revenue_arima(t: Tables) -> DataFrame:
+    """The same series by models with differences and moving-average terms."""
+    return AR.arima_forecast(revenue_months(t), ["segment", "nation"], "order_month", "total_revenue")
 
 
 @query(
