@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfield.llm.blocks import blocks_of, dealt, lots, meeting
+from tallyfield.llm.blocks import blocks_of, dealt, lots, meeting_in_place
 from tallyfield.llm.common import ALNUM, LAST_ID, LOWER, Words, mixed, own_id, slices, stored
 
 #: A term has an entry for each of these numbers of occurrences that it reaches.
@@ -27,7 +27,9 @@ STEPS = np.array([1, 2, 3, 4, 6, 9, 14, 22])
 #: Bits for each entry that a class of documents may have, and slices that an entry sets.
 BITS, HASHES = 12, 4
 #: Documents and bits of a block, slices of a signature, and terms of a block of items, at most.
-DOCUMENTS, BLOCK_BITS, WIDEST, ITEM_TERMS = 512, 1 << 23, 1 << 23, 4096
+DOCUMENTS, BLOCK_BITS, WIDEST, ITEM_TERMS = 256, 1 << 22, 1 << 23, 4096
+#: Blocks of items whose best documents a task holds at once.
+OPEN = 256
 #: Distinct terms whose counts a task holds before it passes them on.
 COUNTED = 500_000
 
@@ -175,16 +177,18 @@ def item_terms(items: DataFrame) -> DataFrame:
     return items.select("_item", "_text").mapInArrow(each, "_item long, _term long")
 
 
+PACKED = ["_items", "_item_terms", "_weights"]
+
+
 def packed_items(weighted: DataFrame) -> DataFrame:
     """(_block, _item, _term, _w) as one row of binary columns for each block."""
-    names = ["_items", "_item_terms", "_weights"]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
         def block() -> pa.RecordBatch:
             joined = [np.concatenate(c).tobytes() for c in zip(*held)]
-            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), *[pa.array([x], pa.binary()) for x in joined]], names=["_block", *names])
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), *[pa.array([x], pa.binary()) for x in joined]], names=["_block", *PACKED])
 
         for batch in filter(len, batches):
             keys, *values = (batch.column(k).to_numpy() for k in range(4))
@@ -198,7 +202,7 @@ def packed_items(weighted: DataFrame) -> DataFrame:
             yield block()
 
     spread = weighted.select("_block", "_item", "_term", "_w").repartition("_block").sortWithinPartitions("_block", "_item", "_term")
-    return spread.mapInArrow(each, "_block int, " + ", ".join(f"{c} binary" for c in names))
+    return spread.mapInArrow(each, "_block int, " + ", ".join(f"{c} binary" for c in PACKED))
 
 
 class Best:
@@ -215,6 +219,54 @@ class Best:
         self.rows = sorted(self.rows + [(-s, i) for s, i in scored if s > 0])[: self.k]
 
 
+class Items:
+    """A block of items: their terms and weights, and the best documents so far."""
+
+    def __init__(self, items: bytes, terms: bytes, weights: bytes, k: int):
+        items, self.weights = np.frombuffer(items, np.int64), np.frombuffer(weights, np.int64)
+        self.names, first = np.unique(items, return_index=True)
+        self.cut, self.best = np.r_[first, len(items)], [Best(k) for _ in self.names]
+        self.terms, self.at = np.unique(np.frombuffer(terms, np.uint64), return_inverse=True)
+
+    def search(self, block: Documents, k: int) -> None:
+        """Bound the scores of all documents of a block and rescore those that may be among the best."""
+        steps = reached(block.slices, self.terms, block.n)
+        across = np.arange(block.n)
+        for item, found in enumerate(self.best):
+            span = slice(self.cut[item], self.cut[item + 1])
+            at, weights = self.at[span], self.weights[span]
+            bound = weights.astype(np.float64) @ block.most[steps[at], across] * (1 + 1e-12)
+            # the likeliest first; they raise the floor for the rest
+            likely = np.argsort(-bound, kind="stable")[:k]
+            rest = np.ones(block.n, bool)
+            rest[likely] = False
+            for some in (likely, np.flatnonzero(rest)):
+                some = some[bound[some] >= found.floor()]
+                if len(some):
+                    found.take([(block.score(d, self.terms[at], weights), int(block.ids[d])) for d in some])
+
+    def result(self) -> pa.RecordBatch:
+        rows = [(int(i), -s, d) for i, b in zip(self.names, self.best) for s, d in b.rows]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))], names=["_item", "_score", "_id"])
+
+
+class Documents:
+    """A block of documents: slices for the bounds, terms and counts for the scores."""
+
+    def __init__(self, r: dict, n_docs: int, n_words: int):
+        whole = lambda c, kind=np.int64: np.frombuffer(r[c], kind)
+        self.n, self.ids, sizes, self.ends = r["_docs"], whole("_ids"), whole("_sizes"), np.r_[0, whole("_ends")]
+        self.terms, self.many = whole("_terms", np.uint64), whole("_many", np.int32).astype(np.int64)
+        self.m = np.array([10 + 90 * s * n_docs // n_words for s in sizes.tolist()])
+        self.slices, self.most = whole("_slices", np.uint8).reshape(r["_width"], -1), bounds(self.m, sizes)
+
+    def score(self, d: int, terms: np.ndarray, weights: np.ndarray) -> int:
+        own, many = (x[self.ends[d] : self.ends[d + 1]] for x in (self.terms, self.many))
+        place = np.minimum(np.searchsorted(own, terms), len(own) - 1)
+        met = own[place] == terms
+        return int((weights[met] * share(many[place[met]], self.m[d])).sum())
+
+
 def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` best documents (doc_id, text) of each item (item_id, text): item_id, rank, doc_id, score.
 
@@ -225,6 +277,8 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     are one item, rows that share only the id are items of their own. An empty table on either side gives an empty result.
     """
     spark = docs.sparkSession
+    # a block is near a megabyte: batches of 64 would stand in memory twice for each core
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     n_lots = lots(spark)
     texts = docs.select(own_id().alias("_id"), F.col("text").cast("string").alias("_text")).where(F.col("_text").isNotNull())
     index = stored(indexed(texts, n_lots), "slice-blocks")
@@ -239,52 +293,21 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     n_blocks = blocks_of(terms, ITEM_TERMS)
     weighted = terms.join(holds, "_term").select(dealt(F.xxhash64("_item"), n_blocks).alias("_block"), "_item", "_term", weight.alias("_w"))
     queries = stored(packed_items(weighted), "slice-queries")
-    both = meeting(blocks, queries, n_lots, n_blocks)
-    columns = ["_block", "_docs", "_width", "_ids", "_sizes", "_slices", "_ends", "_terms", "_many", "_items", "_item_terms", "_weights"]
+    both = meeting_in_place(blocks, queries, n_lots, n_blocks, PACKED)
+    columns = ["_block", "_docs", "_width", "_ids", "_sizes", "_slices", "_ends", "_terms", "_many", *PACKED]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def result() -> pa.RecordBatch:
-            rows = [(int(i), -s, d) for i, b in zip(names, best) for s, d in b.rows]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows) if rows else ([], [], []))], names=["_item", "_score", "_id"])
-
-        at = best = names = None
+        opened: dict[int, Items] = {}
         for batch in batches:
             for place in range(batch.num_rows):
                 r = {c: batch.column(i)[place].as_py() for i, c in enumerate(columns)}
-                whole = lambda c, kind=np.int64: np.frombuffer(r[c], kind)  # noqa: E731, B023
-                if r["_block"] != at:
-                    if at is not None:
-                        yield result()
-                    at = r["_block"]
-                    names, first = np.unique(whole("_items"), return_index=True)
-                    best, cut, weights = [Best(k) for _ in names], np.r_[first, len(whole("_items"))], whole("_weights")
-                    own, term_at = np.unique(whole("_item_terms", np.uint64), return_inverse=True)
-                n, ids, sizes, ends = r["_docs"], whole("_ids"), whole("_sizes"), whole("_ends")
-                doc_terms, many = whole("_terms", np.uint64), whole("_many", np.int32).astype(np.int64)
-                m = np.array([10 + 90 * s * n_docs // n_words for s in sizes.tolist()])
-                steps = reached(whole("_slices", np.uint8).reshape(r["_width"], -1), own, n)
-                most, across = bounds(m, sizes), np.arange(n)
-
-                def score(d: int, of: np.ndarray, w: np.ndarray) -> int:
-                    a, b = (ends[d - 1] if d else 0), ends[d]  # noqa: B023
-                    place = np.minimum(np.searchsorted(doc_terms[a:b], of), b - a - 1)  # noqa: B023
-                    met = doc_terms[a:b][place] == of  # noqa: B023
-                    return int((w[met] * share(many[a:b][place[met]], m[d])).sum())  # noqa: B023
-
-                for item, found in enumerate(best):
-                    span = slice(cut[item], cut[item + 1])
-                    of, w = own[term_at[span]], weights[span]
-                    bound = w.astype(np.float64) @ most[steps[term_at[span]], across]
-                    # the likeliest first; they raise the floor for the rest
-                    likely = np.argsort(-bound, kind="stable")[:k]
-                    rest = np.ones(n, bool)
-                    rest[likely] = False
-                    for some in (likely, np.flatnonzero(rest)):
-                        some = some[bound[some] * (1 + 1e-12) >= found.floor()]
-                        if len(some):
-                            found.take([(score(d, of, w), int(ids[d])) for d in some])
-        if at is not None:
-            yield result()
+                if r["_block"] not in opened:
+                    if len(opened) == OPEN:
+                        yield opened.pop(next(iter(opened))).result()
+                    opened[r["_block"]] = Items(*[r[c] for c in PACKED], k)
+                opened[r["_block"]].search(Documents(r, n_docs, n_words), k)
+        for items_ in opened.values():
+            yield items_.result()
 
     near = both.select(columns).mapInArrow(each, "_item long, _score long, _id long")
     order = Window.partitionBy("_item").orderBy(F.desc("_score"), "_id")

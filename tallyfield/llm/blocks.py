@@ -37,6 +37,19 @@ def meeting(rows: DataFrame, queries: DataFrame, n_lots: int, n_blocks: int) ->
     return left.join(right, ["_block", "_lot"])
 
 
+#: Bytes of packed queries up to which every task gets them all.
+SMALL = 32 << 20
+
+
+def meeting_in_place(rows: DataFrame, queries: DataFrame, n_lots: int, n_blocks: int, packed: list[str]) -> DataFrame:
+    """As ``meeting``, but large ``rows`` stay where they are if the ``packed`` columns of stored ``queries`` have at most ``SMALL`` bytes."""
+    held = queries.agg(F.sum(sum((F.octet_length(c) for c in packed), F.lit(0)))).first()[0] or 0
+    if held > SMALL:
+        return meeting(rows, queries, n_lots, n_blocks)
+    every = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))
+    return rows.withColumn("_block", every).join(F.broadcast(queries), "_block")
+
+
 def matrix(lists: pa.Array, width: int) -> np.ndarray:
     """A list column of numbers as rows of doubles; shorter lists are padded with zeros."""
     values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)

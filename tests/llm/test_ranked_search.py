@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tallyfield.llm import bitslices
+from tallyfield.llm import bitslices, blocks
 from tallyfield.llm.common import ALNUM, Words
 
 COLUMNS = ["item_id", "rank", "doc_id", "score"]
@@ -34,6 +34,9 @@ def test_ranking(table, docs, items, asked, nothing, monkeypatch):
     for name, value in {"BITS": 2, "DOCUMENTS": 9, "ITEM_TERMS": 50, "COUNTED": 100, "WIDEST": 64}.items():
         monkeypatch.setattr(bitslices, name, value)
     assert Counter(tuple(r) for r in bitslices.ranked(table, items).select(COLUMNS).collect()) == want
+    monkeypatch.setattr(bitslices, "OPEN", 2)
+    monkeypatch.setattr(blocks, "SMALL", 0)
+    assert Counter(tuple(r) for r in bitslices.ranked(table, items).select(COLUMNS).collect()) == want
     assert bitslices.ranked(nothing, items).collect() == []
     assert bitslices.ranked(table, items.limit(0)).collect() == []
 
