@@ -16,12 +16,13 @@ from tallyfield.operators import cohorts as H
 from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
 from tallyfield.operators import forecasting as FC
+from tallyfield.operators import hazards as Z
 from tallyfield.operators import learners as L
 from tallyfield.operators.isolation import fit_isolation_forest
 from tallyfield.operators.resample import smote_balance, smote_vectors
 from tallyfield.operators.survival import survival_data
 from tallyfield.plans.bindings import AS_OF, LINES_SQL, lines, orders, per_order, readings
-from tallyfield.plans.cohort_plans import TABLE_SQL, table
+from tallyfield.plans.cohort_plans import SURVIVAL_SQL, TABLE_SQL, table
 from tallyfield.plans.customer_plans import completed
 from tallyfield.plans.history_plans import NEXT_SQL, labelled_stays
 from tallyfield.plans.registry import Tables, query
@@ -326,3 +327,54 @@ def stay_regression(t: Tables) -> DataFrame:
 def mortality_survival(t: Tables) -> DataFrame:
     rows = survival_data(completed(t), AS_OF)
     return L.hazard_model(rows, "survival_time", "churned", ["total_orders", "total_revenue"], "customer_id")
+
+
+def newton_sql(steps: int = 8) -> str:
+    """Newton's steps for one covariate x of rows (t, x, churned), one after the other; b{steps} holds the weight."""
+    parts = ["b0 AS MATERIALIZED (SELECT CAST(0 AS DOUBLE) AS b, CAST(0 AS DOUBLE) AS info)"]
+    for i in range(steps):
+        parts.append(f"""e{i} AS (SELECT t, SUM(exp(b * x)) AS s, SUM(x * exp(b * x)) AS s1, SUM(x * x * exp(b * x)) AS s2, SUM(churned) AS d, SUM(churned * x) AS own,
+          SUM(churned * exp(b * x)) AS ds, SUM(churned * x * exp(b * x)) AS ds1, SUM(churned * x * x * exp(b * x)) AS ds2 FROM xs, b{i} GROUP BY t),
+        r{i} AS (SELECT d, own, ds, ds1, ds2, SUM(s) OVER w AS s, SUM(s1) OVER w AS s1, SUM(s2) OVER w AS s2 FROM e{i} WINDOW w AS (ORDER BY t DESC)),
+        l{i} AS (SELECT l, own, s - l / d * ds AS s, s1 - l / d * ds1 AS s1, s2 - l / d * ds2 AS s2
+          FROM (SELECT *, CAST(unnest(range(CAST(d AS BIGINT))) AS DOUBLE) AS l FROM r{i} WHERE d > 0)),
+        b{i + 1} AS MATERIALIZED (SELECT ANY_VALUE(b) + SUM(CASE WHEN l = 0 THEN own ELSE 0 END - s1 / s) / SUM(s2 / s - s1 * s1 / (s * s)) AS b,
+          SUM(s2 / s - s1 * s1 / (s * s)) AS info FROM l{i}, b{i})""")
+    return ",\n".join(parts)
+
+
+SURVIVORS_SQL = SURVIVAL_SQL + ", xs AS (SELECT survival_time AS t, churned, total_orders - (SELECT AVG(total_orders) FROM surv) AS x FROM surv)"
+
+
+@query(
+    "hazard_ratio",
+    f"""WITH {SURVIVORS_SQL}, {newton_sql()}
+    SELECT 'total_orders' AS covariate, round_even(b, 6) AS coefficient, round_even(exp(b), 6) AS hazard_ratio, round_even(1 / sqrt(info), 6) AS std_error FROM b8""",
+)
+def hazard_ratio(t: Tables) -> DataFrame:
+    """Proportional hazards of churn by the number of orders."""
+    rows = survival_data(completed(t), AS_OF)
+    found = Z.fit_hazards(rows, "survival_time", "churned", ["total_orders"]).table(rows)
+    return found.select("covariate", *[rounded(c, 6).alias(c) for c in ("coefficient", "hazard_ratio", "std_error")])
+
+
+@query(
+    "concordance",
+    f"""WITH {SURVIVAL_SQL}, p AS (SELECT COUNT(*) AS pairs, COUNT(*) FILTER (a.total_revenue > b.total_revenue) AS concordant,
+      COUNT(*) FILTER (a.total_revenue = b.total_revenue) AS tied FROM surv a JOIN surv b ON b.survival_time > a.survival_time WHERE a.churned = 1)
+    SELECT *, (concordant + 0.5 * tied) / nullif(CAST(pairs AS DOUBLE), 0) AS c_index FROM p""",
+)
+def concordance(t: Tables) -> DataFrame:
+    """How well the revenue of customers orders their times until churn."""
+    return Z.concordance(survival_data(completed(t), AS_OF), "survival_time", "churned", "total_revenue")
+
+
+@query("hazard_model")
+def hazard_model(t: Tables) -> DataFrame:
+    """Hazard ratios fitted on four fifths of the customers, with concordance and calibration on the rest."""
+    rows = durable(survival_data(completed(t), AS_OF).withColumn("_fold", N.fold_of("customer_id", 5, L.SEED)))
+    held = rows.where("_fold = 0")
+    model = Z.fit_hazards(rows.where("_fold <> 0"), "survival_time", "churned", ["total_orders", "total_revenue"])
+    found = Z.concordance(held.withColumn("risk", model.risk()), "survival_time", "churned", "risk")
+    slope = Z.calibration_slope(held, "survival_time", "churned", model)
+    return model.table(rows).withColumns({"c_index": found.select("c_index").scalar(), "calibration_slope": F.lit(slope)})
