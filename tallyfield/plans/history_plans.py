@@ -10,6 +10,7 @@ from tallyfield.functions.numbers import cents, money_sum, rounded
 from tallyfield.operators import admissions as A
 from tallyfield.operators import cohorts as H
 from tallyfield.operators import joins as J
+from tallyfield.operators import places as P
 from tallyfield.operators.timeline import interval_totals
 from tallyfield.plans.bindings import (
     AS_OF, CLINIC_SQL, DONE_SQL, LINES_SQL, ORDERS_SQL, PEOPLE_SQL, SENSORS_SQL, admissions, lines, orders, people,
@@ -222,13 +223,17 @@ def interval_join(t: Tables) -> DataFrame:
 # Users lie along a line with two cells to three users; a supplier is the route through the cell
 # of its key and ends in the next one. So cells grow with the tables and hold two routes at most.
 # Suppliers of every eighth nation are not on the network: their cells may be without a route.
-IMPACT_SQL = """route AS (SELECT 'R' || CAST(s_suppkey AS VARCHAR) AS route_id, 'R' || CAST(s_suppkey + 1 AS VARCHAR) AS alternative_routes,
-  unnest([s_suppkey, s_suppkey + 1]) AS cell FROM supplier WHERE s_nationkey % 8 <> 0),
+def impact_sql(on_network: str) -> str:
+    return f"""route AS (SELECT 'R' || CAST(s_suppkey AS VARCHAR) AS route_id, 'R' || CAST(s_suppkey + 1 AS VARCHAR) AS alternative_routes,
+  unnest([s_suppkey, s_suppkey + 1]) AS cell FROM supplier WHERE {on_network}),
 incident AS (SELECT event_id, user_id * 2 // 3 AS cell, CAST(floor(value) AS INTEGER) AS duration FROM events WHERE event_type = 'error'),
 impact AS (SELECT CASE WHEN route_id IS NULL THEN 'no_route' ELSE 'route_diversion' END AS type, event_id AS incident_id,
   route_id AS affected_route, alternative_routes, duration AS estimated_delay FROM incident LEFT JOIN route USING (cell))"""
 
 
+IMPACT_SQL, ALL_IMPACT_SQL = impact_sql("s_nationkey % 8 <> 0"), impact_sql("TRUE")
+
+
 def route_segments(suppliers: DataFrame) -> DataFrame:
     """Route segments from suppliers, one row for each cell that a route touches."""
     key = F.col("s_suppkey")
@@ -257,15 +262,62 @@ def incident_impact_join(t: Tables) -> DataFrame:
     return J.incident_impact(incidents(t.events), route_table(t), "cell")
 
 
-ALL_IMPACT_SQL = IMPACT_SQL.replace(" WHERE s_nationkey % 8 <> 0", "")
-
-
 @query("incident_impact_all_routes", f"WITH {ALL_IMPACT_SQL} SELECT * FROM impact")
 def incident_impact_all_routes(t: Tables) -> DataFrame:
     """As ``incident_impact_join``, with every supplier as a route."""
     return J.incident_impact(incidents(t.events), route_segments(t.supplier), "cell")
 
 
+# The same users and suppliers on the globe: along circles of latitude a twentieth of a degree for each cell, so that
+# density does not change with size. A route is in service for ten days of the month.
+PLACES_SQL = """incident AS (SELECT event_id AS incident_id, CAST(floor(value) AS INTEGER) AS duration, ts AS started,
+    CAST(ts + to_minutes(CAST(floor(value) AS BIGINT)) AS TIMESTAMP) AS ended,
+    40 + 0.2 * (user_id // 10800) + 0.01 * (user_id % 7) AS lat, (user_id / 30 + 60) % 360 - 180 AS lon FROM events WHERE event_type = 'error'),
+route AS (SELECT 'R' || CAST(s_suppkey AS VARCHAR) AS route_id, 'R' || CAST(s_suppkey + 1 AS VARCHAR) AS alternative_routes,
+    40 + 0.2 * (s_suppkey // 7200) AS lat, (s_suppkey / 20 + 60) % 360 - 180 AS lon,
+    TIMESTAMP '2024-01-01' + to_days(CAST(s_suppkey * 7 % 30 AS INTEGER)) AS started, TIMESTAMP '2024-01-11' + to_days(CAST(s_suppkey * 7 % 30 AS INTEGER)) AS ended FROM supplier),
+near AS (SELECT incident_id, route_id, alternative_routes, 2 * 6371.0 * asin(sqrt(pow(sin(radians(r.lat - i.lat) / 2), 2)
+    + cos(radians(i.lat)) * cos(radians(r.lat)) * pow(sin(radians(r.lon - i.lon) / 2), 2))) AS distance_km
+  FROM incident i JOIN route r ON i.started <= r.ended AND r.started <= i.ended),
+affected AS (SELECT CASE WHEN route_id IS NULL THEN 'no_route' ELSE 'route_diversion' END AS type, incident_id, route_id AS affected_route,
+    alternative_routes, duration AS estimated_delay, round_even(distance_km, 6) AS distance_km
+  FROM incident LEFT JOIN (SELECT * FROM near WHERE distance_km <= 8) USING (incident_id))"""
+
+
+def placed_incidents(events: DataFrame) -> DataFrame:
+    """Error events as incidents with a place and a duration in minutes; works on streams as well."""
+    user, minutes = F.col("user_id"), F.floor("value").cast("int")
+    return events.where(F.col("event_type") == "error").select(
+        F.col("event_id").alias("incident_id"),
+        minutes.alias("estimated_duration"),
+        F.col("ts").alias("started"),
+        (F.col("ts") + F.make_dt_interval(mins=minutes)).alias("ended"),
+        (40 + F.lit(0.2) * F.expr("user_id div 10800") + F.lit(0.01) * (user % 7)).alias("lat"),
+        ((user / 30 + 60) % 360 - 180).alias("lon"),
+    )
+
+
+def placed_routes(t: Tables) -> DataFrame:
+    """Suppliers as routes with a place and ten days of service."""
+    key = F.col("s_suppkey")
+    opened = F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(days=(key * 7 % 30).cast("int"))
+    return t.supplier.select(
+        F.concat(F.lit("R"), key.cast("string")).alias("route_id"),
+        F.concat(F.lit("R"), (key + 1).cast("string")).alias("alternative_routes"),
+        (40 + F.lit(0.2) * F.expr("s_suppkey div 7200")).alias("lat"),
+        ((key / 20 + 60) % 360 - 180).alias("lon"),
+        opened.alias("started"),
+        (opened + F.expr("INTERVAL 10 DAYS")).alias("ended"),
+    )
+
+
+@query("affected_routes", f"WITH {PLACES_SQL} SELECT * FROM affected")
+def affected_routes(t: Tables) -> DataFrame:
+    """Each incident with the routes within eight kilometres that are in service while it lasts."""
+    found = P.affected_routes(placed_incidents(t.events), placed_routes(t), 8.0)
+    return found.withColumn("distance_km", rounded("distance_km", 6))
+
+
 @query(
     "topk_by_metric",
     f"WITH {METRICS_SQL} SELECT customer_id, total_spent FROM metrics ORDER BY total_spent DESC, customer_id LIMIT 20",
