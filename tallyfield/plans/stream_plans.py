@@ -18,6 +18,7 @@ from tallyfield.session import load, work_folder
 from tallyfield.sources.messages import as_messages, file_stream
 from tallyfield.streaming import flows as S
 from tallyfield.streaming import jobs as J
+from tallyfield.streaming import state
 
 
 class Live(Tables):
@@ -182,6 +183,20 @@ def stream_latest_state(t: Tables) -> DataFrame:
     return plain_time(newest.select("sensor_id", "r.*"), "updated_at")
 
 
+@query(
+    "stream_expiring_state",
+    f"""WITH {SENSORS_SQL}, n AS (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY ts DESC, event_id DESC) AS r FROM readings)
+    SELECT sensor_id, ts AS updated_at, average_speed, vehicle_count,
+      date_trunc('milliseconds', ts) + INTERVAL 10 MINUTE <= (SELECT date_trunc('milliseconds', MAX(ts)) FROM readings) - INTERVAL 5 MINUTE AS is_expired FROM n WHERE r = 1""",
+)
+def stream_expiring_state(t: Tables) -> DataFrame:
+    """The newest reading of each sensor from state that ends ten minutes after it."""
+    flow = state.expiring_latest(readings(live(t)), "sensor_id", "ts", "event_id", ["average_speed", "vehicle_count"], J.WATERMARK)
+    with state.timers(t.spark):
+        rows = drain_updates(t, flow, ["sensor_id"])
+    return plain_time(rows.withColumnRenamed("ts", "updated_at"), "updated_at")
+
+
 @query(
     "history_append",
     f"""WITH {SCORED_SQL} SELECT CAST(ts AS DATE) AS event_date, COUNT(*) AS n,

@@ -2,53 +2,92 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import contextlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
-HELD = "micros long, average_speed double"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _newest(key: str, ttl_ms: int) -> Callable:
-    def step(group: tuple, frames: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        if held.hasTimedOut:
-            held.remove()
-            yield pd.DataFrame({key: [group[0]], "micros": [None], "average_speed": [None], "is_expired": [True]})
-            return
-        best = held.get if held.exists else None
-        for frame in frames:
-            last = frame.loc[frame["micros"].idxmax()]
-            found = (int(last["micros"]), float(last["average_speed"]))
-            best = found if best is None or found[0] >= best[0] else best
-        held.update(best)
-        held.setTimeoutDuration(ttl_ms)
-        yield pd.DataFrame({key: [group[0]], "micros": [best[0]], "average_speed": [best[1]], "is_expired": [False]})
+@contextlib.contextmanager
+def timers(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state where timers and expiry are known; a running stream keeps its setting."""
+    before = spark.conf.get(PROVIDER)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before)
 
-    return step
 
+class Newest(StatefulProcessor):
+    """The newest record of a key, and a timer that forgets it ``ttl_ms`` after its event time."""
 
-def expiring_latest(readings: DataFrame, key: str, ttl_ms: int = 600_000) -> DataFrame:
-    """Stream of the newest reading per key; a key is forgotten after ``ttl_ms`` without news.
+    def __init__(self, columns: Sequence[str], schema: str, ttl_ms: int):
+        self.columns, self.schema, self.ttl_ms = list(columns), schema, ttl_ms
 
-    Run it under a processing-time trigger: expiry by the clock keeps asking for empty
-    batches, so a job that stops when the input is used up would never stop.
+    def init(self, handle) -> None:
+        self.handle, self.held = handle, handle.getValueState("newest", self.schema)
 
-    The state is one row per key and input arrives in chunks, so no group is held whole.
-    Where a few keys take most of the traffic, ``flows.latest_per_key`` combines rows
-    before the shuffle and leaves expiry to the reader.
+    def _out(self, record: tuple, is_expired: bool) -> pd.DataFrame:
+        frame = pd.DataFrame([record], columns=self.columns, dtype=object)
+        return frame.assign(is_expired=is_expired)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best = tuple(self.held.get()) if self.held.exists() else None
+        before = best
+        for frame in rows:
+            for record in frame[self.columns].astype(object).where(frame[self.columns].notna(), None).itertuples(index=False, name=None):
+                # the key stands first, then time and tie
+                if best is None or record[1:3] >= best[1:3]:
+                    best = record
+        if best != before:
+            if before is not None:
+                self.handle.deleteTimer(before[1] // 1000 + self.ttl_ms)
+            self.held.update(best)
+            self.handle.registerTimer(best[1] // 1000 + self.ttl_ms)
+            yield self._out(best, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.held.exists():
+            last = tuple(self.held.get())
+            self.held.clear()
+            yield self._out(last, True)
+
+    def close(self) -> None:
+        pass
+
+
+def combined(stream: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
+    """The newest record of each key in each batch of Arrow rows: a hot key sends a row from a batch, not all it has."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            order = pd.DataFrame({c: batch.column(batch.schema.get_field_index(c)).to_pandas() for c in (key, ts, tie)})
+            last = order.sort_values([ts, tie], kind="stable").drop_duplicates(key, keep="last").index
+            yield batch.take(pa.array(np.sort(last.to_numpy())))
+
+    return stream.mapInArrow(each, stream.schema)
+
+
+def expiring_latest(stream: DataFrame, key: str, ts: str, tie: str, fields: Sequence[str], delay: str, ttl_ms: int = 600_000) -> DataFrame:
+    """Stream of the newest record per key; a key without news for ``ttl_ms`` of event time is forgotten.
+
+    Each change gives a row with ``is_expired`` false, and the end of a key one with its last record and ``is_expired`` true. Time is event
+    time behind a watermark of ``delay``, so a replay expires the same keys. Records are combined before the shuffle; what is
+    late beyond the watermark is dropped. Start the stream inside ``timers``.
     """
-    kind = readings.schema[key].dataType.simpleString()
-    return (
-        readings.selectExpr(key, "unix_micros(ts) AS micros", "coalesce(average_speed, 0D) AS average_speed")
-        .groupBy(key)
-        .applyInPandasWithState(
-            _newest(key, ttl_ms),
-            f"{key} {kind}, micros long, average_speed double, is_expired boolean",
-            HELD,
-            "update",
-            GroupStateTimeout.ProcessingTimeTimeout,
-        )
-        .selectExpr(key, "timestamp_micros(micros) AS ts", "average_speed", "is_expired")
-    )
+    kind = {f.name: f.dataType.simpleString() for f in stream.schema}
+    columns = [key, "updated_micros", "updated_tie", *fields]
+    schema = f"`{key}` {kind[key]}, updated_micros long, updated_tie long, " + ", ".join(f"`{c}` {kind[c]}" for c in fields)
+    ready = combined(stream.select(key, F.col(ts).cast("timestamp").alias("updated_at"), F.col(tie).cast("long").alias("updated_tie"), *fields), key, "updated_at", "updated_tie")
+    timed = ready.withWatermark("updated_at", delay).select("*", F.unix_micros("updated_at").alias("updated_micros"))
+    found = timed.groupBy(key).transformWithStateInPandas(Newest(columns, schema, ttl_ms), f"{schema}, is_expired boolean", "Update", "EventTime")
+    return found.select(key, F.timestamp_micros("updated_micros").alias(ts), *fields, "is_expired")

@@ -63,18 +63,32 @@ def test_errors_fail_the_batch(spark, folder):
         J.finish(J.start(stream(spark, source), f"{folder}/ck", None, each=J.fan_out({"x": broken})))
 
 
-def test_expiring_state_keeps_the_newest(spark, folder):
+def test_silent_keys_are_forgotten(spark, folder):
     source, out = f"{folder}/in", f"{folder}/out"
-    write(spark, source, [(1, at(5), "a", 10.0), (2, at(1), "a", 1.0)])
-    write(spark, source, [(3, at(2), "a", 20.0), (4, at(5), "b", 30.0)])
-    flow = state.expiring_latest(stream(spark, source), "road_id")
-    # Timeouts by the clock ask for empty batches without end; the test takes the data only.
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    try:
-        J.finish(J.start(flow, f"{folder}/ck", None, "update", each=J.append_batches(out)))
-    finally:
-        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
-    assert rows(J.latest_rows(spark, out, ["road_id"]), "road_id", "average_speed") == [("a", 10.0), ("b", 30.0)]
+    flow = lambda: state.expiring_latest(stream(spark, source), "road_id", "ts", "event_id", ["average_speed"], "1 minute")
+    write(spark, source, [(1, at(5), "a", 10.0), (2, at(1), "a", 1.0), (3, at(0), "b", None), (4, at(5), "a", 11.0)])
+    write(spark, source, [(5, at(2), "a", 20.0), (6, at(9), "c", 30.0)])
+    with state.timers(spark):
+        first = J.finish(J.start(flow(), f"{folder}/ck", None, "update", each=J.append_batches(out)))
+    newest = lambda: rows(J.latest_rows(spark, out, ["road_id"]), "road_id", "average_speed", "is_expired")
+    assert newest() == [("a", 11.0, False), ("b", None, False), ("c", 30.0, False)]
+    assert first.lastProgress["stateOperators"][0]["numRowsTotal"] >= 3
+    write(spark, source, [(7, at(17), "c", 31.0), (8, at(17), None, 1.0)])
+    with state.timers(spark):
+        second = J.finish(J.start(flow(), f"{folder}/ck", None, "update", each=J.append_batches(out)))
+    # the watermark stands at minute 16: silent since minutes 5 and 0 for ten minutes and more
+    assert newest() == [("a", 11.0, True), ("b", None, True), ("c", 31.0, False), (None, 1.0, False)]
+    write(spark, source, [(9, at(18), "a", 5.0)])
+    with state.timers(spark):
+        J.finish(J.start(flow(), f"{folder}/ck", None, "update", each=J.append_batches(out)))
+    assert newest()[0] == ("a", 5.0, False)
+    assert spark.conf.get(state.PROVIDER) != state.ROCKS and second.exception() is None
+
+
+def test_a_hot_key_is_combined_before_the_shuffle(spark):
+    frame = spark.range(5000).select(F.lit("a").alias("k"), F.timestamp_micros(F.col("id") % 1000).alias("t"), F.col("id").alias("i")).coalesce(1)
+    got = state.combined(frame, "k", "t", "i").collect()
+    assert len(got) <= 2 and max(r["i"] for r in got) == 4999
 
 
 def test_progress(spark, folder):
