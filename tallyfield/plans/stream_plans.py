@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyfield.operators import traffic as T
 from tallyfield.plans.bindings import SENSORS_SQL, messages, readings
 from tallyfield.plans.feature_plans import LEVEL_SQL
-from tallyfield.plans.history_plans import ALL_IMPACT_SQL, IMPACT_SQL, incidents, route_segments, route_table
+from tallyfield.plans.history_plans import ALL_IMPACT_SQL, IMPACT_SQL, STAY_SQL, incidents, route_segments, route_table, stays
 from tallyfield.plans.mart_plans import SESSION_SQL
 from tallyfield.plans.quality_plans import KEEP, SCORED_SQL, scored_readings
 from tallyfield.plans.registry import Tables, query
@@ -102,16 +102,27 @@ def sliding_window(t: Tables) -> DataFrame:
 
 @query(
     "session_window",
-    f"""WITH {SESSION_SQL} SELECT user_id, session_start, session_end + INTERVAL 30 MINUTE AS session_end, pages_viewed, conversion_flag FROM sess
-    WHERE session_end + INTERVAL 30 MINUTE <= (SELECT MAX(ts) FROM events) - INTERVAL 5 MINUTE""",
+    f"WITH {SESSION_SQL} SELECT user_id, session_start, session_end + INTERVAL 30 MINUTE AS session_end, pages_viewed, conversion_flag FROM sess",
 )
 def session_window(t: Tables) -> DataFrame:
-    """Sessions that the watermark has closed: append mode gives a session out once, when it can no longer grow.
+    """All sessions: append mode gives a session out once, when the watermark has passed its end, and a closing event at the end of
+    the input moves the watermark past those still open."""
+    sessions = lambda events: S.session_metrics(S.timed(events, "ts"), "ts", "user_id")
+    events = live(t).events.select("user_id", "ts", "event_type")
+    return plain_time(J.drain_closed(events, "ts", sessions, "1 HOUR", work_folder(t.spark, "sessions")), "session_start", "session_end")
 
-    Sessions that are open when the stream stops stay in its state and come out of the next run. ``session_table`` has all.
-    """
-    out = drain(t, S.session_metrics(S.timed(live(t).events, "ts"), "ts", "user_id"))
-    return plain_time(out, "session_start", "session_end")
+
+@query(
+    "stream_interval_join",
+    f"""WITH {STAY_SQL} SELECT s.sensor_id, s.incident_id, COUNT(r.event_id) AS readings_count, CAST(SUM(r.vehicle_count) AS BIGINT) AS vehicles
+    FROM stay s JOIN readings r ON r.sensor_id = s.sensor_id AND r.ts BETWEEN s.started AND s.ended GROUP BY 1, 2""",
+)
+def stream_interval_join(t: Tables) -> DataFrame:
+    """The readings stream joined with the incident stream; what falls in an incident is counted when both have drained."""
+    seen = S.timed(readings(live(t)).select("event_id", "sensor_id", "ts", "vehicle_count"), "ts")
+    lasting = S.timed(stays(live(t)), "started").withColumn("ended", F.col("ended").cast("timestamp"))
+    found = drain(t, S.within_intervals(seen, lasting, "sensor_id", "ts", "started", "ended", "12 HOURS"))
+    return found.groupBy("sensor_id", "incident_id").agg(F.count("event_id").alias("readings_count"), F.sum(F.col("vehicle_count").cast("bigint")).alias("vehicles"))
 
 
 @query(

@@ -64,6 +64,17 @@ def without_repeats(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(list(ids))
 
 
+def within_intervals(readings: DataFrame, intervals: DataFrame, key: str, ts: str, started: str, ended: str, longest: str) -> DataFrame:
+    """Readings of a stream joined with the intervals of another stream that they fall in, ends included.
+
+    Both sides need a watermark, on ``ts`` and ``started``. No interval may last longer than ``longest``: with that bound an
+    interval leaves the state when readings can no longer fall in it, and a reading when no interval can begin before it.
+    """
+    own = intervals.withColumnRenamed(key, "_key")
+    inside = (F.col(ts) >= F.col(started)) & (F.col(ts) <= F.col(ended)) & (F.col(ts) <= F.col(started) + F.expr(f"INTERVAL {longest}"))
+    return readings.join(own, (F.col(key) == F.col("_key")) & inside).drop("_key")
+
+
 def latest_per_key(df: DataFrame, key: str, ts: str, tie: str, fields: Sequence[str], ttl: str = "1 day") -> DataFrame:
     """Newest record per key and ``ttl`` of event time, for update mode.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import threading
 import time
 from collections.abc import Callable, Mapping, Sequence
@@ -40,6 +41,33 @@ def finish(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
+def last_watermark(query: StreamingQuery) -> dt.datetime | None:
+    """How far event time has come behind the delay, or None if nothing has arrived."""
+    marks = [p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in (p["eventTime"] or {})]
+    latest = max((dt.datetime.fromisoformat(m.replace("Z", "+00:00")) for m in marks), default=None)
+    return latest if latest and latest.timestamp() > 0 else None
+
+
+def drain_closed(events: DataFrame, ts: str, flow: Callable[[DataFrame], DataFrame], ahead: str, root: str) -> DataFrame:
+    """All that ``flow`` gives in append mode for a stream of events, with what is still open when the input ends.
+
+    The stream runs over its input, then once more with an event that moves its watermark past everything open. That event is
+    empty but for its time, which lies ``ahead`` of the watermark; its own window stays open. ``ahead`` must
+    exceed twice the delay and the longest gap.
+    """
+    spark, schema = events.sparkSession, events.schema
+    spark.createDataFrame([], schema).write.parquet(f"{root}/closing")
+    out = flow(events.union(spark.readStream.schema(schema).parquet(f"{root}/closing")))
+    run = lambda: finish(start(out, f"{root}/checkpoint", None, folder=f"{root}/out"))
+    mark = last_watermark(run())
+    if mark is not None:
+        time_ = (F.lit(mark).cast("timestamp") + F.expr(f"INTERVAL {ahead}")).cast(schema[ts].dataType)
+        event = spark.range(1).select(*[(time_ if f.name == ts else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
+        event.write.mode("append").parquet(f"{root}/closing")
+        run()
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
 def append_batches(folder: str, partitions: Sequence[str] = ()) -> Callable[[DataFrame, int], None]:
     """A batch function that can run twice: a batch replaces only its own partitions."""
 

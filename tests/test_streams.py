@@ -91,6 +91,34 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     assert len(got) <= 2 and max(r["i"] for r in got) == 4999
 
 
+def test_sessions_open_at_the_end_come_out(spark, folder):
+    source, out = f"{folder}/in", f"{folder}/out"
+    write(spark, source, [(1, at(0), "a", 1.0), (2, at(10), "a", 1.0)])
+    write(spark, source, [(3, at(60), "a", 1.0), (4, at(61), "b", 1.0)])
+    flow = lambda events: S.session_metrics(S.timed(events, "ts"), "ts", "road_id", kind="road_id")
+    got = rows(J.drain_closed(stream(spark, source), "ts", flow, "1 HOUR", out), "road_id", "session_start", "pages_viewed")
+    assert got == [("a", at(0), 2), ("a", at(60), 1), ("b", at(61), 1)]
+    empty = f"{folder}/none"
+    spark.createDataFrame([], SCHEMA).write.parquet(empty)
+    assert J.drain_closed(stream(spark, empty), "ts", flow, "1 HOUR", f"{folder}/left").count() == 0
+
+
+def test_intervals_of_a_stream_leave_the_state(spark, folder):
+    incidents, readings, out = f"{folder}/incidents", f"{folder}/readings", f"{folder}/out"
+    for day in range(8):
+        start = at(day * 1440)
+        spark.createDataFrame([(day * 10 + i, start + dt.timedelta(minutes=i), start + dt.timedelta(minutes=60 + i), "a") for i in range(3)], "incident_id long, started timestamp, ended timestamp, road_id string").coalesce(1).write.mode("append").parquet(incidents)
+        write(spark, readings, [(day * 100 + i, at(day * 1440 + 5 * i), "a" if i % 2 else "b", 1.0) for i in range(40)])
+    schema = spark.read.parquet(incidents).schema
+    lasting = S.timed(file_stream(spark, incidents, schema, files_per_trigger=1), "started")
+    flow = S.within_intervals(S.timed(stream(spark, readings), "ts"), lasting, "road_id", "ts", "started", "ended", "2 HOURS")
+    done = J.finish(J.start(flow, f"{folder}/ck", None, folder=out))
+    want = sum(1 for day in range(8) for i in range(40) if i % 2 for k in range(3) if k <= 5 * i <= 60 + k)
+    assert spark.read.parquet(out).count() == want > 100
+    # 24 incidents and 320 readings went through; the last day's are what is left
+    assert done.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2 * 43
+
+
 def test_progress(spark, folder):
     source = f"{folder}/in"
     write(spark, source, [(1, at(0), "a", 10.0), (2, at(1), "a", 10.0)])
