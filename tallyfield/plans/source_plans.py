@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame
@@ -94,7 +95,7 @@ def warehouse_read(t: Tables) -> DataFrame:
     WHERE order_date IN (DATE '{RUN_DAY}', DATE '{RUN_DAY}' + 1) GROUP BY 1""",
 )
 def insert_select(t: Tables) -> DataFrame:
-    """Two daily runs append one row each to the mart."""
+    """Two daily runs append one row each to the mart; each is run again and adds nothing."""
     w = warehouse(t)
     w.replace("staging", "stg_orders", orders(t))
     source = w.table("staging", "stg_orders")
@@ -102,9 +103,9 @@ def insert_select(t: Tables) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"), (F.sum(cents("amount")) / F.lit(100.0)).alias("total_revenue")
     )
     w.create("mart", "dm_executive_kpis", daily.schema)
-    first = F.lit(RUN_DAY).cast("date")
-    for day in (first, F.date_add(first, 1)):
-        w.insert_select("mart", "dm_executive_kpis", daily.where(F.col("report_date") == day))
+    first = dt.date.fromisoformat(RUN_DAY)
+    for day in 2 * (first, first + dt.timedelta(days=1)):
+        w.insert_select("mart", "dm_executive_kpis", daily.where(F.col("report_date") == F.lit(day)), day.isoformat())
     return w.table("mart", "dm_executive_kpis")
 
 

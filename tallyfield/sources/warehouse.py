@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyfield.sources.manifest import Manifest
+
 LAYERS = ("raw", "staging", "analytics", "mart")
 
 
@@ -14,6 +18,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark, self.prefix = spark, prefix
+        self.manifest = Manifest(spark, f"{root}/load_manifest")
         for layer in LAYERS:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}` LOCATION '{root}/{layer}'")
 
@@ -32,27 +37,50 @@ class Warehouse:
         self.spark.createDataFrame([], schema).write.mode("ignore").saveAsTable(self.name(layer, table))
 
     def replace(self, layer: str, table: str, df: DataFrame) -> None:
-        """Create or replace a table from a query."""
+        """Create or replace a table from a query; loads entered before no longer count."""
         df.write.mode("overwrite").saveAsTable(self.name(layer, table))
+        if self.manifest.states(self.name(layer, table)):
+            self.manifest.reset(self.name(layer, table))
+
+    def _files(self, target: str) -> int:
+        """How many files a table has, from its listing."""
+        if not self.spark.catalog.tableExists(target):
+            return 0
+        self.spark.catalog.refreshTable(target)
+        return len(self.spark.table(target).inputFiles())
+
+    def insert_select(self, layer: str, table: str, df: DataFrame, run: str | None = None) -> bool:
+        """Append a query result, matching columns by name; False if ``run`` is in the table already.
 
-    def insert_select(self, layer: str, table: str, df: DataFrame) -> None:
-        """Append a query result, matching columns by name."""
+        ``run`` names the load, such as its date: a rerun adds nothing. Without it the rows are always added.
+        """
         target = self.name(layer, table)
-        df.select(*self.spark.table(target).columns).write.insertInto(target)
+        rows = df.select(*self.spark.table(target).columns)
+        if run is None:
+            rows.write.insertInto(target)
+            return True
+        return bool(self.manifest.once(target, [run], lambda: self._files(target), lambda _: rows.write.insertInto(target)))
 
-    def copy_into(self, layer: str, table: str, folder: str) -> None:
-        """Append the files of a folder that the table does not hold yet.
+    def copy_into(self, layer: str, table: str, folder: str) -> list[str]:
+        """Append the files of a folder that the table has not had yet, and return them.
 
-        Each row keeps the name of its file; files whose name is already present are left
-        out, so a second run after a failure adds nothing twice. The check reads that one
-        column of the table.
+        Each row keeps the name of its file. What the table has had stands in the manifest, so neither the table nor
+        files loaded before are read. A table from before there was a manifest is read once.
         """
         target = self.name(layer, table)
-        incoming = self.spark.read.parquet(folder).withColumn("source_file", F.col("_metadata.file_path"))
-        if self.spark.catalog.tableExists(target):
-            known = self.spark.table(target).select("source_file").distinct()
-            incoming = incoming.join(known, "source_file", "left_anti").select(*self.spark.table(target).columns)
-        incoming.write.mode("append").saveAsTable(target)
+        exists = self.spark.catalog.tableExists(target)
+        if exists and "source_file" in self.spark.table(target).columns and not self.manifest.states(target):
+            held = [r[0] for r in self.spark.table(target).select("source_file").distinct().collect()]
+            if held:
+                self.manifest.adopt(target, held, self._files(target))
+
+        def load(files: Sequence[str]) -> None:
+            incoming = self.spark.read.parquet(*files).withColumn("source_file", F.col("_metadata.file_path"))
+            if exists:
+                incoming = incoming.select(*self.spark.table(target).columns)
+            incoming.write.mode("append").saveAsTable(target)
+
+        return self.manifest.once(target, self.spark.read.parquet(folder).inputFiles(), lambda: self._files(target), load)
 
     def view(self, name: str, df: DataFrame) -> DataFrame:
         df.createOrReplaceTempView(name)

@@ -35,6 +35,53 @@ def test_copy_into_takes_only_new_files(spark, folder):
     assert rows(w.table("staging", "t"), "id") == [(i,) for i in range(5)]
 
 
+def test_loads_read_neither_the_target_nor_old_files(spark, folder, monkeypatch):
+    w = Warehouse(spark, f"{folder}/wh", "manifest_")
+    incoming = f"{folder}/in"
+    spark.range(3).coalesce(1).write.parquet(incoming)
+    assert len(w.copy_into("staging", "t", incoming)) == 1 and w.copy_into("staging", "t", incoming) == []
+    spark.range(3, 5).coalesce(1).write.mode("append").parquet(incoming)
+    target = w.name("staging", "t")
+    monkeypatch.setattr(type(w), "table", lambda *_: pytest.fail("the target was read"))
+    before = spark.table(target).inputFiles()
+    new = w.copy_into("staging", "t", incoming)
+    assert len(new) == 1 and rows(spark.read.parquet(*new), "id") == [(3,), (4,)]
+    assert len(spark.table(target).inputFiles()) == len(before) + 1
+
+
+@pytest.mark.parametrize("committed", [True, False])
+def test_a_load_that_was_cut_off(spark, folder, committed):
+    """Cut off after its rows were written it counts as done, before that it runs again."""
+    w = Warehouse(spark, f"{folder}/wh", f"cut_{int(committed)}_")
+    w.create("mart", "m", spark.range(1).schema)
+    enter = w.manifest._enter
+
+    def broken(target, sources, batch, state, files):
+        if state == "done" or not committed:
+            raise RuntimeError("lost")
+        enter(target, sources, batch, state, files)
+
+    frame = spark.range(7, 9).coalesce(1)
+    w.manifest._enter = broken
+    with pytest.raises(RuntimeError):
+        w.insert_select("mart", "m", frame, "2001-01-01")
+    w.manifest._enter = enter
+    assert w.table("mart", "m").count() == (2 if committed else 0)
+    for _ in range(2):
+        w.insert_select("mart", "m", frame, "2001-01-01")
+        assert rows(w.table("mart", "m"), "id") == [(7,), (8,)]
+    assert w.insert_select("mart", "m", frame, "2001-01-02") and w.table("mart", "m").count() == 4
+    w.replace("mart", "m", spark.range(0))
+    assert w.insert_select("mart", "m", frame, "2001-01-01") and w.table("mart", "m").count() == 2
+
+
+def test_a_table_from_before_the_manifest(spark, folder):
+    w, incoming = Warehouse(spark, f"{folder}/wh", "older_"), f"{folder}/in"
+    spark.range(3).coalesce(1).write.parquet(incoming)
+    spark.read.parquet(incoming).withColumn("source_file", F.col("_metadata.file_path")).write.saveAsTable(w.name("staging", "t"))
+    assert w.copy_into("staging", "t", incoming) == [] and w.table("staging", "t").count() == 3
+
+
 def test_malformed_messages(spark):
     raw = spark.createDataFrame(
         [(1, '{"sensor_id":"S1","measurements":{"average_speed":4.9}}'), (2, '{"sensor_id":"S'), (3, '{"sensor_id":"S3"}')],
