@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,8 @@ class Warehouse:
         if exists and "source_file" in self.spark.table(target).columns and not self.manifest.states(target):
             held = [r[0] for r in self.spark.table(target).select("source_file").distinct().collect()]
             if held:
-                self.manifest.adopt(target, held, self._files(target))
+                # rows name local files with one slash, listings with three
+                self.manifest.adopt(target, [re.sub("^file:/+", "file:///", f) for f in held], self._files(target))
 
         def load(files: Sequence[str]) -> None:
             incoming = self.spark.read.parquet(*files).withColumn("source_file", F.col("_metadata.file_path"))
