@@ -21,13 +21,17 @@ from tallyfield.operators import learners as L
 from tallyfield.operators.isolation import fit_isolation_forest
 from tallyfield.operators.resample import smote_balance, smote_vectors
 from tallyfield.operators.survival import survival_data
-from tallyfield.plans.bindings import AS_OF, LINES_SQL, lines, orders, per_order, readings
+from tallyfield.operators import traffic as T
+from tallyfield.plans.bindings import AS_OF, LINES_SQL, SENSORS_SQL, lines, orders, per_order, readings
 from tallyfield.plans.cohort_plans import SURVIVAL_SQL, TABLE_SQL, table
 from tallyfield.plans.customer_plans import completed
 from tallyfield.plans.history_plans import NEXT_SQL, labelled_stays
 from tallyfield.plans.registry import Tables, query
-from tallyfield.session import durable, work_folder
+from tallyfield.plans.stream_plans import drain, live
+from tallyfield.session import durable, stored, work_folder
 from tallyfield.sources import lake
+from tallyfield.streaming import jobs as J
+from tallyfield.streaming import scoring as G
 
 STAY_FEATURES = ["length_of_stay", "severity", "amount", "q", "q_max", "d", "x", "r", "a", "f"]
 
@@ -378,3 +382,51 @@ def hazard_model(t: Tables) -> DataFrame:
     found = Z.concordance(held.withColumn("risk", model.risk()), "survival_time", "churned", "risk")
     slope = Z.calibration_slope(held, "survival_time", "churned", model)
     return model.table(rows).withColumns({"c_index": found.select("c_index").scalar(), "calibration_slope": F.lit(slope)})
+
+
+def sensor_models(t: Tables, version: str) -> G.SensorModels:
+    """Models of the table's readings, fitted on four fifths of them, written to the shared folder and read from there."""
+    rows = stored(G.with_features(readings(t), "ts").withColumn("heavy", (F.col("feature_average_speed") < 15).cast("double")).select("event_id", "heavy", *G.FEATURES), "sensor-features")
+    fit_on = rows.where(N.fold_of("event_id", 5, L.SEED) != 0)
+    regression, classifier = L.fit_sensor_models(fit_on, "feature_average_speed", "heavy", G.INPUTS)
+    folder = work_folder(t.spark, "sensor-models")
+    G.SensorModels(regression, classifier, fit_isolation_forest(fit_on, G.FEATURES, "event_id"), version).save(t.spark, folder)
+    return G.SensorModels.load(t.spark, folder)
+
+
+@query("stream_model_alerts")
+def stream_model_alerts(t: Tables) -> DataFrame:
+    """The event stream scored by stored models: history and the three alerts come from one batch, with the model's version."""
+    root = work_folder(t.spark, "model-alerts")
+    keep = ["event_id", "sensor_id", "road_id", "model_version"]
+    scores = G.scored(readings(live(t)), "ts", sensor_models(t, "r1"))
+    write = J.append_batches(f"{root}/alerts")
+
+    def alerts(batch: DataFrame, batch_id: int) -> None:
+        write(T.all_alerts([T.sensor_anomalies(batch, keep), T.high_congestion(batch, keep), T.potential_incidents(batch, keep)]), batch_id)
+
+    each = J.fan_out({"history": J.history_append(f"{root}/history", "ts"), "alerts": alerts})
+    J.finish(J.start(scores, f"{root}/checkpoint", None, each=each))
+    return t.spark.read.parquet(f"{root}/alerts").drop(J.BATCH)
+
+
+@query(
+    "incident_alerts_fitted",
+    f"""WITH {SENSORS_SQL}, f AS (SELECT event_id, sensor_id, road_id, CAST(COALESCE(average_speed, 0) AS DOUBLE) AS y, CAST(vehicle_count AS DOUBLE) AS a, queue_length AS b FROM readings),
+    m AS (SELECT AVG(y) AS y, AVG(a) AS a, AVG(b) AS b, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS "by" FROM f),
+    w AS (SELECT *, (ay * bb - "by" * ab) / (aa * bb - ab * ab) AS wa, ("by" * aa - ay * ab) / (aa * bb - ab * ab) AS wb FROM m),
+    p AS (SELECT event_id, sensor_id, road_id, f.y AS speed, w.y + wa * (f.a - w.a) + wb * (f.b - w.b) AS predicted FROM f, w)
+    SELECT 'potential_incident' AS type, event_id, sensor_id, road_id, 'r1' AS model_version, speed AS current_speed, round_even(predicted, 6) AS predicted_speed,
+      CASE WHEN speed < 5 THEN 'high' ELSE 'medium' END AS severity FROM p WHERE speed < predicted * 0.3""",
+)
+def incident_alerts_fitted(t: Tables) -> DataFrame:
+    """Speeds on the stream far below what a stored regression on traffic volume and queue expects."""
+    inputs = ["feature_vehicle_count", "feature_queue_length"]
+    rows = G.with_features(readings(t), "ts").withColumn("heavy", (F.col("feature_average_speed") < 15).cast("double"))
+    regression, _ = L.fit_sensor_models(rows, "feature_average_speed", "heavy", inputs)
+    folder = work_folder(t.spark, "speed-model")
+    lake.save_models({"regression": regression}, folder)
+    ready = G.with_features(readings(live(t)), "ts")
+    predicted = lake.load_model(folder, "regression").transform(ready).withColumn("model_version", F.lit("r1"))
+    alerts = drain(t, T.potential_incidents(predicted, ["event_id", "sensor_id", "road_id", "model_version"]))
+    return alerts.withColumn("predicted_speed", rounded("predicted_speed", 6))

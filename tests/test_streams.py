@@ -1,10 +1,14 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfield.operators import learners as L
+from tallyfield.operators.isolation import fit_isolation_forest, path_constant
 from tallyfield.streaming import flows as S
 from tallyfield.streaming import jobs as J
+from tallyfield.streaming import scoring as G
 from tallyfield.streaming import state
 from tallyfield.sources.messages import file_stream
 from tests.conftest import rows
@@ -134,3 +138,37 @@ def test_traffic_flow_uses_the_given_clock(spark):
     r = S.traffic_flow(raw, F.lit(at(0)).cast("timestamp")).first()
     assert (r["congestion_level"], r["traffic_density"], r["hour"], r["day_of_week"], r["is_weekend"]) == ("Moderate", None, 3, 7, 1)
     assert r["processing_time"] == at(0)
+
+
+def test_stored_models_score_a_stream_as_they_do_a_table(spark, folder):
+    source = f"{folder}/in"
+    schema = SCHEMA + ", queue_length double"
+    data = [(i, at(i % 50), "a", float(20 + i % 30 - (i % 7)), i % 40, i % 20 / 20, float(i % 13)) for i in range(400)] + [(900, at(3), "a", None, None, None, None)]
+    spark.createDataFrame(data, schema).coalesce(1).write.parquet(source)
+    table = spark.read.parquet(source)
+    rows_ = G.with_features(table, "ts").withColumn("heavy", (F.col("feature_average_speed") < 30).cast("double"))
+    regression, classifier = L.fit_sensor_models(rows_, "feature_average_speed", "heavy", G.INPUTS)
+    forest = fit_isolation_forest(rows_, G.FEATURES, "event_id", trees=10, sample=64)
+    G.SensorModels(regression, classifier, forest, "v7").save(spark, f"{folder}/models")
+    models = G.SensorModels.load(spark, f"{folder}/models")
+    live = file_stream(spark, source, table.schema)
+    J.finish(J.start(G.scored(live, "ts", models), f"{folder}/ck", None, folder=f"{folder}/out"))
+    got = {r["event_id"]: r for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert len(got) == 401 and {r["model_version"] for r in got.values()} == {"v7"}
+    # each score again from the coefficients and trees
+    scaler, line = models.regression.stages[1], models.regression.stages[2]
+    logit = models.classifier.stages[2]
+    for r in rows_.select("event_id", *G.INPUTS, *[c for c in G.FEATURES if c not in G.INPUTS]).collect()[::37]:
+        x = np.array([r[c] for c in G.INPUTS])
+        z = np.where(scaler.std.toArray() > 0, (x - scaler.mean.toArray()) / np.where(scaler.std.toArray() > 0, scaler.std.toArray(), 1), 0)
+        own = got[r["event_id"]]
+        assert own["predicted_traffic"] == pytest.approx(line.coefficients.dot(z) + line.intercept)
+        assert own["congestion_probability"] == pytest.approx(1 / (1 + np.exp(-(logit.coefficients.dot(z) + logit.intercept))))
+        point, depth = [r[c] for c in forest.columns], 0.0
+        for tree in forest.trees:
+            node = 0
+            while tree["feature"][node] >= 0:
+                node = tree["left" if point[tree["feature"][node]] < tree["split"][node] else "right"][node]
+                depth += 1
+            depth += tree["rest"][node]
+        assert own["anomaly_score"] == pytest.approx(-(2 ** (-depth / len(forest.trees) / path_constant(forest.sample))) - forest.offset)
