@@ -149,6 +149,15 @@ def retention_matrix(table: DataFrame) -> DataFrame:
     return wide.select("cohort_month", *[F.col(f"`{p}`").alias(f"Period_{p}") for p in periods])
 
 
+def retention_lines(table: DataFrame) -> DataFrame:
+    """Cohorts with all their periods in one row each, in order; no period is looked up, so no column depends on the data."""
+    rate = F.coalesce(F.rint(F.col("retention_rate") * 1_000_000).cast("bigint").cast("string"), F.lit("-"))
+    cells = F.array_sort(F.collect_list(F.struct("period_number", rate.alias("rate"))))
+    rows = table.groupBy("cohort_month").agg(cells.alias("c"))
+    line = lambda field: F.array_join(F.transform("c", lambda x: x[field].cast("string")), ",")
+    return rows.select("cohort_month", line("period_number").alias("periods"), line("rate").alias("rates"))
+
+
 def melt_table(table: DataFrame) -> DataFrame:
     """The filled cells of the matrix in long form, straight from the table."""
     period = F.concat(F.lit("Period_"), F.col("period_number").cast("string")).alias("period")

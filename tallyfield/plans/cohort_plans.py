@@ -120,6 +120,16 @@ def retention_matrix(t: Tables) -> DataFrame:
     return H.retention_matrix(table(t))
 
 
+@query(
+    "retention_lines",
+    f"""WITH {TABLE_SQL} SELECT cohort_month, string_agg(CAST(period_number AS VARCHAR), ',' ORDER BY period_number) AS periods,
+    string_agg(COALESCE(CAST(CAST(round_even(retention_rate * 1000000, 0) AS BIGINT) AS VARCHAR), '-'), ',' ORDER BY period_number) AS rates FROM cohort GROUP BY 1""",
+)
+def retention_lines(t: Tables) -> DataFrame:
+    """The matrix as one row per cohort: its periods, and their rates in millionths."""
+    return H.retention_lines(table(t))
+
+
 @query(
     "retention_melt",
     f"""WITH {TABLE_SQL} SELECT cohort_month, 'Period_' || CAST(period_number AS VARCHAR) AS period, retention_rate FROM cohort

@@ -33,16 +33,25 @@ def scored_stays(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "standardise",
-    f"""WITH {EXTRACT_SQL}, m AS (SELECT AVG(total_orders) AS mo, stddev_pop(total_orders) AS so, AVG(active_months) AS ma, stddev_pop(active_months) AS sa FROM extract)
-    SELECT customer_id, round_even((total_orders - mo) / so, 6) AS total_orders_z, round_even((active_months - ma) / sa, 6) AS active_months_z FROM extract, m""",
-)
+#: The clustering features and the columns of the extract that hold them.
+CLUSTER_SOURCES = {
+    "recency": "days_since_last_order", "frequency": "total_orders", "monetary": "total_revenue",
+    "avg_order_value": "avg_order_value", "customer_lifespan": "customer_lifespan", "active_months": "active_months",
+}
+
+
+def standard_sql() -> str:
+    moments = ", ".join(f"AVG({c}) AS m_{n}, stddev_pop({c}) AS s_{n}" for n, c in CLUSTER_SOURCES.items())
+    scores = ", ".join(f"round_even(COALESCE(({c} - m_{n}) / nullif(s_{n}, 0), 0), 6) + 0 AS {n}_z" for n, c in CLUSTER_SOURCES.items())
+    return f"WITH {EXTRACT_SQL}, m AS (SELECT {moments} FROM extract) SELECT customer_id, {scores} FROM extract, m"
+
+
+@query("standardise", standard_sql())
 def standardise(t: Tables) -> DataFrame:
-    out = N.standardise(durable(C.segmentation_extract(completed(t), AS_OF)), ["total_orders", "active_months"])
-    return out.select(
-        "customer_id", *[rounded(c, 6).alias(c) for c in ("total_orders_z", "active_months_z")]
-    )
+    """All six clustering features."""
+    rows = durable(C.segmentation_extract(completed(t), AS_OF).select("customer_id", *[F.col(c).alias(n) for n, c in CLUSTER_SOURCES.items()]))
+    out = N.standardise(rows, list(CLUSTER_SOURCES))
+    return out.select("customer_id", *[(rounded(f"{n}_z", 6) + F.lit(0.0)).alias(f"{n}_z") for n in CLUSTER_SOURCES])
 
 
 @query(

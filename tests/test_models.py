@@ -131,6 +131,26 @@ def test_oversampling_in_one_and_in_many_blocks(spark, monkeypatch):
         assert max(uses) - min(uses) <= 1
 
 
+def test_oversampled_rows_lie_between_neighbours(spark):
+    """Each synthetic row is on the line from its own row to one of its five nearest of the class."""
+    pick = np.random.default_rng(11)
+    points = pick.normal(0, 1, (60, 3))
+    data = [(i, 1, [float(x) for x in p]) for i, p in enumerate(points)] + [(100 + i, 0, [9.0, 9.0, float(i)]) for i in range(200)]
+    made = [r for r in resample.smote_balance(spark.createDataFrame(data, "id long, y int, f array<double>"), "y", "f", "id").collect() if r["is_synthetic"]]
+    assert len(made) == 140
+    apart = np.linalg.norm(points[:, None] - points[None], axis=2)
+    np.fill_diagonal(apart, np.inf)
+    shares = []
+    for r in made:
+        own, new = points[r["id"]], np.array(r["f"])
+        reach = [(new - own) @ (points[j] - own) / apart[r["id"], j] ** 2 for j in np.argsort(apart[r["id"]])[:5]]
+        off = [np.abs(own + g * (points[j] - own) - new).max() for g, j in zip(reach, np.argsort(apart[r["id"]])[:5])]
+        at = int(np.argmin(off))
+        assert off[at] < 1e-9 and -1e-9 <= reach[at] < 1
+        shares.append(reach[at])
+    assert 0.3 < np.mean(shares) < 0.7 and len({round(s, 6) for s in shares}) > 100
+
+
 def test_isolation_forest_finds_the_outliers(spark):
     pick = np.random.default_rng(1)
     data = [(i, float(x), float(y)) for i, (x, y) in enumerate(pick.normal(0, 1, (400, 2)))] + [(400, 30.0, 30.0), (401, -40.0, 9.0)]
