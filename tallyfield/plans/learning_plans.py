@@ -24,7 +24,7 @@ from tallyfield.operators.survival import survival_data
 from tallyfield.operators import traffic as T
 from tallyfield.plans.bindings import AS_OF, LINES_SQL, SENSORS_SQL, lines, orders, per_order, readings
 from tallyfield.plans.cohort_plans import SURVIVAL_SQL, TABLE_SQL, table
-from tallyfield.plans.customer_plans import completed
+from tallyfield.plans.customer_plans import EXTRACT_SQL, completed
 from tallyfield.plans.history_plans import NEXT_SQL, labelled_stays
 from tallyfield.plans.registry import Tables, query
 from tallyfield.plans.stream_plans import drain, live
@@ -67,6 +67,23 @@ def kmeans_clusters(t: Tables) -> DataFrame:
     return C.cluster_summary(labelled).withColumn("cluster_name", C.cluster_name("cluster", 4))
 
 
+@query("kmeans_nearest", f"WITH {EXTRACT_SQL} SELECT customer_id, TRUE AS is_nearest, 4 AS clusters FROM extract")
+def kmeans_nearest(t: Tables) -> DataFrame:
+    """Whether each customer's label names the nearest of the clusters' means; a hundredth of the distance is left to unfinished steps."""
+    rows = durable(rfm_features(t).select("customer_id", *L.CLUSTER_FEATURES))
+    scaled = N.standardise(rows, L.CLUSTER_FEATURES)
+    x = [f"{c}_z" for c in L.CLUSTER_FEATURES]
+    labelled = durable(L.kmeans_clusters(rows, 4, "customer_id").select("customer_id", "cluster").join(scaled.select("customer_id", *x), "customer_id"))
+    centres = labelled.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in x]).agg(F.collect_list(F.struct("cluster", *x)).alias("c"))
+    apart = lambda m: F.sqrt(sum(((F.col(c) - m[c]) * (F.col(c) - m[c]) for c in x), F.lit(0.0)))
+    marked = labelled.withColumn("_c", centres.select("c").scalar())
+    own = F.filter("_c", lambda m: m["cluster"] == F.col("cluster"))
+    nearest = F.array_min(F.transform("_c", apart))
+    return marked.select(
+        "customer_id", (F.element_at(F.transform(own, apart), 1) <= nearest * 1.01 + 1e-9).alias("is_nearest"), F.size("_c").alias("clusters")
+    )
+
+
 @query("choose_k")
 def choose_k(t: Tables) -> DataFrame:
     return L.choose_k(t.spark, rfm_features(t), "customer_id")
@@ -95,6 +112,29 @@ def fit_logistic(t: Tables) -> DataFrame:
     return _scored(t, "logistic", 1)
 
 
+@query(
+    "logistic_equations",
+    f"""WITH {NEXT_SQL}, c AS (SELECT readmitted_30d, (COUNT(*) * 8 + 5) // 10 AS kept FROM labelled GROUP BY 1)
+    SELECT term, CAST((SELECT SUM(kept) FROM c) AS BIGINT) AS rows, TRUE AS holds FROM (SELECT unnest({['intercept', *STAY_FEATURES]}) AS term)""",
+)
+def logistic_equations(t: Tables) -> DataFrame:
+    """The score equations of the fitted logistic model: each weighted sum of residuals balances its penalty."""
+    fit_on, _ = split(stay_vectors(t))
+    model = L.train(fit_on, "label", ["logistic"])["logistic"]
+    scored = model.transform(L.balanced(fit_on, "label")).select("weight", (vector_to_array("probability")[1] - F.col("label")).alias("off"), vector_to_array("features").alias("x"))
+    k = len(STAY_FEATURES)
+    column = lambda i: F.element_at("x", i + 1)
+    total, n = F.sum("weight"), F.count(F.lit(1))
+    means = [F.sum(F.col("weight") * column(i)) / total for i in range(k)]
+    # the penalty is on weights of standardised features; their scale is the weighted deviation
+    spread = [F.sum(F.col("weight") * column(i) * column(i)) / total - means[i] * means[i] for i in range(k)]
+    left = [F.sum(F.col("weight") * F.col("off")) / total, *[F.sum(F.col("weight") * F.col("off") * column(i)) / total for i in range(k)]]
+    penalty = [F.lit(0.0), *[F.lit(float(model.coefficients[i])) / n * spread[i] for i in range(k)]]
+    terms = ["intercept", *STAY_FEATURES]
+    lines_ = F.array(*[F.struct(F.lit(c).alias("term"), (F.abs(a + b) < 1e-4).alias("holds")) for c, a, b in zip(terms, left, penalty)])
+    return scored.agg(n.alias("rows"), lines_.alias("l")).select("rows", F.explode("l").alias("x")).select("x.term", "rows", "x.holds")
+
+
 @query("fit_forest")
 def fit_forest(t: Tables) -> DataFrame:
     return _scored(t, "random_forest", 100)
