@@ -124,7 +124,6 @@ ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80,
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
-BASE = 0x9E3779B97F4A7C15 | 1
 _BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -136,34 +135,83 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS: list[np.ndarray] = []
+#: The prime of all sums, and two bases drawn once. A sum modulo a power of two would not do: texts that differ
+#: in a pattern of doubled and negated halves collide there whatever the base.
+PRIME = 2**61 - 1
+BASES = [int(x) for x in np.random.default_rng(61).integers(2**40, PRIME - 1, 2)]
+_P, _LOW30, _LOW31 = np.uint64(PRIME), np.uint64(2**30 - 1), np.uint64(2**31 - 1)
+_U30, _U31, _U61, _U1 = (np.uint64(x) for x in (30, 31, 61, 1))
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    """The powers of BASE and of its inverse; one table serves all lengths and grows when it must."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = 1 << max(16, n.bit_length())
-        table = np.full((2, size), [[BASE], [pow(BASE, -1, 2**64)]], np.uint64)
-        table[:, 0] = 1
-        _POWERS[:] = [np.multiply.accumulate(row) for row in table]
-    return _POWERS
+def reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo PRIME."""
+    x = (x & _P) + (x >> _U61)
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """The product of numbers below PRIME modulo PRIME, by halves of 31 bits."""
+    a1, a0, b1, b0 = a >> _U31, a & _LOW31, b >> _U31, b & _LOW31
+    middle = a1 * b0 + a0 * b1
+    return reduced((a1 * b1 << _U1) + (middle >> _U30) + ((middle & _LOW30) << _U31) + a0 * b0)
+
+
+_POWERS: dict[int, list[np.ndarray]] = {}
+
+
+def _powers(n: int, which: int) -> list[np.ndarray]:
+    """The powers of a base and of its inverse; one table serves all lengths and grows when it must."""
+    if which not in _POWERS or len(_POWERS[which][0]) < n:
+        tables = []
+        for base in (BASES[which], pow(BASES[which], -1, PRIME)):
+            table = np.ones(1, np.uint64)
+            while len(table) < max(n, 1 << 16):
+                table = np.concatenate([table, times(table, np.uint64(pow(base, len(table), PRIME)))])
+            tables.append(table)
+        _POWERS[which] = tables
+    return _POWERS[which]
 
 
 class Sequences:
-    """Hashes of any stretch of a sequence of 64-bit values, each in constant time."""
+    """Hashes of any stretch of a sequence of 64-bit values, each in constant time.
 
-    def __init__(self, values: np.ndarray):
-        up, self.down = _powers(len(values) + 1)
+    The stretch is a polynomial modulo a prime at a fixed random base; ``which`` chooses one of two bases, whose
+    hashes are independent of each other.
+    """
+
+    def __init__(self, values: np.ndarray, which: int = 0):
+        up, self.down = _powers(len(values) + 2, which)
+        terms = times(reduced(values), up[: len(values)])
+        low, high = np.cumsum(terms & _LOW30), np.cumsum(terms >> _U30)
         self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * up[: len(values)], out=self.sums[1:])
+        self.sums[1:] = reduced(times(reduced(high), np.uint64(1 << 30)) + low)
+
+    def _moved(self, start: np.ndarray, end: np.ndarray, down: np.ndarray) -> np.ndarray:
+        return times(reduced(self.sums[end] + (_P - self.sums[start])), self.down[down])
 
     def plain(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The polynomial of the values from ``start`` to ``end``, free of their place."""
-        return (self.sums[end] - self.sums[start]) * self.down[start]
+        return self._moved(start, end, start)
 
     def of(self, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
         return mixed(self.plain(start, end) + (end - start).astype(np.uint64), salt)
 
+    def without(self, start: np.ndarray, gap: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+        """As ``of`` the stretch would be if the value at ``gap`` were left out."""
+        rest = reduced(self.plain(start, gap) + self._moved(gap + 1, end, start + 1))
+        return mixed(rest + (end - start - 1).astype(np.uint64), salt)
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each stretch of bytes a sum of hashes of byte and place: nothing that repeats in it cancels out."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    size = ends - starts
+    begins = np.cumsum(size) - size
+    place = np.arange(int(size.sum())) - np.repeat(begins, size)
+    each = mixed(_BYTES[data[np.repeat(starts, size) + place]] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mixed(np.add.reduceat(each, begins) + size.astype(np.uint64))
+
 
 class Words:
     """The words of a slice of texts: byte ``starts`` and ``ends``, ``row`` and word hash of each.
@@ -184,7 +232,7 @@ class Words:
         self.first = np.searchsorted(self.starts, self.offsets)
         self.row = np.repeat(np.arange(len(texts)), np.diff(self.first))
         data = LOWER[self.data] if lower else self.data
-        self.hashes = Sequences(_BYTES[data]).of(self.starts, self.ends)
+        self.hashes = byte_hashes(data, self.starts, self.ends)
 
     def __len__(self) -> int:
         return len(self.starts)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyfield.llm.common import SPACED, Sequences, Words, given_id, keyed, mixed, signed, slices, stored
+from tallyfield.llm.common import SPACED, Sequences, Words, given_id, keyed, signed, slices, stored
 
 #: A line needs as many words for one changed word to count as near.
 LEAST_WORDS = 8
@@ -40,7 +40,7 @@ class Lines:
         self.count = np.diff(np.append(self.first, len(words)))
         self.row = words.row[self.first]
         self.no = (line[self.first] - self.row) - np.searchsorted(breaks, words.offsets[self.row])
-        self.sums = Sequences(words.hashes)
+        self.sums, self.check = Sequences(words.hashes), Sequences(words.hashes, 1)
 
 
 def halves(sums: Sequences, first: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
@@ -60,7 +60,7 @@ def lines_of(rows: DataFrame, least_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(lines.sums.of(lines.first, end, salt=1))),
-                    pa.array(signed(lines.sums.of(lines.first, end, salt=2))),
+                    pa.array(signed(lines.check.of(lines.first, end))),
                     batch.column("_id").take(own),
                     batch.column("_tx").take(own),
                     pa.array(lines.no.astype(np.int32)),
@@ -100,10 +100,7 @@ def variants(lines: DataFrame) -> DataFrame:
             first, n = words.first[:-1], np.diff(words.first)
             at = np.arange(len(words))
             start, end = first[words.row], words.first[1:][words.row]
-            # the polynomial of the words before the gap, and of those after it moved one place down
-            before = sums.plain(start, at)
-            after = (sums.sums[end] - sums.sums[at + 1]) * sums.down[start + 1]
-            gaps = mixed(before + after + (n[words.row] - 1).astype(np.uint64), 21)
+            gaps = sums.without(start, at, end, salt=21)
             whole = sums.of(first, first + n, salt=21)
             own = pa.array(np.concatenate([words.row, np.arange(len(n))]))
             yield pa.RecordBatch.from_arrays(

@@ -39,13 +39,13 @@ def segments(rows: DataFrame, window: int) -> DataFrame:
             starts = windows_in_rows(words, window)
             if not len(starts):
                 continue
-            sums = Sequences(words.hashes)
+            sums, other = Sequences(words.hashes), Sequences(words.hashes, 1)
             at = np.arange(len(words) - GRAM + 1)
             grams = sums.of(at, at + GRAM)
             anchor = window_minima(grams, window - GRAM + 1)[starts]
             new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (words.row[starts[1:]] != words.row[starts[:-1]])]))
             first, count = starts[new], np.diff(np.append(new, len(starts)))
-            body = sums.of(first, first + count + window - 1, salt=1)
+            body = other.of(first, first + count + window - 1, salt=1)
             own = pa.array(words.row[first])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -69,7 +69,7 @@ def single_windows(rows: DataFrame, hot: DataFrame, window: int) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             words = Words(batch.column("_text"), SPACED)
-            sums = Sequences(words.hashes)
+            sums, other = Sequences(words.hashes), Sequences(words.hashes, 1)
             row, start = [], []
             for i, want in enumerate(batch.column("_want").to_pylist()):
                 place = np.concatenate([np.arange(w["_start"], w["_start"] + w["_windows"]) for w in want])
@@ -80,7 +80,7 @@ def single_windows(rows: DataFrame, hot: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(signed(sums.of(at, at + window, salt=2))),
-                    pa.array(signed(sums.of(at, at + window, salt=3))),
+                    pa.array(signed(other.of(at, at + window, salt=3))),
                     batch.column("_id").take(pa.array(row)),
                     batch.column("_tx").take(pa.array(row)),
                     pa.array(start.astype(np.int32)),
