@@ -230,7 +230,13 @@ def held_out(id_column: str = "doc_id", folds: int = 5):
 
 
 def language_report(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, learned from the rows of ``docs`` that are not held out."""
+    """doc_id, held_out, lang_pred, score, learned from the rows of ``docs`` that are not held out.
+
+    A NULL or empty text and one without a letter are ``und`` with score 0; a NULL doc_id is not held out. Texts are read whole,
+    however long. Rows are independent, so repeated rows repeat their result, and other columns are not looked at. Of languages
+    with equal probability the first in order of name is given. Without a labelled row all texts are ``und``; an
+    empty table gives an empty result.
+    """
     network = train(docs.where(~held_out()))
     out = identify(docs, network)
     own = F.coalesce(F.crc32(given_id().cast("string")) % 5 == 0, F.lit(False))

@@ -220,6 +220,11 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, id_column: str
 
 
 def line_report(docs: DataFrame, **options) -> DataFrame:
-    """``dedup_lines`` with doc_id in place of the key."""
+    """``dedup_lines`` with doc_id in place of the key.
+
+    A NULL or empty text has no lines. Of equal or near lines the earliest by doc_id (NULL last), text and place stays. Rows that
+    repeat an id and a text are one document, whose result each row gets. Other columns are not looked at; an
+    empty table gives an empty result.
+    """
     out = dedup_lines(docs, **options)
     return out.select(given_id().alias("doc_id"), "n_lines", "n_removed", "removed", "kept")

@@ -135,7 +135,8 @@ def scan(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_colum
     """One row per document: doc_id, counts by kind, base_spans and all spans as text.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and then kind. NULL and
-    empty texts have none; rows are independent, so repeated rows repeat their result.
+    empty texts have none; rows are independent, so repeated rows repeat their result. Other columns are not looked
+    at; an empty table gives an empty result.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

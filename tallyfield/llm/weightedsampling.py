@@ -89,7 +89,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_column: str = "doc_
     the next document by id (after the last comes the first; ties by text hash; NULL ids last).
     Words end at white space. A NULL text is empty; documents without words agree
     with each other in every draw and with no other. Rows that repeat an id and a text are
-    one document, whose result is given for each of the rows.
+    one document, whose result is given for each of the rows. A single document is its own next one. An empty
+    table gives an empty result.
     """
     rows = keyed(docs, id_column, text_column)
     # copies are counted beside the keys: both uses of the texts then ask the same of their aggregate, and share its exchange

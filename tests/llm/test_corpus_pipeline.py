@@ -19,6 +19,17 @@ def test_stages_keep_columns_and_take_odd_rows(spark, table, nothing, stage):
     assert run(spark, nothing, BASE).count() == 0
 
 
+def test_packing_takes_odd_rows(spark, table, docs, nothing):
+    out = corpus_pipeline.best_fit_packing(spark, table, BASE).collect()
+    assert sorted(brute.key(r["doc_id"]) for r in out if r["piece"] == 0) == sorted(brute.key(d) for d, _ in docs)
+    ends = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048
+    assert corpus_pipeline.best_fit_packing(spark, nothing, BASE).count() == 0
+
+
 def test_near_dedup_keeps_one_of_each_class(spark, table, docs):
     out = [r["doc_id"] for r in corpus_pipeline.near_dedup(spark, table, BASE).collect()]
     want = sorted({brute.key(d) for d, t in docs if not brute.words(t)} | {brute.key(c) for _, c, _ in brute.near_classes(docs)})
