@@ -83,14 +83,22 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of which a twentieth or more are words of benchmark windows."""
+    """Drop documents of which a twentieth or more are words of benchmark windows.
+
+    NULL and empty texts have no words and stay, with or without an id; of repeated rows all go or all stay. Without benchmark items
+    nothing goes, and an empty table stays empty. Other columns come out as they came.
+    """
     lean(spark)
     found = winnowing.hits(docs, load(spark, sf_dir, "benchmark"))
     return beside(docs, stored(found.where("contaminated").select("_id", "_tx").distinct(), "stage-dirty"), "left_anti")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the documents into sequences of at most 2048 tokens; one row per piece."""
+    """Pack the documents into sequences of at most 2048 tokens; one row per piece.
+
+    A NULL or empty text is one end token; repeated rows are packed as often as they come; a NULL id stays NULL. Only
+    longer documents are cut. Other columns are left out, and an empty table gives an empty result.
+    """
     lean(spark)
     path = public_tokenizers.path
     return packing.pack_documents(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
