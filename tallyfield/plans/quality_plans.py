@@ -10,6 +10,7 @@ from tallyfield.operators import quality as Q
 from tallyfield.operators import traffic as T
 from tallyfield.plans.bindings import ORDERS_SQL, PEOPLE_SQL, SENSORS_SQL, orders, people, readings
 from tallyfield.plans.registry import Tables, query
+from tallyfield.sources import schemas
 
 EMAIL_SQL = f"'{EMAIL_PATTERN}'"
 
@@ -81,6 +82,49 @@ def dq_foreign_key(t: Tables) -> DataFrame:
     )
 
 
+def reference_sql(name: str, column: str, child: str, parent: str, key: str) -> str:
+    """Children whose key has no parent."""
+    return f"""SELECT '{name}' AS check_name, COUNT({column}) AS checked, COUNT(*) FILTER ({column} NOT IN (SELECT {key} FROM {parent})) AS failed,
+      COUNT(*) FILTER ({column} NOT IN (SELECT {key} FROM {parent})) = 0 AS success FROM {child}"""
+
+
+def unique_sql(name: str, key: str, table: str) -> str:
+    """Rows that share their key."""
+    return f"""SELECT '{name}' AS check_name, CAST(SUM(n) AS BIGINT) AS checked, CAST(COALESCE(SUM(n) FILTER (n > 1), 0) AS BIGINT) AS failed,
+      COALESCE(SUM(n) FILTER (n > 1), 0) = 0 AS success FROM (SELECT {key}, COUNT(*) AS n FROM {table} GROUP BY ALL)"""
+
+
+@query(
+    "key_report",
+    " UNION ALL ".join(
+        [
+            unique_sql("customers.customer_id unique", "c_custkey", "customer"),
+            unique_sql("products.product_id unique", "p_partkey", "part"),
+            unique_sql("orders.order_id unique", "o_orderkey", "orders"),
+            unique_sql("order_items.order_item_id unique", "l_orderkey, l_linenumber", "lineitem"),
+            reference_sql("orders.customer_id in customers", "o_custkey", "orders", "customer", "c_custkey"),
+            reference_sql("order_items.order_id in orders", "l_orderkey", "lineitem", "orders", "o_orderkey"),
+            reference_sql("order_items.product_id in products", "l_partkey", "lineitem", "part", "p_partkey"),
+        ]
+    ),
+)
+def key_report(t: Tables) -> DataFrame:
+    """The unique keys and references that the source tables declare, on the supplied tables in their roles."""
+    text = lambda c: F.col(c).cast("string")
+    return schemas.key_report(
+        {
+            "customers": t.customer.select(text("c_custkey").alias("customer_id")),
+            "products": t.part.select(text("p_partkey").alias("product_id")),
+            "orders": t.orders.select(text("o_orderkey").alias("order_id"), text("o_custkey").alias("customer_id")),
+            "order_items": t.lineitem.select(
+                F.concat_ws("-", text("l_orderkey"), text("l_linenumber")).alias("order_item_id"),
+                text("l_orderkey").alias("order_id"),
+                text("l_partkey").alias("product_id"),
+            ),
+        }
+    )
+
+
 @query(
     "dq_report_and_gate",
     f"""WITH {ORDERS_SQL}, c AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (NOT amount BETWEEN 0 AND 1000000) AS bad, COUNT(DISTINCT order_id) AS d FROM ord)
