@@ -176,6 +176,22 @@ def test_models_separate_and_clusters_repeat(spark):
     assert labels[0] == labels[1] and {c for _, c in labels[0]} == {0, 1}
 
 
+def test_a_fold_is_balanced_once_for_all_models(spark):
+    pick = random.Random(3)
+    data = [(i, int(i % 3 == 0), pick.gauss(3.0 * (i % 3 == 0), 1), pick.gauss(0, 1)) for i in range(300)]
+    features = L.scaled_vectors(spark.createDataFrame(data, "id long, label int, a double, b double"), ["a", "b"], ["id", "label"])
+    calls = []
+
+    def balance(df, label):
+        calls.append(df.count())
+        return resample.smote_vectors("id")(df, label)
+
+    models = L.classifiers(300, "label", trees=2)
+    got = L.cross_validate_each(features, {k: models[k] for k in ("logistic", "random_forest")}, "label", "id", 2, balance)
+    assert calls == [150, 150] and list(got) == ["logistic", "random_forest"]
+    assert all(len(folds) == 2 and min(folds) > 0.9 for folds in got.values())
+
+
 def test_vector_width(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None)], "id int, x double")
     assert L.scaled_vectors(df, ["x"], ["id"]).select(F.size(vector_to_array("features"))).first()[0] == 1
