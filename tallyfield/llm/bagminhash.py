@@ -32,6 +32,8 @@ REGISTERS = BANDS * ROWS
 RARITY = 1 << 16
 #: Columns of a sketch, 64 bits each.
 SKETCH = [f"_bits{i}" for i in range(16)]
+#: Rarest met elements of a text by which a pair is told to have met before.
+LEAD = 16
 #: Members of one group that are verified in one task at a time.
 LOT = 256
 
@@ -205,6 +207,11 @@ def elements(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
+    """(_a, _b): the pairs of ``meetings``, once each."""
+    return meetings(texts, threshold).distinct()
+
+
+def meetings(texts: DataFrame, threshold: float) -> DataFrame:
     """(_a, _b): all pairs of ``texts`` (_node, _class, _size, _text) in different classes that may be alike.
 
     Two bags that overlap enough share an element among the first (1 - threshold) share of both, in any
@@ -212,6 +219,8 @@ def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
     passage in each of them, brings no pairs. Rarity is counted in a table of fixed size,
     which only affects how few pairs come out, never which alike pairs are among them. Sketches of 1,024
     bits bound what two texts can share, which rules out most edited copies of one text before they are compared.
+    Two texts meet at the first element they share: where both name an earlier one among their first ``LEAD``, the pair
+    has come out there and is not made again.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,34 +250,43 @@ def across_classes(texts: DataFrame, threshold: float) -> DataFrame:
             bits = np.zeros((batch.num_rows, 64 * len(SKETCH)), bool)
             bits[row, (found >> np.uint64(40)) % np.uint64(64 * len(SKETCH))] = True
             sketch = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(signed(found[kept])),
-                    *[batch.column(c).take(pa.array(own)) for c in ("_node", "_class", "_size")],
-                    *[pa.array(sketch[own, i]) for i in range(len(SKETCH))],
-                ],
-                names=["_element", "_node", "_class", "_size", *SKETCH],
-            )
-
-    columns = ", ".join(f"{c} long" for c in ("_element", "_node", "_class", "_size", *SKETCH))
+            # a row without an element for each text, which holds its sketch, and a narrow row for each element
+            for element, place, at, drawn in (
+                (pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.int64()), np.arange(batch.num_rows), sketch),
+                (pa.array(signed(found[kept])), pa.array(place[kept]), own, None),
+            ):
+                held = [pa.nulls(len(at), pa.int64()) if drawn is None else pa.array(drawn[:, i]) for i in range(len(SKETCH))]
+                yield pa.RecordBatch.from_arrays(
+                    [element, place, *[batch.column(c).take(pa.array(at)) for c in ("_node", "_class", "_size")], *held],
+                    names=["_element", "_place", "_node", "_class", "_size", *SKETCH],
+                )
+
+    columns = ", ".join(f"{c} long" for c in ("_element", "_place", "_node", "_class", "_size", *SKETCH))
     rare = stored(texts.select("_node", "_class", "_size", "_text").mapInArrow(rarest, columns), "bag-rare")
-    wanted = rare.groupBy(F.col("_element").alias("_of")).agg(F.min("_class").alias("_x"), F.max("_class").alias("_y")).where("_x != _y").select("_of")
-    met = stored(rare.join(wanted, F.col("_element") == F.col("_of"), "left_semi"), "bag-met")
-    other = met.select(
-        "_element", F.col("_node").alias("_with"), F.col("_size").alias("_other"), F.col("_class").alias("_beyond"),
-        *[F.col(c).alias(f"{c}_other") for c in SKETCH],
+    narrow = rare.where(F.col("_element").isNotNull()).select("_element", "_place", "_node", "_class")
+    wanted = narrow.groupBy(F.col("_element").alias("_of")).agg(F.min("_class").alias("_x"), F.max("_class").alias("_y")).where("_x != _y").select("_of")
+    met = stored(narrow.join(wanted, F.col("_element") == F.col("_of"), "left_semi").select("_element", "_place", "_node"), "bag-met")
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("_place", "_element"))), lambda x: x["_element"])
+    lead = met.groupBy(F.col("_node").alias("_at")).agg(F.slice(ordered, 1, LEAD).alias("_lead"))
+    heads = stored(
+        rare.where(F.col("_element").isNull()).drop("_element", "_place").join(lead, F.col("_node") == F.col("_at")).drop("_at"), "bag-heads"
+    )
+    dealt = met.select("_element", F.col("_node").alias("_at")).join(heads, F.col("_node") == F.col("_at")).drop("_at")
+    other = dealt.select(
+        F.col("_element").alias("_shared"), F.col("_node").alias("_with"), F.col("_size").alias("_other"), F.col("_class").alias("_beyond"),
+        F.col("_lead").alias("_lead_other"), *[F.col(c).alias(f"{c}_other") for c in SKETCH],
     )
+    first = F.get(F.array_intersect("_lead", "_lead_other"), F.lit(0))
     # every bit that one text has set and the other has not is an element that they do not share
     apart = lambda a, b: sum((F.bit_count(F.col(x).bitwiseAND(F.bitwise_not(F.col(y)))) for x, y in zip(a, b)), F.lit(0))
     others = [f"{c}_other" for c in SKETCH]
     most = F.least(F.col("_size") - apart(SKETCH, others), F.col("_other") - apart(others, SKETCH))
     needed = threshold / (1 + threshold) * (F.col("_size") + F.col("_other")) - 1e-9
     return (
-        met.join(other, "_element")
+        dealt.join(other, F.col("_element") == F.col("_shared"))
         .where("_class < _beyond")
-        .where((F.least("_size", "_other") >= threshold * F.greatest("_size", "_other")) & (most >= needed))
+        .where((F.least("_size", "_other") >= threshold * F.greatest("_size", "_other")) & (most >= needed) & F.coalesce(first == F.col("_element"), F.lit(True)))
         .select(F.least("_node", "_with").alias("_a"), F.greatest("_node", "_with").alias("_b"))
-        .distinct()
     )
 
 

@@ -1,6 +1,7 @@
 """Every corpus operator against a plain version, on odd rows and on an empty table."""
 
 import itertools
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -374,3 +375,23 @@ def test_texts_are_shuffled_once(spark, table, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
     assert sum("FileScan" in line and "text" in line for line in plans[0].splitlines()) == 1
     assert plans[0].count("ReusedExchange") >= 3
+
+
+def test_near_copies_of_other_classes_meet_once(spark):
+    """Forty edited copies of one text: pairs came out once for every rare shingle that they share."""
+    pick = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for at in pick.sample(range(200), 2):
+            words[at] = f"x{i}of{at}"
+        texts.append(words)
+    rows = [(i, i, 196, " ".join(words)) for i, words in enumerate(texts)]
+    table = spark.createDataFrame(rows, "_node long, _class long, _size long, _text string")
+    met = [tuple(r) for r in bagminhash.meetings(table, 0.8).collect()]
+    bags = [{tuple(words[k : k + 5]) for k in range(196)} for words in texts]
+    alike = {(a, b) for b in range(40) for a in range(b) if len(bags[a] & bags[b]) >= 0.8 * len(bags[a] | bags[b])}
+    assert alike <= set(met) and len(alike) > 100
+    assert len(met) <= 1.1 * len(set(met))
+    assert len(bagminhash.across_classes(table, 0.8).collect()) == len(set(met))
