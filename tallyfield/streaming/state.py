@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Keys that a task holds before their records are sent on.
+HELD = 20_000
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -66,13 +68,23 @@ class Newest(StatefulProcessor):
 
 
 def combined(stream: DataFrame, key: str, ts: str, tie: str) -> DataFrame:
-    """The newest record of each key in each batch of Arrow rows: a hot key sends a row from a batch, not all it has."""
+    """The newest record of each key in each task: a hot key sends a row from a task, not all it has.
+
+    What is held between batches of Arrow rows is sent on when it has more than ``HELD`` keys.
+    """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in filter(len, batches):
-            order = pd.DataFrame({c: batch.column(batch.schema.get_field_index(c)).to_pandas() for c in (key, ts, tie)})
+            rows = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            order = pd.DataFrame({c: rows.column(c).to_pandas() for c in (key, ts, tie)})
             last = order.sort_values([ts, tie], kind="stable").drop_duplicates(key, keep="last").index
-            yield batch.take(pa.array(np.sort(last.to_numpy())))
+            held = rows.take(pa.array(np.sort(last.to_numpy()))).combine_chunks().to_batches()[0]
+            if len(held) > HELD:
+                yield held
+                held = None
+        if held is not None:
+            yield held
 
     return stream.mapInArrow(each, stream.schema)
 

@@ -95,6 +95,21 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     assert len(got) <= 2 and max(r["i"] for r in got) == 4999
 
 
+def test_a_hot_key_is_combined_across_small_batches(spark):
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 100)
+    try:
+        frame = spark.range(5000).select(F.concat(F.lit("k"), F.col("id") % 3).alias("k"), F.timestamp_micros(F.col("id") % 1000).alias("t"), F.col("id").alias("i")).coalesce(1)
+        got = rows(state.combined(frame, "k", "t", "i"), "k", "i")
+    finally:
+        spark.conf.set(size, before)
+    newest = {}
+    for i in range(5000):
+        newest[f"k{i % 3}"] = max(newest.get(f"k{i % 3}", (-1, -1)), (i % 1000, i))
+    assert got == sorted((k, i) for k, (_, i) in newest.items())
+
+
 def test_sessions_open_at_the_end_come_out(spark, folder):
     source, out = f"{folder}/in", f"{folder}/out"
     write(spark, source, [(1, at(0), "a", 1.0), (2, at(10), "a", 1.0)])
