@@ -151,6 +151,13 @@ def test_oversampled_rows_lie_between_neighbours(spark):
     assert 0.3 < np.mean(shares) < 0.7 and len({round(s, 6) for s in shares}) > 100
 
 
+def test_least_columns_are_those_of_a_stable_sort():
+    pick = np.random.default_rng(4)
+    for values in (pick.normal(size=(50, 30)), pick.integers(0, 4, (50, 30)).astype(float), np.zeros((5, 9)), np.full((3, 7), np.inf)):
+        for take in (1, 3, 5):
+            assert (resample.least_columns(values, take) == np.argsort(values, axis=1, kind="stable")[:, :take]).all()
+
+
 def test_isolation_forest_finds_the_outliers(spark):
     pick = np.random.default_rng(1)
     data = [(i, float(x), float(y)) for i, (x, y) in enumerate(pick.normal(0, 1, (400, 2)))] + [(400, 30.0, 30.0), (401, -40.0, 9.0)]
