@@ -357,7 +357,7 @@ def item_neighbours(t: Tables) -> DataFrame:
 )
 def item_recommendations(t: Tables) -> DataFrame:
     """Five products for each customer, from the neighbour lists of what the customer bought."""
-    near = durable(A.neighbour_lists(t.lineitem, "l_orderkey", "l_partkey"))
+    near = A.neighbour_lists(t.lineitem, "l_orderkey", "l_partkey")
     return A.recommend(bought(t), near, "customer", "part")
 
 

@@ -3,6 +3,8 @@
 import math
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tallyfield.operators import affinity as A
 from tallyfield.session import load
 from tests.conftest import rows
@@ -56,3 +58,29 @@ def test_recall_against_full_lists(spark):
     )
     assert len(full) > 1000 and len(short & full) >= 0.99 * len(full)
     assert near.groupBy("item").count().agg({"count": "max"}).first()[0] <= A.NEIGHBOURS
+
+
+def test_a_pair_is_counted_once_with_both_counts(spark):
+    """What a pair needs comes with its members: no row of a pair meets the counts of its items in a join."""
+    df = spark.createDataFrame(BASKETS, "basket int, thing string")
+    pairs = A.pair_counts(df, "basket", "thing")
+    assert rows(pairs, "item", "other", "together", "baskets", "others") == [("a", "b", 4, 5, 4), ("a", "c", 1, 5, 2), ("a", "d", 1, 5, 2), ("b", "c", 1, 4, 2), ("c", "d", 1, 2, 2)]
+
+
+def test_busy_users_get_the_same_recommendations(spark, monkeypatch):
+    base = "/root/testdata/sf0.001"
+    lines, orders = load(spark, base, "lineitem"), load(spark, base, "orders")
+    bought = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select("o_custkey", "l_partkey")
+    near = A.neighbour_lists(lines, "l_orderkey", "l_partkey")
+    found = []
+    for busy in ([], [r[0] for r in orders.select("o_custkey").distinct().collect()][::2]):
+        monkeypatch.setattr(A, "busy_users", lambda owned: busy)
+        found.append(rows(A.recommend(bought, near, "o_custkey", "l_partkey")))
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_a_user_with_most_purchases_is_busy(spark):
+    owned = spark.range(20000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("_user"), F.col("id").alias("item"))
+    assert -1 in A.busy_users(owned) and len(A.busy_users(owned)) <= 1 / A.BUSY
+    empty = owned.where("item < 0").withColumnRenamed("_user", "user")
+    assert A.recommend(empty, spark.createDataFrame([], "item long, other long, similarity long"), "user", "item").count() == 0
