@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyfield.operators.ordering import global_percentiles
+from tallyfield.session import stored
 
 RANGE = 1 << 30
+#: Rows that a task scores; a row passes all trees.
+SCORED = 100_000
 NODE = "tree int, node int, feature int, split double, left int, right int, size int"
 
 
@@ -25,6 +28,19 @@ def path_constant(n: float) -> float:
     return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
+def walkable(tree: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Feature, split, children (right, left) and path length of each node, and the levels of the tree.
+
+    A leaf is its own child, so all rows take the same number of steps. Parents stand before their children.
+    """
+    leaf, here = tree["feature"] < 0, np.arange(len(tree["feature"]))
+    level = np.zeros(len(here), dtype=np.int64)
+    for node in here[~leaf]:
+        level[[tree["left"][node], tree["right"][node]]] = level[node] + 1
+    child = np.column_stack([np.where(leaf, here, tree["right"]), np.where(leaf, here, tree["left"])]).astype(np.int64).ravel()
+    return np.where(leaf, 0, tree["feature"]).astype(np.int64), tree["split"].astype(float), child, level + tree["rest"], int(level.max())
+
+
 @dataclass
 class IsolationForest:
     """Fitted trees (at most trees * 511 nodes) and the decision offset."""
@@ -36,24 +52,19 @@ class IsolationForest:
 
     def raw_score(self) -> Column:
         """-2^(-mean path / constant): near -1 for odd rows, near -0.5 for usual ones."""
-        trees, constant = self.trees, path_constant(self.sample)
+        trees, constant = [walkable(tree) for tree in self.trees], path_constant(self.sample)
 
         @F.pandas_udf("double")
         def score(rows: pd.DataFrame) -> pd.Series:
             points = rows.to_numpy(dtype=float)
+            flat, first = points.ravel(), np.arange(len(points)) * points.shape[1]
             depth = np.zeros(len(points))
-            for tree in trees:
-                at = np.zeros(len(points), dtype=int)
-                steps = np.zeros(len(points))
-                inner = tree["feature"][at] >= 0
-                while inner.any():
-                    spot = np.where(inner)[0]
-                    node = at[spot]
-                    goes_left = points[spot, tree["feature"][node]] < tree["split"][node]
-                    at[spot] = np.where(goes_left, tree["left"][node], tree["right"][node])
-                    steps[spot] += 1
-                    inner = tree["feature"][at] >= 0
-                depth += steps + tree["rest"][at]
+            for feature, split, child, length, levels in trees:
+                at = np.zeros(len(points), dtype=np.int64)
+                for _ in range(levels):
+                    goes_left = flat.take(first + feature.take(at)) < split.take(at)
+                    at = child.take(2 * at + goes_left)
+                depth += length.take(at)
             return pd.Series(-np.power(2.0, -depth / max(len(trees), 1) / constant))
 
         return score(F.struct(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in self.columns]))
@@ -65,19 +76,40 @@ class IsolationForest:
 
 def fit_isolation_forest(df: DataFrame, columns: Sequence[str], row_id: str, trees: int = 100, sample: int = 256,
                          contamination: float = 0.1, seed: int = 42) -> IsolationForest:
-    """Fit on per-tree samples drawn by row hash.
+    """Trees and the offset below which the ``contamination`` share of the rows scores; see ``anomaly_scores``."""
+    return anomaly_scores(df, columns, row_id, (), trees, sample, contamination, seed)[0]
+
+
+def anomaly_scores(df: DataFrame, columns: Sequence[str], row_id: str, keep: Sequence[str], trees: int = 100, sample: int = 256,
+                   contamination: float = 0.1, seed: int = 42) -> tuple[IsolationForest, DataFrame]:
+    """The fitted forest, and (row_id, keep, anomaly_score) of the rows that it was fitted on.
+
+    The offset needs the score of every row. They are written, so that the rows pass the trees once, dealt evenly:
+    the pieces of a file may be few.
+    """
+    rows = df.count()
+    model = grow_trees(df, columns, row_id, rows, trees, sample, seed)
+    pieces = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // SCORED))
+    even = df.select(*dict.fromkeys([row_id, *keep, *columns])).repartition(pieces, row_id)
+    scored = stored(even.select(row_id, *keep, model.raw_score().alias("_raw")), "anomaly-scores")
+    model.offset = global_percentiles(scored, {"raw": F.col("_raw")}, [contamination], row_id)["raw"][0]
+    return model, scored.select(row_id, *keep, (F.col("_raw") - F.lit(model.offset)).alias("anomaly_score"))
+
+
+def grow_trees(df: DataFrame, columns: Sequence[str], row_id: str, rows: int, trees: int, sample: int, seed: int) -> IsolationForest:
+    """Trees from samples drawn by row hash.
 
     A row enters a tree if its hash for that tree is below one and a half times the sample's
     share of the rows; of these the ``sample`` least hashes stay. The rule is the same at every size, every row can be
     drawn for every tree, and each tree is one group of about 1.5 ``sample`` rows.
     """
-    rows = df.count()
     columns = list(columns)
     draw = min(1.0, sample * 1.5 / max(rows, 1))
     narrow = df.select(row_id, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in columns])
     order = lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), F.col(row_id), t), F.lit(RANGE))
-    joined = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: order(t) < int(draw * RANGE))
-    drawn = narrow.select(row_id, *columns, F.explode(joined).alias("tree")).withColumn("_order", order(F.col("tree")))
+    # a row for each tree, dropped at once: compiled code, which a filter of an array is not
+    each = narrow.select(row_id, *columns, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    drawn = each.withColumn("_order", order(F.col("tree"))).where(F.col("_order") < int(draw * RANGE))
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["_order", row_id]).head(sample)
@@ -118,7 +150,4 @@ def fit_isolation_forest(df: DataFrame, columns: Sequence[str], row_id: str, tre
                 "rest": np.array([path_constant(n) for n in nodes["size"]]),
             }
         )
-    model = IsolationForest(columns, forest, min(sample, rows))
-    scored = df.select(row_id, model.raw_score().alias("_raw"))
-    model.offset = global_percentiles(scored, {"raw": F.col("_raw")}, [contamination], row_id)["raw"][0]
-    return model
+    return IsolationForest(columns, forest, min(sample, rows))

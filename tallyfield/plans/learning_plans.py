@@ -18,7 +18,7 @@ from tallyfield.operators import encoding as N
 from tallyfield.operators import forecasting as FC
 from tallyfield.operators import hazards as Z
 from tallyfield.operators import learners as L
-from tallyfield.operators.isolation import fit_isolation_forest
+from tallyfield.operators.isolation import anomaly_scores, fit_isolation_forest
 from tallyfield.operators.resample import smote_balance, smote_vectors
 from tallyfield.operators.survival import survival_data
 from tallyfield.operators import traffic as T
@@ -315,9 +315,7 @@ def feature_vector_score(t: Tables) -> DataFrame:
 
 @query("isolation_forest")
 def isolation_forest(t: Tables) -> DataFrame:
-    rows = sensor_features(t)
-    model = fit_isolation_forest(rows, list(R.FEATURE_DEFAULTS), "event_id")
-    scored = rows.select("event_id", "sensor_id", model.decision().alias("anomaly_score"))
+    _, scored = anomaly_scores(sensor_features(t), list(R.FEATURE_DEFAULTS), "event_id", ["sensor_id"])
     return scored.withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int"))
 
 

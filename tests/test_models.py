@@ -16,7 +16,7 @@ from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
 from tallyfield.operators import evaluation as V
 from tallyfield.operators import learners as L
-from tallyfield.operators.isolation import fit_isolation_forest
+from tallyfield.operators.isolation import anomaly_scores, fit_isolation_forest, path_constant
 from tallyfield.operators import resample
 from tallyfield.operators.survival import kaplan_meier, survival_data
 from tests.conftest import rows
@@ -202,3 +202,25 @@ def test_a_fold_is_balanced_once_for_all_models(spark):
 def test_vector_width(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None)], "id int, x double")
     assert L.scaled_vectors(df, ["x"], ["id"]).select(F.size(vector_to_array("features"))).first()[0] == 1
+
+
+def test_anomaly_scores_are_the_decisions(spark):
+    """The scores that the offset was taken from are handed on; a path is walked as node by node, NULL and NaN included."""
+    rng = random.Random(5)
+    data = [(i, rng.random() if i % 7 else None, float("nan") if i % 11 == 0 else rng.gauss(0, 1), f"k{i}") for i in range(600)]
+    df = spark.createDataFrame(data, "id int, x double, y double, kept string").coalesce(1)
+    model, scored = anomaly_scores(df, ["x", "y"], "id", ["kept"], trees=20, sample=64)
+    want = {r["id"]: (r["kept"], r["s"]) for r in df.select("id", "kept", model.decision().alias("s")).collect()}
+    assert {r["id"]: (r["kept"], r["anomaly_score"]) for r in scored.collect()} == want
+    assert sum(s < 0 for _, s in want.values()) == 60
+    for i, x, y, _ in data[:50]:
+        depth = 0.0
+        for tree in model.trees:
+            at, steps = 0, 0.0
+            while tree["feature"][at] >= 0:
+                at = tree["left" if (x or 0.0, y)[tree["feature"][at]] < tree["split"][at] else "right"][at]
+                steps += 1
+            depth += steps + tree["rest"][at]
+        assert want[i][1] + model.offset == pytest.approx(-(2.0 ** (-depth / 20 / path_constant(64))), abs=1e-12)
+    # one piece of a file is scored by many tasks
+    assert scored.rdd.getNumPartitions() > 1
