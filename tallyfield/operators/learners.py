@@ -23,6 +23,8 @@ CLUSTER_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "cust
 SEED = 42
 #: Fits that run side by side; each is a Spark job of its own.
 PARALLEL = 4
+#: Rows of a partition for a fit. A forest of 100 trees keeps some 600 bytes of each row, which a task reads in every pass.
+FIT_ROWS = 100_000
 
 
 def side_by_side(work: Callable, items: Sequence) -> list:
@@ -83,6 +85,12 @@ def balanced(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
     return df.withColumn(weight, F.element_at(F.create_map(*pairs), F.col(label).cast("double")))
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """The frame of ``rows`` rows in even partitions of at most ``FIT_ROWS``, whatever the number of shuffle partitions."""
+    wanted = -(-rows // FIT_ROWS)
+    return df.repartition(wanted) if wanted > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def classifiers(rows: int, label: str, trees: int = 100) -> dict[str, Estimator]:
     """The model set: L2 logistic, forest and boosted trees.
 
@@ -119,7 +127,8 @@ def cross_validate_each(df: DataFrame, estimators: Mapping[str, Estimator], labe
 
     def part(fold: int) -> DataFrame:
         rows = marked.where(F.col("_fold") != fold).drop("_fold")
-        return balanced(durable(balance(rows, label)) if balance else rows, label)
+        rows = durable(balance(rows, label)) if balance else rows
+        return balanced(dealt(rows, rows.count()), label)
 
     parts = side_by_side(part, range(folds))
 
@@ -134,8 +143,9 @@ def cross_validate_each(df: DataFrame, estimators: Mapping[str, Estimator], labe
 
 def train(df: DataFrame, label: str, names: Sequence[str] | None = None, trees: int = 100) -> dict[str, Model]:
     """Fit the named models on balanced weights, side by side."""
-    weighted = balanced(df, label)
-    chosen = [(name, e) for name, e in classifiers(df.count(), label, trees).items() if names is None or name in names]
+    rows = df.count()
+    weighted = balanced(dealt(df, rows), label)
+    chosen = [(name, e) for name, e in classifiers(rows, label, trees).items() if names is None or name in names]
     return dict(zip([name for name, _ in chosen], side_by_side(lambda c: c[1].fit(weighted), chosen)))
 
 

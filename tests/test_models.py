@@ -224,3 +224,11 @@ def test_anomaly_scores_are_the_decisions(spark):
         assert want[i][1] + model.offset == pytest.approx(-(2.0 ** (-depth / 20 / path_constant(64))), abs=1e-12)
     # one piece of a file is scored by many tasks
     assert scored.rdd.getNumPartitions() > 1
+
+
+def test_a_fit_has_even_partitions_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(L, "FIT_ROWS", 100)
+    df = spark.range(3000).coalesce(2)
+    sizes = [r["count"] for r in L.dealt(df, 3000).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 30 and max(sizes) <= 110
+    assert L.dealt(df, 700) is df
