@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators.encoding import fold_of, standardise, stratified_folds
 from tallyfield.operators.evaluation import confusion
-from tallyfield.session import durable
+from tallyfield.session import durable, stored
 
 CLUSTER_FEATURES = ["recency", "frequency", "monetary", "avg_order_value", "customer_lifespan", "active_months"]
 SEED = 42
@@ -38,8 +38,11 @@ def vectors(df: DataFrame, columns: Sequence[str], out: str = "features") -> Dat
 
 
 def scaled_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """NULL to 0, population standardisation, one vector; written once for the fits."""
-    filled = df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in columns])
+    """NULL to 0, population standardisation, one vector; written once for the fits.
+
+    The columns are written before as well: their moments and the vectors are two reads, and ``df`` is computed once.
+    """
+    filled = stored(df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in columns]), "features")
     scaled = standardise(filled, [f"_x_{c}" for c in columns], "_z")
     names = [f"_x_{c}_z" for c in columns]
     return durable(vectors(scaled.select(*keep, *names), names).select(*keep, "features"))

@@ -232,3 +232,15 @@ def test_a_fit_has_even_partitions_of_bounded_rows(spark, monkeypatch):
     sizes = [r["count"] for r in L.dealt(df, 3000).groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 30 and max(sizes) <= 110
     assert L.dealt(df, 700) is df
+
+
+def test_vectors_compute_their_source_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def passed(x):
+        seen.add(1)
+        return float(x)
+
+    made = L.scaled_vectors(spark.range(50).select("id", passed("id").alias("x")), ["x"], ["id"])
+    assert made.count() == 50 and seen.value == 50
