@@ -299,7 +299,11 @@ def executive_kpis(orders: DataFrame, run_day: str, extra: Mapping[str, Column]
 
 def fact_customer_metrics(orders: DataFrame, as_of: str) -> DataFrame:
     """The per-customer fact of one day: metrics, lifetime value, scores and segment."""
-    base = customer_metrics(orders, as_of)
+    return fact_of_metrics(customer_metrics(orders, as_of), as_of)
+
+
+def fact_of_metrics(base: DataFrame, as_of: str) -> DataFrame:
+    """The fact from rows of ``customer_metrics``, which are read more than once."""
     years = F.greatest(F.col("customer_lifetime_days") / F.lit(365.0), F.lit(1.0 / 365.0))
     clv = rounded(F.col("total_spent") * (F.col("total_orders") / years) * 2, 2)
     scored = rfm_scores(base, "customer_id", "days_since_last_order", "total_orders", "total_spent")

@@ -15,7 +15,7 @@ from tallyfield.operators import customers as C
 from tallyfield.operators import learners as L
 from tallyfield.operators import quality as Q
 from tallyfield.operators.frames import stage_customers
-from tallyfield.session import durable
+from tallyfield.session import durable, stored
 from tallyfield.sources import lake
 from tallyfield.sources.schemas import schema
 
@@ -44,14 +44,13 @@ def transform_orders(orders: DataFrame) -> DataFrame:
     return orders.withColumns(calendar_parts("order_date"))
 
 
-def customer_fact(orders: DataFrame, as_of: str) -> DataFrame:
+def customer_fact(metrics: DataFrame, as_of: str) -> DataFrame:
     """The customer fact of one run with its declared columns and types, churn probability included.
 
-    Only orders up to the run date are known to it.
+    ``metrics`` are the customer metrics of the run; only orders up to the run date are known to them.
     """
-    known = orders.where(F.col("order_date") < F.date_add(F.lit(as_of).cast("date"), 1))
-    fact = durable(C.fact_customer_metrics(known, as_of))
-    churn = L.churn_probabilities(C.customer_metrics(known, as_of)).select("customer_id", "churn_probability")
+    fact = durable(C.fact_of_metrics(metrics, as_of))
+    churn = L.churn_probabilities(metrics).select("customer_id", "churn_probability")
     return declared(fact.join(churn, "customer_id", "left"), "analytics", "fact_customer_metrics")
 
 
@@ -74,8 +73,10 @@ def run_daily(customers: DataFrame, orders: DataFrame, root: str, as_of: str, kp
     transform_orders(orders).write.mode("overwrite").parquet(paths["stg_orders"])
     staged = orders.sparkSession.read.parquet(paths["stg_orders"]).select(*orders.columns)
     known = staged.where(F.col("order_date") < F.date_add(F.lit(as_of).cast("date"), 1))
-    lake.write_partition(customer_fact(staged, as_of), paths["fact_customer_metrics"], "metric_date")
+    # orders are added up by customer once: scores, the churn model and the cohorts all read this table
+    metrics = stored(C.customer_metrics(known, as_of), "customer-metrics")
+    lake.write_partition(customer_fact(metrics, as_of), paths["fact_customer_metrics"], "metric_date")
     lake.write_partition(declared(C.executive_kpis(known, as_of, kpis), "mart", "dm_executive_kpis"), paths["dm_executive_kpis"], "report_date")
-    cohorts = declared(H.cohort_mart(C.customer_metrics(known, as_of), as_of), "mart", "dm_customer_cohorts")
+    cohorts = declared(H.cohort_mart(metrics, as_of), "mart", "dm_customer_cohorts")
     lake.write_partition(cohorts.withColumn("run_date", F.lit(as_of).cast("date")), paths["dm_customer_cohorts"], "run_date")
     return paths

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfield.functions.traffic import TRAFFIC_SCHEMA
+from tallyfield.operators import customers as C
 from tallyfield.operators.quality import QualityError
 from tallyfield.plans.daily import run_daily
 from tallyfield.sources import lake, messages, schemas
@@ -137,6 +138,17 @@ def test_daily_run(spark, folder):
         run_daily(people(spark, ["no-mail"]), orders, folder, "2001-01-30")
 
 
+def test_a_daily_run_adds_up_customers_once(spark, folder, monkeypatch):
+    calls, plain = [], C.customer_metrics
+    monkeypatch.setattr(C, "customer_metrics", lambda *args: calls.append(args) or plain(*args))
+    orders = spark.createDataFrame(
+        [(i, i % 6, day("2001-01-01") + dt.timedelta(i), 10.0 * i) for i in range(30)], "order_id int, customer_id int, order_date date, amount double"
+    )
+    out = run_daily(people(spark, [f"p{i}@x.org" for i in range(6)]), orders, folder, "2001-01-20")
+    assert len(calls) == 1
+    assert rows(spark.read.parquet(out["fact_customer_metrics"]).agg(F.sum("total_orders"))) == [(20,)]
+
+
 def test_bundle_and_csv(spark, folder):
     paths = lake.export_bundle({"a": spark.range(2), "b": spark.range(3)}, folder)
     assert {n: d.count() for n, d in lake.read_bundle(spark, paths).items()} == {"a": 2, "b": 3}
