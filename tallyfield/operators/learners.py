@@ -7,14 +7,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator, RegressionEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import AFTSurvivalRegression, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyfield.operators import kmeans
 from tallyfield.operators.encoding import fold_of, standardise, stratified_folds
 from tallyfield.operators.evaluation import confusion
 from tallyfield.session import durable, stored
@@ -37,46 +37,56 @@ def vectors(df: DataFrame, columns: Sequence[str], out: str = "features") -> Dat
     return VectorAssembler(inputCols=list(columns), outputCol=out).transform(df)
 
 
-def scaled_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """NULL to 0, population standardisation, one vector; written once for the fits.
+def scaled_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """NULL to 0 and population standardisation, under the same names.
 
-    The columns are written before as well: their moments and the vectors are two reads, and ``df`` is computed once.
+    The columns are written before: their moments and their values are two reads, and ``df`` is computed once.
     """
     filled = stored(df.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x_{c}") for c in columns]), "features")
     scaled = standardise(filled, [f"_x_{c}" for c in columns], "_z")
-    names = [f"_x_{c}_z" for c in columns]
-    return durable(vectors(scaled.select(*keep, *names), names).select(*keep, "features"))
+    return scaled.select(*keep, *[F.col(f"_x_{c}_z").alias(f"_z_{c}") for c in columns])
+
 
+def scaled_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """The standardised columns as one vector; written once for the fits."""
+    return durable(vectors(scaled_columns(df, columns, keep), [f"_z_{c}" for c in columns]).select(*keep, "features"))
 
-def fit_kmeans(features: DataFrame, k: int, seed: int = SEED, restarts: int = 10):
-    """Best of several seeded starts by within-cluster cost."""
-    fits = side_by_side(lambda i: KMeans(k=k, seed=seed + i, initMode="k-means||").fit(features), range(restarts))
-    return min(fits, key=lambda m: m.summary.trainingCost)
+
+def cluster_points(df: DataFrame, columns: Sequence[str], row_id: str) -> tuple[DataFrame, list[str]]:
+    """Standardised columns of every row, written in even partitions of about ``FIT_ROWS`` rows at most, and their names.
+
+    A pass over them keeps all cores busy to its end: there are as many partitions for each.
+    """
+    scaled, cores = scaled_columns(df, columns, [row_id]), df.sparkSession.sparkContext.defaultParallelism
+    pieces = cores * max(1, -(-scaled.count() // (cores * FIT_ROWS)))
+    return durable(scaled.repartition(pieces, row_id)), [f"_z_{c}" for c in columns]
 
 
 def kmeans_clusters(df: DataFrame, k: int, row_id: str, columns: Sequence[str] = CLUSTER_FEATURES,
                     seed: int = SEED, restarts: int = 10) -> DataFrame:
-    """Add a ``cluster`` label to every row. Label numbers carry no meaning."""
-    features = scaled_vectors(df, columns, [row_id])
-    labels = fit_kmeans(features, k, seed, restarts).transform(features)
-    return df.join(labels.select(row_id, F.col("prediction").alias("cluster")), row_id)
+    """Add a ``cluster`` label to every row: the best of several seeded starts by within-cluster cost. Label numbers carry no meaning."""
+    points, names = cluster_points(df, columns, row_id)
+    fits = kmeans.fit(points, names, row_id, [k], seed, restarts)
+    if not fits:
+        return df.withColumn("cluster", F.lit(None).cast("int"))
+    return df.join(kmeans.labelled(points, names, row_id, fits[k][0]), row_id)
 
 
 def choose_k(spark: SparkSession, df: DataFrame, row_id: str, columns: Sequence[str] = CLUSTER_FEATURES,
              largest: int = 10, seed: int = SEED, restarts: int = 10) -> DataFrame:
     """Cost and mean silhouette for k of 2 and more; the best silhouette is marked.
 
-    Spark's silhouette uses squared distances, so its values differ from the plain one.
+    The silhouette uses squared distances as Spark's does, so its values differ from the plain one. All starts of all k are
+    fitted in the same passes. No rows give no row; rows that are all alike have no silhouette.
     """
-    features = scaled_vectors(df, columns, [row_id])
-    silhouette = ClusteringEvaluator()
-    rows = []
-    for k in range(2, largest + 1):
-        model = fit_kmeans(features, k, seed, restarts)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette.evaluate(model.transform(features)))))
-    best = max(rows, key=lambda r: r[2])[0]
+    points, names = cluster_points(df, columns, row_id)
+    fits = kmeans.fit(points, names, row_id, range(2, largest + 1), seed, restarts)
+    values = kmeans.silhouettes(points, names, list(fits.values())) if fits else []
+    best = max((v for v in values if v is not None), default=None)
+    marked = values.index(best) if best is not None else -1
     return spark.createDataFrame(
-        [(k, cost, value, k == best) for k, cost, value in rows], "k int, inertia double, silhouette double, is_best boolean"
+        [(k, kmeans.cost(*fits[k]), value, i == marked) for i, (k, value) in enumerate(zip(fits, values))],
+        "k int, inertia double, silhouette double, is_best boolean",
     )
 
 

@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from tallyfield.operators import cohorts as H
 from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
 from tallyfield.operators import evaluation as V
+from tallyfield.operators import kmeans as KM
 from tallyfield.operators import learners as L
 from tallyfield.operators.isolation import anomaly_scores, fit_isolation_forest, path_constant
 from tallyfield.operators import resample
@@ -244,3 +247,53 @@ def test_vectors_compute_their_source_once(spark):
 
     made = L.scaled_vectors(spark.range(50).select("id", passed("id").alias("x")), ["x"], ["id"])
     assert made.count() == 50 and seen.value == 50
+
+
+def test_all_starts_of_all_k_share_their_passes(spark):
+    """The jobs do not follow from the number of starts and sizes; costs and silhouettes are those of Spark's fit."""
+    pick = random.Random(4)
+    data = [(i, pick.gauss((0, 9, 40)[i % 3], 1), pick.gauss((0, 9, 40)[i % 3], 1)) for i in range(600)]
+    df = spark.createDataFrame(data, "id long, a double, b double")
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    begun = jobs()
+    got = L.choose_k(spark, df, "id", ["a", "b"], largest=4).collect()
+    assert jobs() - begun < 100 and [r["k"] for r in got] == [2, 3, 4] and sum(r["is_best"] for r in got) == 1
+    features = L.scaled_vectors(df, ["a", "b"], ["id"])
+    for r in got[:2]:
+        fits = [KMeans(k=r["k"], seed=s).fit(features) for s in range(5)]
+        model = min(fits, key=lambda m: m.summary.trainingCost)
+        assert r["inertia"] == pytest.approx(model.summary.trainingCost, rel=1e-3)
+        assert r["silhouette"] == pytest.approx(ClusteringEvaluator().evaluate(model.transform(features)), abs=1e-3)
+
+
+def test_cluster_figures_are_those_of_the_labels(spark):
+    """A cluster of one row, an unused centre and equally near centres: labels, costs and silhouettes as counted row by row and by Spark."""
+    data = [(i, float(i % 4), float(i % 3)) for i in range(60)] + [(60, 50.0, 50.0)]
+    rows_ = spark.createDataFrame(data, "id long, x double, y double").repartition(3)
+    centres = np.array([[0.0, 0.0], [2.0, 0.0], [50.0, 50.0], [900.0, 900.0]])
+    points = np.array([r[1:] for r in data])
+    apart = ((points[:, None, :] - centres) ** 2).sum(axis=2)
+    label = apart.argmin(axis=1)
+    [found] = KM.moments(rows_, ["x", "y"], [centres])
+    assert found[:, 0].tolist() == [(label == i).sum() for i in range(4)] and KM.cost(centres, found) == pytest.approx(apart.min(axis=1).sum())
+    marked = KM.labelled(rows_, ["x", "y"], "id", centres)
+    assert [c for _, c in sorted(map(tuple, marked.collect()))] == label.tolist()
+    scored = L.vectors(rows_.join(marked, "id"), ["x", "y"]).withColumn("prediction", F.col("cluster").cast("double"))
+    assert KM.silhouettes(rows_, ["x", "y"], [(centres, found)])[0] == pytest.approx(ClusteringEvaluator().evaluate(scored), abs=1e-9)
+
+
+def test_clusters_of_few_different_rows(spark):
+    schema = "id long, a double, b double"
+    alike = spark.createDataFrame([(i, 2.0, None) for i in range(5)], schema)
+    assert [(r["k"], r["inertia"], r["silhouette"], r["is_best"]) for r in L.choose_k(spark, alike, "id", ["a", "b"], 3).collect()] == [(2, 0.0, None, False), (3, 0.0, None, False)]
+    two = spark.createDataFrame([(i, float(i % 2), 0.0) for i in range(6)], schema)
+    assert [(r["inertia"], r["silhouette"]) for r in L.choose_k(spark, two, "id", ["a", "b"], 3).collect()] == [(pytest.approx(0.0), pytest.approx(1.0))] * 2
+    none = spark.createDataFrame([], schema)
+    assert L.choose_k(spark, none, "id", ["a", "b"], 3).collect() == [] and L.kmeans_clusters(none, 2, "id", ["a", "b"]).collect() == []
+
+
+def test_clusters_do_not_depend_on_where_rows_lie(spark):
+    pick = random.Random(6)
+    df = spark.createDataFrame([(i, pick.random(), pick.random()) for i in range(300)], "id long, a double, b double")
+    labels = [rows(L.kmeans_clusters(d, 5, "id", ["a", "b"], restarts=3), "id", "cluster") for d in (df.coalesce(1), df.repartition(7).orderBy(F.desc("id")))]
+    assert labels[0] == labels[1] and {c for _, c in labels[0]} == set(range(5))
