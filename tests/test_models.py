@@ -8,11 +8,13 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tallyfield.operators import boosting as B
 from tallyfield.operators import cohorts as H
 from tallyfield.operators import customers as C
 from tallyfield.operators import encoding as N
@@ -297,3 +299,76 @@ def test_clusters_do_not_depend_on_where_rows_lie(spark):
     df = spark.createDataFrame([(i, pick.random(), pick.random()) for i in range(300)], "id long, a double, b double")
     labels = [rows(L.kmeans_clusters(d, 5, "id", ["a", "b"], restarts=3), "id", "cluster") for d in (df.coalesce(1), df.repartition(7).orderBy(F.desc("id")))]
     assert labels[0] == labels[1] and {c for _, c in labels[0]} == set(range(5))
+
+
+def boosted_rows(spark, n, seed):
+    """Rows with a feature of few values, one of many, one without signal and a constant one; a third of them positive."""
+    pick = np.random.default_rng(seed)
+    few, wide, noise = pick.integers(0, 7, n), pick.normal(size=n), pick.normal(size=n)
+    label = (few - 3 + wide + pick.normal(size=n) > 1).astype(int)
+    data = [(i, int(label[i]), float(few[i]), float(wide[i]), float(noise[i]), 1.0) for i in range(n)]
+    df = spark.createDataFrame(data, "id long, label int, a double, b double, c double, d double").repartition(3)
+    return L.scaled_vectors(df, ["a", "b", "c", "d"], ["id", "label"])
+
+
+def scores_of(model, df):
+    return {r["id"]: (r["score"], r["prediction"]) for r in L.probabilities(model, df, ["id"]).collect()}
+
+
+def test_boosted_trees_are_those_of_spark(spark):
+    """Parts of different rows are fitted in the same passes; each has the trees that Spark fits to it alone."""
+    parts = [boosted_rows(spark, 900, 1), boosted_rows(spark, 400, 2)]
+    models = B.BoostedTrees("label", 3).fit_each(parts)
+    for part, model in zip(parts, models):
+        plain = GBTClassifier(maxIter=3, seed=1, labelCol="label", weightCol="weight").fit(L.balanced(part, "label").coalesce(1))
+        want, got = scores_of(plain, part), scores_of(model, part)
+        assert got.keys() == want.keys()
+        assert max(abs(got[i][0] - want[i][0]) for i in want) < 1e-9
+        assert all(got[i][1] == want[i][1] for i in want)
+        assert L.auc(model.transform(part), "label") == pytest.approx(L.auc(plain.transform(part), "label"), abs=1e-9)
+
+
+def test_boosted_trees_of_all_folds_share_their_passes(spark):
+    """More folds need no more passes, and the model of all rows comes out of the same ones."""
+    features = boosted_rows(spark, 300, 3)
+    models = {"gradient_boosting": L.classifiers(300, "label", trees=2)["gradient_boosting"]}
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs()
+    spent = []
+    for folds in (2, 4):
+        begun = jobs()
+        scores, fitted = L.fit_and_cross_validate(features, models, "label", "id", folds)
+        spent.append(jobs() - begun)
+        assert len(scores["gradient_boosting"]) == folds and min(scores["gradient_boosting"]) > 0.6
+        assert len(scores_of(fitted["gradient_boosting"], features)) == 300
+    # what is left for a fold is its own scoring
+    assert spent[1] - spent[0] < 2 * 12
+
+
+def test_boosted_trees_do_not_depend_on_blocks(spark, monkeypatch):
+    part = boosted_rows(spark, 500, 4)
+    want = scores_of(B.BoostedTrees("label", 2).fit(part), part)
+    monkeypatch.setattr(B, "WRITTEN", 1)
+    got = scores_of(B.BoostedTrees("label", 2).fit(part.repartition(7).orderBy(F.desc("id"))), part)
+    assert max(abs(got[i][0] - want[i][0]) for i in want) < 1e-9
+
+
+def test_boosted_trees_of_one_class_and_of_no_rows(spark):
+    part = boosted_rows(spark, 60, 5)
+    scores = scores_of(B.BoostedTrees("label", 2).fit(part.where("label = 0")), part)
+    assert len(scores) == 60 and all(s < 0.2 and p == 0 for s, p in scores.values())
+    with pytest.raises(ValueError):
+        B.BoostedTrees("label", 2).fit(part.where("label = 7"))
+
+
+def test_a_summary_keeps_the_shares_of_the_weight():
+    pick = np.random.default_rng(6)
+    values, weights = pick.normal(size=60_000), pick.random(60_000) + 0.5
+    found = None
+    for at in range(0, 60_000, 20_000):
+        more = B.summary(values[at : at + 20_000], weights[at : at + 20_000])
+        found = more if found is None else B.summary(*map(np.concatenate, zip(found, more)))
+    assert len(found[0]) <= B.SUMMARY and found[1].sum() == pytest.approx(weights.sum())
+    cuts = B.thresholds(*found)
+    assert len(cuts) == B.BINS - 1
+    shares = [weights[values <= c].sum() / weights.sum() for c in cuts]
+    assert np.abs(np.array(shares) - np.arange(1, B.BINS) / B.BINS).max() < 1e-3
